@@ -1,9 +1,10 @@
 """Revenue, product, regional, shipping and discount reports.
 
-``orders`` holds one row per order *line*; ``order_id`` repeats.  Joins carry no
-broadcast hint: Spark broadcasts a dimension when its measured size allows and
-AQE splits a skewed key otherwise, since the aggregate above shuffles on another
-key anyway.
+``orders`` holds one row per order *line*; ``order_id`` repeats.  Lines are
+summed per product, or per order and customer, before they meet a dimension or a
+distinct count, so that the wide shuffle carries sums instead of lines.  Joins
+carry no broadcast hint: Spark broadcasts a dimension whose measured size
+allows, and AQE splits a skewed key otherwise.
 """
 
 from __future__ import annotations
@@ -33,52 +34,60 @@ def _margin() -> Column:
     return percent(F.sum("profit"), F.sum("sales"))
 
 
-def _with_growth(periods: DataFrame, order: list[str], back: int, before: str, growth: str):
+def _sums(*columns: str) -> list[Column]:
+    return [F.sum(c).alias(c) for c in columns]
+
+
+def _with_growth(periods: DataFrame, order: str, back: int, before: str, growth: str):
     """Add the revenue ``back`` rows earlier and the growth since then.
 
     Windows without a partition run over one row per calendar period.
     """
-    earlier = F.lag("revenue", back).over(Window.orderBy(*order))
+    earlier = F.lag("revenue", back).over(Window.orderBy(order))
     return periods.withColumn(before, earlier).withColumn(
         growth, percent(F.col("revenue") - F.col(before), F.col(before))
     )
 
 
-def _per_month(orders: DataFrame, *measures: Column) -> DataFrame:
-    day = F.col("order_date")
-    return orders.groupBy(
-        F.year(day).alias("yr"), F.month(day).alias("mo"), month_label(day).alias("month_label")
-    ).agg(money_total(F.col("sales")).alias("revenue"), money_total(F.col("profit")).alias("profit"), *measures)
-
-
-def _rolling_mean() -> Column:
-    """Mean of this and the two preceding *present* months."""
-    return rounded(F.avg("revenue").over(Window.orderBy("yr", "mo").rowsBetween(-2, 0)), 2)
+def _trend(months: DataFrame, rolling: str, counts: list[str]) -> DataFrame:
+    """Month labels, growth and the mean over three *present* months."""
+    recent = Window.orderBy("month").rowsBetween(-2, 0)
+    return _with_growth(months, "month", 1, "prev_month_revenue", "mom_growth_pct").select(
+        month_label(F.col("month")).alias("month_label"),
+        "revenue",
+        "profit",
+        *counts,
+        "prev_month_revenue",
+        "mom_growth_pct",
+        rounded(F.avg("revenue").over(recent), 2).alias(rolling),
+    )
 
 
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     """Revenue, profit, orders and customers per month, with month-on-month
     growth and a rolling mean.  Months without orders have no row."""
-    months = _per_month(
-        orders,
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-    )
-    return (
-        _with_growth(months, ["yr", "mo"], 1, "prev_month_revenue", "mom_growth_pct")
-        .withColumn("rolling_3m_avg_revenue", _rolling_mean())
-        .drop("yr", "mo")
+    months = (
+        orders.groupBy(F.trunc("order_date", "month").alias("month"), "order_id", "customer_id")
+        .agg(*_sums("sales", "profit"))
+        .groupBy("month")
+        .agg(
+            money_total(F.col("sales")).alias("revenue"),
+            money_total(F.col("profit")).alias("profit"),
+            F.count_distinct("order_id").alias("total_orders"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+        )
     )
+    return _trend(months, "rolling_3m_avg_revenue", ["total_orders", "unique_customers"])
 
 
 def vw_monthly_revenue_trend(orders: DataFrame) -> DataFrame:
     """Monthly revenue for a line chart; no customer count."""
-    months = _per_month(orders, F.count_distinct("order_id").alias("orders"))
-    return (
-        _with_growth(months, ["yr", "mo"], 1, "prev_month_revenue", "mom_growth_pct")
-        .withColumn("rolling_3m_avg", _rolling_mean())
-        .drop("yr", "mo")
+    months = orders.groupBy(F.trunc("order_date", "month").alias("month")).agg(
+        money_total(F.col("sales")).alias("revenue"),
+        money_total(F.col("profit")).alias("profit"),
+        F.count_distinct("order_id").alias("orders"),
     )
+    return _trend(months, "rolling_3m_avg", ["orders"])
 
 
 def quarterly_yoy(orders: DataFrame) -> DataFrame:
@@ -86,23 +95,16 @@ def quarterly_yoy(orders: DataFrame) -> DataFrame:
 
     The comparison counts rows, not calendar quarters: a missing quarter shifts it.
     """
-    day = F.col("order_date")
-    quarters = (
-        orders.groupBy(F.year(day).alias("yr"), F.quarter(day).alias("qtr"))
-        .agg(
-            money_total(F.col("sales")).alias("revenue"),
-            money_total(F.col("profit")).alias("profit"),
-            _margin().alias("profit_margin_pct"),
-        )
-        .withColumn(
-            "quarter_label",
-            F.concat_ws("-", F.concat_ws("", F.lit("Q"), F.col("qtr")), F.col("yr")),
-        )
+    quarters = orders.groupBy(F.trunc("order_date", "quarter").alias("start")).agg(
+        money_total(F.col("sales")).alias("revenue"),
+        money_total(F.col("profit")).alias("profit"),
+        _margin().alias("profit_margin_pct"),
     )
-    return _with_growth(
-        quarters, ["yr", "qtr"], 4, "same_qtr_last_year", "yoy_growth_pct"
-    ).select(
-        "quarter_label",
+    label = F.concat_ws(
+        "-", F.concat_ws("", F.lit("Q"), F.quarter("start")), F.year("start")
+    )
+    return _with_growth(quarters, "start", 4, "same_qtr_last_year", "yoy_growth_pct").select(
+        label.alias("quarter_label"),
         "revenue",
         "profit",
         "profit_margin_pct",
@@ -111,14 +113,22 @@ def quarterly_yoy(orders: DataFrame) -> DataFrame:
     )
 
 
-def _with_products(orders: DataFrame, products: DataFrame) -> DataFrame:
-    return orders.join(products, "product_id")
+def _per_product(orders: DataFrame, products: DataFrame, *grain: str) -> DataFrame:
+    """Sums per product (and ``grain``), joined with the product's attributes."""
+    return (
+        orders.groupBy("product_id", *grain)
+        .agg(
+            *_sums("sales", "profit", "quantity", "discount"),
+            F.count("discount").alias("discounts"),
+        )
+        .join(products, "product_id")
+    )
 
 
 def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` products with most revenue, ties by name and category."""
     return (
-        _with_products(orders, products)
+        _per_product(orders, products, "order_id")
         .groupBy(*PRODUCT_KEYS)
         .agg(
             money_total(F.col("sales")).alias("total_revenue"),
@@ -135,34 +145,36 @@ def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFra
 def loss_products(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Products that lose money over all their lines."""
     return (
-        _with_products(orders, products)
+        _per_product(orders, products)
         .groupBy(*PRODUCT_KEYS)
         .agg(
             money_total(F.col("sales")).alias("total_revenue"),
             money_total(F.col("profit")).alias("total_profit"),
             _margin().alias("profit_margin_pct"),
-            rounded(F.avg("discount"), 2).alias("avg_discount"),
-            F.sum("profit").alias("_profit"),
+            F.round(quotient(F.sum("discount"), F.sum("discounts")), 2).alias("avg_discount"),
         )
-        .where(F.col("_profit") < 0)
-        .drop("_profit")
+        .where(F.col("total_profit") < 0)
     )
 
 
-def category_contribution(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Share of revenue per sub-category, over all and within its category."""
-    groups = (
-        _with_products(orders, products)
+def _per_category(orders: DataFrame, products: DataFrame, *measures: Column) -> DataFrame:
+    return (
+        _per_product(orders, products)
         .groupBy("category", "sub_category")
         .agg(
             money_total(F.col("sales")).alias("revenue"),
             money_total(F.col("profit")).alias("profit"),
+            *measures,
         )
     )
+
+
+def category_contribution(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Share of revenue per sub-category, over all and within its category."""
     # One row per sub-category reaches these windows.
     everything, category = Window.partitionBy(), Window.partitionBy("category")
     revenue = F.col("revenue")
-    return groups.select(
+    return _per_category(orders, products).select(
         "*",
         percent(revenue, F.sum(revenue).over(everything)).alias("pct_of_total_revenue"),
         percent(revenue, F.sum(revenue).over(category)).alias("pct_within_category"),
@@ -172,15 +184,8 @@ def category_contribution(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 def vw_category_performance(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, profit, margin, units and share of total per sub-category."""
-    groups = (
-        _with_products(orders, products)
-        .groupBy("category", "sub_category")
-        .agg(
-            money_total(F.col("sales")).alias("revenue"),
-            money_total(F.col("profit")).alias("profit"),
-            _margin().alias("margin_pct"),
-            F.sum("quantity").alias("units_sold"),
-        )
+    groups = _per_category(
+        orders, products, _margin().alias("margin_pct"), F.sum("quantity").alias("units_sold")
     )
     total = F.sum("revenue").over(Window.partitionBy())
     return groups.withColumn("pct_of_total", percent(F.col("revenue"), total))
@@ -192,12 +197,9 @@ def category_rollup(orders: DataFrame, products: DataFrame) -> DataFrame:
     ``level`` tells them apart; the sub-category of a category row is NULL.
     """
     return (
-        _with_products(orders, products)
+        _per_category(orders, products)
         .rollup("category", "sub_category")
-        .agg(
-            money_total(F.col("sales")).alias("revenue"),
-            F.grouping_id().alias("_grouped"),
-        )
+        .agg(F.sum("revenue").alias("revenue"), F.grouping_id().alias("_grouped"))
         .where(F.col("_grouped") < 3)
         .select(
             F.when(F.col("_grouped") == 1, "category").otherwise("sub_category").alias("level"),
@@ -208,39 +210,53 @@ def category_rollup(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def regional_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders, customers, revenue, margin and order value per region and state."""
+def _per_state(orders: DataFrame, customers: DataFrame, order_count: str, customer_count: str):
+    """Sums per region and state.
+
+    Lines become one row per order and customer before the join, which is also
+    the grain the two distinct counts need.
+    """
+    places = customers.select("customer_id", "region", "state")
     return (
-        orders.join(customers, "customer_id")
+        orders.groupBy("order_id", "customer_id")
+        .agg(*_sums("sales", "profit", "discount"), F.count("discount").alias("discounts"))
+        .join(places, "customer_id")
         .groupBy("region", "state")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            money_total(F.col("sales")).alias("revenue"),
-            money_total(F.col("profit")).alias("profit"),
-            _margin().alias("profit_margin_pct"),
-            rounded(F.avg("discount"), 3).alias("avg_discount"),
-            F.sum("sales").alias("_sales"),
+            F.count_distinct("order_id").alias(order_count),
+            F.count_distinct("customer_id").alias(customer_count),
+            *_sums("sales", "profit", "discount", "discounts"),
         )
-        .withColumn(
-            "avg_order_value", F.round(quotient(F.col("_sales"), F.col("total_orders")), 2)
-        )
-        .drop("_sales")
+        .withColumn("revenue", F.round("sales", 2))
+        .withColumn("margin", percent(F.col("profit"), F.col("sales")))
+    )
+
+
+def regional_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders, customers, revenue, margin and order value per region and state."""
+    return _per_state(orders, customers, "total_orders", "unique_customers").select(
+        "region",
+        "state",
+        "total_orders",
+        "unique_customers",
+        "revenue",
+        "profit",
+        F.col("margin").alias("profit_margin_pct"),
+        F.round(quotient(F.col("discount"), F.col("discounts")), 3).alias("avg_discount"),
+        F.round(quotient(F.col("sales"), F.col("total_orders")), 2).alias("avg_order_value"),
     )
 
 
 def vw_regional_kpi(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders, customers, revenue, profit and margin per region and state."""
-    return (
-        orders.join(customers, "customer_id")
-        .groupBy("region", "state")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.count_distinct("customer_id").alias("customers"),
-            money_total(F.col("sales")).alias("revenue"),
-            money_total(F.col("profit")).alias("profit"),
-            _margin().alias("margin_pct"),
-        )
+    return _per_state(orders, customers, "orders", "customers").select(
+        "region",
+        "state",
+        "orders",
+        "customers",
+        "revenue",
+        "profit",
+        F.col("margin").alias("margin_pct"),
     )
 
 
@@ -320,28 +336,30 @@ def monthly_kpi_report(orders: DataFrame, year: int, month: int) -> DataFrame:
     A month without orders has zero counts and NULL measures.  Both months come
     from one scan, bounded by date so that files outside are skipped.
     """
-    spark = orders.sparkSession
+    start = F.make_date(F.lit(year), F.lit(month), F.lit(1))
     periods = (
-        spark.range(2)
+        orders.sparkSession.range(2)
         .select(
             F.when(F.col("id") == 0, "Current Month").otherwise("Previous Month").alias("period"),
-            F.add_months(F.make_date(F.lit(year), F.lit(month), F.lit(1)), -F.col("id").cast("int")).alias(
-                "_start"
-            ),
+            F.add_months(start, -F.col("id").cast("int")).alias("_start"),
         )
         .withColumn("month", F.date_format("_start", "MMM yyyy"))
     )
-    start = F.make_date(F.lit(year), F.lit(month), F.lit(1))
     inside = orders.where(
         F.col("order_date").between(F.add_months(start, -1), F.last_day(start))
     )
-    measured = inside.groupBy(F.trunc("order_date", "month").alias("_start")).agg(
-        F.count_distinct("order_id").alias("_orders"),
-        F.count_distinct("customer_id").alias("_customers"),
-        money_total(F.col("sales")).alias("revenue"),
-        money_total(F.col("profit")).alias("profit"),
-        _margin().alias("profit_margin_pct"),
-        F.sum("sales").alias("_sales"),
+    measured = (
+        inside.groupBy(F.trunc("order_date", "month").alias("_start"), "order_id", "customer_id")
+        .agg(*_sums("sales", "profit"))
+        .groupBy("_start")
+        .agg(
+            F.count_distinct("order_id").alias("_orders"),
+            F.count_distinct("customer_id").alias("_customers"),
+            money_total(F.col("sales")).alias("revenue"),
+            money_total(F.col("profit")).alias("profit"),
+            _margin().alias("profit_margin_pct"),
+            F.sum("sales").alias("_sales"),
+        )
     )
     return periods.join(measured, "_start", "left").select(
         "period",

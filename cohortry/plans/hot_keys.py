@@ -10,36 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/SHARES of the rows, so there are fewer
-# than SHARES hot keys whatever the data, and their list is safe to broadcast.
-SHARES = 1000
+# Rows of one key that a task can take without trouble.
+SLICE_ROWS = 1_000_000
+# Longest list of hot keys: a fixed bound, so it can always be broadcast.  A key
+# that does not make the list holds less than 1/MAX_KEYS of all rows.
+MAX_KEYS = 10_000
 
 
 class HotKeys:
-    """The keys of a table that hold more than one share of its rows."""
+    """The keys with more rows than one slice, and their number of slices.
 
-    def __init__(self, counts: DataFrame, key: str, rows: str):
-        total = counts.agg(F.sum(rows)).scalar()
+    The list is ordered by rows and key, so every use of it is the same list.
+    """
+
+    def __init__(self, counts: DataFrame, key: str, rows: str, slice_rows: int = SLICE_ROWS):
         self.key = key
-        self.slices = counts.where(F.col(rows) * SHARES > total).select(
-            F.col(key).alias("_hot"),
-            F.ceil(F.col(rows) * SHARES / total).cast("int").alias("_slices"),
+        self.slices = (
+            counts.where(f"{rows} > {slice_rows}")
+            .orderBy(F.desc(rows), key)
+            .limit(MAX_KEYS)
+            .selectExpr(f"{key} AS _hot", f"CAST(ceil({rows} / {slice_rows}) AS INT) AS _slices")
         )
 
+    def _marked(self, frame: DataFrame) -> DataFrame:
+        return frame.join(F.broadcast(self.slices), F.col(self.key) == F.col("_hot"), "left")
+
     def spread(self, frame: DataFrame, by: str) -> DataFrame:
         """Add ``_salt``: rows of a hot key fall into its slices by a hash of ``by``."""
-        slices = F.coalesce(F.col("_slices"), F.lit(1))
-        return (
-            frame.join(F.broadcast(self.slices), F.col(self.key) == F.col("_hot"), "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(by), slices).cast("int"))
-            .drop("_hot", "_slices")
-        )
+        salt = f"CAST(pmod(xxhash64({by}), coalesce(_slices, 1)) AS INT) AS _salt"
+        return self._marked(frame).selectExpr(*frame.columns, salt)
 
     def repeat(self, frame: DataFrame) -> DataFrame:
         """Add ``_salt``: one copy of a hot key's row for each of its slices."""
-        last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
-        return (
-            frame.join(F.broadcast(self.slices), F.col(self.key) == F.col("_hot"), "left")
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
-            .drop("_hot", "_slices")
-        )
+        salts = "explode(sequence(0, coalesce(_slices, 1) - 1)) AS _salt"
+        return self._marked(frame).selectExpr(*frame.columns, salts)

@@ -15,56 +15,65 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.plans.durable import freeze
 
 # monotonically_increasing_id(): partition number above, place in it below.
 _PLACE_BITS = 33
-_VALUE = "decimal(38,6)"
+_VALUE = "DECIMAL(38,6)"
 
 
-def _ranged(frame: DataFrame, order: Sequence[Column]) -> DataFrame:
+def _ranged(frame: DataFrame, *order: str | Column) -> DataFrame:
     """Range-partition and sort; adds ``_slice`` and the 0-based ``_place`` in it."""
     located = (
         frame.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_spot", F.monotonically_increasing_id())
+        .selectExpr("*", "monotonically_increasing_id() AS _spot")
     )
-    return freeze(located).select(
+    return freeze(located).selectExpr(
         *frame.columns,
-        F.shiftright("_spot", _PLACE_BITS).cast("int").alias("_slice"),
-        F.col("_spot").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
+        f"CAST(shiftright(_spot, {_PLACE_BITS}) AS INT) AS _slice",
+        f"_spot & {(1 << _PLACE_BITS) - 1}L AS _place",
     )
 
 
-def _before(group: Sequence[str]) -> Window:
+def _rows_before(rows: str, *group: str) -> str:
+    """SQL for the rows of a group that lie in earlier slices."""
+    within = f"PARTITION BY {', '.join(group)} " if group else ""
     return (
-        Window.partitionBy(*group)
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        f"coalesce(sum({rows}) OVER ({within}ORDER BY _slice"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
     )
 
 
-def add_row_number(frame: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+def add_row_number(frame: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Dense 1..N numbers in ``order``; equal rows are numbered in any order.
 
     The input is checkpointed first so that a physical row id can break ties:
     without it, a run of equal keys could not be split over ranges.
     """
-    tied = freeze(frame).withColumn("_tie", F.monotonically_increasing_id())
-    placed = _ranged(tied, [*order, F.col("_tie")])
-    sizes = placed.groupBy("_slice").count()
-    offsets = sizes.select(
-        "_slice", F.coalesce(F.sum("count").over(_before([])), F.lit(0)).alias("_offset")
+    tied = freeze(frame).selectExpr("*", "monotonically_increasing_id() AS _tie")
+    placed = _ranged(tied, *order, "_tie")
+    offsets = (
+        placed.groupBy("_slice")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .selectExpr("_slice", f"{_rows_before('_rows')} AS _offset")
     )
     # One row per range partition: bounded by the shuffle partition count.
-    return placed.join(F.broadcast(offsets), "_slice").select(
-        (F.col("_offset") + F.col("_place") + 1).alias(name), *frame.columns
+    return placed.join(F.broadcast(offsets), "_slice").selectExpr(
+        f"_offset + _place + 1 AS {name}", *frame.columns
     )
 
 
+def _literal(value: object, kind: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind})"
+
+
 def add_tiles(
     frame: DataFrame,
     key: str,
@@ -74,7 +83,7 @@ def add_tiles(
     """NTILE scores for several numeric columns at once, ties broken by ``key``.
 
     ``scores`` maps a new column to ``(source column, descending)``.  ``key``
-    must be unique.  NULLs sort lowest.
+    must be a unique integer or text column.  NULLs sort lowest.
 
     Only the first row of each tile has to be known: ``len(scores) * (tiles-1)``
     cut rows.  They are found by place in one ranged copy of the key and the
@@ -82,68 +91,64 @@ def add_tiles(
     itself is not shuffled.
     """
     frozen = freeze(frame)
-    key_type = frozen.schema[key].dataType
+    key_type = frozen.schema[key].dataType.simpleString()
 
-    def sort_key(column: str, descending: bool) -> tuple[Column, Column]:
-        value = F.col(column).cast(_VALUE)
-        missing = F.col(column).isNull()
+    def sort_key(column: str, descending: bool) -> tuple[str, str]:
+        """Ascending sort key: where NULLs go, and the value."""
         if descending:
-            return missing.cast("int"), -value
-        return (~missing).cast("int"), value
-
-    entries = []
-    for name, (column, descending) in scores.items():
-        present, value = sort_key(column, descending)
-        entries.append(
-            F.struct(
-                F.lit(name).alias("_score"),
-                present.alias("_level"),
-                value.cast(_VALUE).alias("_value"),
-            )
-        )
-    keyed = frozen.select(F.inline(F.array(*entries)), F.col(key).alias("_key"))
-    place_order = [F.col(c) for c in ("_score", "_level", "_value", "_key")]
-    placed = _ranged(keyed, place_order)
+            return f"int({column} IS NULL)", f"CAST(-{column} AS {_VALUE})"
+        return f"int({column} IS NOT NULL)", f"CAST({column} AS {_VALUE})"
 
-    sizes = placed.groupBy("_score", "_slice").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
+    keys = {name: sort_key(*source) for name, source in scores.items()}
+    entries = ", ".join(
+        f"struct('{name}' AS _score, {level} AS _level, {value} AS _value)"
+        for name, (level, value) in keys.items()
     )
-    counted = sizes.withColumn(
-        "_offset", F.coalesce(F.sum("_rows").over(_before(["_score"])), F.lit(0))
-    ).withColumn("_total", F.sum("_rows").over(Window.partitionBy("_score")))
-
-    # Rows in the first t tiles: the first (total % tiles) tiles hold one more.
-    tile = F.col("_tile")
-    small = F.floor(F.col("_total") / tiles)
-    rest = F.col("_total") % tiles
-    cut = (
-        counted.withColumn("_tile", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))))
-        .withColumn("_cut", tile * small + F.least(tile.cast("bigint"), rest) - F.col("_offset"))
-        .where((F.col("_cut") >= 0) & (F.col("_cut") < F.col("_rows")))
-        .select("_score", "_slice", "_tile", (F.col("_first") + F.col("_cut")).alias("_place"))
+    placed = _ranged(
+        frozen.selectExpr(f"inline(array({entries}))", f"{key} AS _key"),
+        "_score", "_level", "_value", "_key",
+    )
+
+    # The first (total % tiles) tiles hold one row more than the others.  A cut
+    # is the number of rows in the first tiles, counted from its slice's start.
+    cuts = (
+        placed.groupBy("_score", "_slice")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+        .selectExpr(
+            "*",
+            f"{_rows_before('_rows', '_score')} AS _offset",
+            "sum(_rows) OVER (PARTITION BY _score) AS _total",
+            f"explode(sequence(1, {tiles - 1})) AS _tile",
+        )
+        .selectExpr(
+            "*",
+            f"_tile * (_total div {tiles}) + least(_tile, _total % {tiles}) - _offset AS _cut",
+        )
+        .where("_cut >= 0 AND _cut < _rows")
+        .selectExpr("_score", "_slice", "_first + _cut AS _place")
     )
     # At most len(scores) * (tiles - 1) rows, so broadcast and collect are bounded.
     cut_rows = (
-        placed.join(F.broadcast(cut), ["_score", "_slice", "_place"])
+        placed.join(F.broadcast(cuts), ["_score", "_slice", "_place"])
         .select("_score", "_level", "_value", "_key")
         .collect()
     )
 
-    result = frozen
-    for name, (column, descending) in scores.items():
-        present, value = sort_key(column, descending)
-        here = F.struct(present, value.cast(_VALUE), F.col(key))
-        score = F.lit(1)
+    columns = []
+    for name, (level, value) in keys.items():
+        score = "1"
         for row in cut_rows:
             if row["_score"] == name:
-                first = F.struct(
-                    F.lit(row["_level"]).cast("int"),
-                    F.lit(row["_value"]).cast(_VALUE),
-                    F.lit(row["_key"]).cast(key_type),
+                first = ", ".join(
+                    (
+                        _literal(row["_level"], "INT"),
+                        _literal(row["_value"], _VALUE),
+                        _literal(row["_key"], key_type),
+                    )
                 )
-                score = score + (here >= first).cast("int")
-        result = result.withColumn(name, score)
-    return result
+                score += f" + int(struct({level}, {value}, {key}) >= struct({first}))"
+        columns.append(f"{score} AS {name}")
+    return frozen.selectExpr("*", *columns)
 
 
 def add_ranks(
@@ -167,6 +172,7 @@ def add_ranks(
     group_columns = sorted({c for within in ranks.values() for c in within})
     key_columns = group_columns + [c for c in order_columns if c not in group_columns]
     sort = [F.desc(c) if descending else F.asc(c) for c, descending in order]
+    sort_sql = ", ".join(f"{c} {'DESC' if descending else 'ASC'}" for c, descending in order)
 
     # Equal keys must share a range for every rank, so the range order may start
     # with the groups only if all ranks are within those groups.
@@ -176,38 +182,39 @@ def add_ranks(
         frame.groupBy(*key_columns)
         .agg(F.count(F.lit(1)).alias("_n"))
         .repartitionByRange(*bounds)
-        .withColumn("_slice", F.spark_partition_id())
+        .selectExpr("*", "spark_partition_id() AS _slice")
     )
 
     ranked, outputs = keys, []
     # Whole-table ranks first: their hash on the range also serves the others.
     for name, within in sorted(ranks.items(), key=lambda item: len(item[1])):
-        within = list(within)
-        totals = keys.groupBy(*within, "_slice").agg(F.sum("_n").alias("_rows"))
-        offsets = totals.select(
-            *[F.col(c).alias(f"_g_{c}") for c in within],
-            F.col("_slice").alias("_g_slice"),
-            F.coalesce(F.sum("_rows").over(_before(within)), F.lit(0)).alias("_offset"),
-            F.sum("_rows").over(Window.partitionBy(*within)).alias(f"_size_{name}"),
+        group = ", ".join(["_slice", *within])
+        offsets = (
+            keys.groupBy(*within, "_slice")
+            .agg(F.sum("_n").alias("_rows"))
+            .selectExpr(
+                "_slice AS _g_slice",
+                *[f"{c} AS _g_{c}" for c in within],
+                f"{_rows_before('_rows', *within)} AS _offset",
+                f"sum(_rows) OVER (PARTITION BY {', '.join(within) or 'NULL'}) AS _size_{name}",
+            )
+        )
+        same_group = " AND ".join(
+            ["_slice = _g_slice", *[f"{c} <=> _g_{c}" for c in within]]
         )
-        matched = F.col("_slice") == F.col("_g_slice")
-        for column in within:
-            matched = matched & F.col(column).eqNullSafe(F.col(f"_g_{column}"))
-        running = Window.partitionBy("_slice", *within).orderBy(*sort)
-        peers = Window.partitionBy("_slice", *within, *order_columns)
         ranked = (
-            ranked.withColumn("_upto", F.sum("_n").over(running))
-            .withColumn("_peers", F.sum("_n").over(peers))
-            .join(offsets, matched)
-            .withColumn(name, F.col("_offset") + F.col("_upto") - F.col("_peers") + 1)
-            .drop("_upto", "_peers", "_offset", "_g_slice", *[f"_g_{c}" for c in within])
+            ranked.selectExpr(
+                "*",
+                f"sum(_n) OVER (PARTITION BY {group} ORDER BY {sort_sql}) AS _upto",
+                f"sum(_n) OVER (PARTITION BY {group}, {', '.join(order_columns)}) AS _peers",
+            )
+            .join(offsets, F.expr(same_group))
+            .selectExpr(*ranked.columns, f"_size_{name}", f"_offset + _upto - _peers + 1 AS {name}")
         )
-        outputs.append(F.col(name))
+        outputs.append(name)
         if name in sizes:
-            outputs.append(F.col(f"_size_{name}").alias(sizes[name]))
+            outputs.append(f"_size_{name} AS {sizes[name]}")
 
-    lookup = ranked.select(*[F.col(c).alias(f"_k_{c}") for c in key_columns], *outputs)
-    same_key = F.lit(True)
-    for column in key_columns:
-        same_key = same_key & F.col(column).eqNullSafe(F.col(f"_k_{column}"))
-    return frame.join(lookup, same_key).drop(*[f"_k_{c}" for c in key_columns])
+    lookup = ranked.selectExpr(*[f"{c} AS _k_{c}" for c in key_columns], *outputs)
+    same_key = " AND ".join(f"{c} <=> _k_{c}" for c in key_columns)
+    return frame.join(lookup, F.expr(same_key)).drop(*[f"_k_{c}" for c in key_columns])

@@ -84,5 +84,4 @@ def check_domain(
 
 def assign_event_id(events: DataFrame) -> DataFrame:
     """Dense 1..N event ids in the order of date, user and type."""
-    order = [F.col("event_date"), F.col("user_id"), F.col("event_type")]
-    return add_row_number(events, order, "event_id")
+    return add_row_number(events, ["event_date", "user_id", "event_type"], "event_id")

@@ -13,15 +13,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.functions.arithmetic import count_where
-from cohortry.functions.buckets import first_match
 from cohortry.operators.funnel import STAGES
-from cohortry.plans.hot_keys import HotKeys
+from cohortry.plans.hot_keys import SLICE_ROWS, HotKeys
 from cohortry.sources.schemas import SUBSCRIBERS
 
 # Recency is counted to the latest order date of the data.
 AS_OF = dt.date(2001, 8, 1)
-CHURN_BEFORE = dt.date(2001, 1, 31)
+
+# The columns in use; declaring them saves a job per file to read its schema.
+COLUMNS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, "
+    "o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+}
 
 
 @dataclass(frozen=True)
@@ -38,7 +49,7 @@ class Funnel:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def sales_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,64 +57,59 @@ def sales_customers(spark: SparkSession, folder: str) -> DataFrame:
     region = table(spark, folder, "region")
     return (
         table(spark, folder, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            F.col("c_mktsegment").alias("segment"),
-            F.col("r_name").alias("region"),
-            F.col("n_name").alias("state"),
-            F.col("n_name").alias("city"),
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS customer_name",
+            "c_mktsegment AS segment",
+            "r_name AS region",
+            "n_name AS state",
+            "n_name AS city",
         )
     )
 
 
 def sales_products(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("sub_category"),
-        F.col("p_name").alias("product_name"),
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_type AS category",
+        "p_brand AS sub_category",
+        "p_name AS product_name",
     )
 
 
 def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) -> DataFrame:
-    """Order lines.  Profit needs the product table; without it, one join less."""
-    priority = F.col("o_orderpriority")
-    mode = first_match(
-        [
-            (priority == "1-URGENT", "Same Day"),
-            (priority == "2-HIGH", "First Class"),
-            (priority == "3-MEDIUM", "Second Class"),
-        ],
-        "Standard Class",
-    )
+    """Order lines.  Profit needs the product table; without it, one join less.
+
+    Order ids are text, as in the declared schema.  That also keeps reports that
+    group by order from sitting on the join's own partitioning, which would stop
+    AQE from splitting an order that holds a large share of the lines.
+    """
     lines = (
         table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("l_shipdate").cast("date").alias("ship_date"),
-            mode.alias("ship_mode"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("sales"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            (F.col("l_discount") * 4).cast("decimal(5,2)").alias("discount"),
+        .join(table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            "CAST(l_orderkey AS STRING) AS order_id",
+            "CAST(o_orderdate AS DATE) AS order_date",
+            "CAST(l_shipdate AS DATE) AS ship_date",
+            """CASE o_orderpriority WHEN '1-URGENT' THEN 'Same Day' WHEN '2-HIGH' THEN 'First Class'
+               WHEN '3-MEDIUM' THEN 'Second Class' ELSE 'Standard Class' END AS ship_mode""",
+            "o_custkey AS customer_id",
+            "l_partkey AS product_id",
+            "CAST(l_extendedprice AS DECIMAL(12,2)) AS sales",
+            "CAST(l_quantity AS INT) AS quantity",
+            "CAST(l_discount * 4 AS DECIMAL(5,2)) AS discount",
         )
     )
     if not with_profit:
         return lines
-    twentieth = F.lit("0.05").cast("decimal(5,2)")
-    markup = (twentieth * (F.col("p_size") % 6 + 1)).cast("decimal(5,2)")
-    sizes = table(spark, folder, "part").select("p_partkey", "p_size")
-    return lines.join(sizes, F.col("product_id") == F.col("p_partkey"), "left").select(
-        *lines.columns,
-        F.round(F.col("sales") * (markup - F.col("discount")), 2)
-        .cast("decimal(14,2)")
-        .alias("profit"),
+    markup = table(spark, folder, "part").selectExpr(
+        "p_partkey", "CAST(0.05BD * (p_size % 6 + 1) AS DECIMAL(5,2)) AS markup"
+    )
+    profit = "CAST(round(sales * (markup - discount), 2) AS DECIMAL(14,2)) AS profit"
+    return lines.join(markup, F.expr("product_id = p_partkey"), "left").selectExpr(
+        *lines.columns, profit
     )
 
 
@@ -118,11 +124,10 @@ def sales(spark: SparkSession, folder: str, with_profit: bool = True) -> Sales:
 def sales_flat(spark: SparkSession, folder: str) -> DataFrame:
     """The star schema joined back into one wide line-grain file."""
     parts = sales(spark, folder)
-    returned = F.when(F.col("l_returnflag") == "R", "Yes")
     flags = (
         table(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_id"))
-        .agg(F.max(returned).alias("returned"))
+        .groupBy(F.expr("CAST(l_orderkey AS STRING)").alias("order_id"))
+        .agg(F.expr("max(CASE WHEN l_returnflag = 'R' THEN 'Yes' END)").alias("returned"))
     )
     return (
         parts.orders.join(parts.customers, "customer_id")
@@ -131,54 +136,48 @@ def sales_flat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Subscriber columns that reports use; the others are filled with 'No'.
+SUBSCRIBER_COLUMNS = {
+    "customer_id": "c_custkey",
+    "senior_citizen": "0",
+    "tenure": "(c_custkey * 7 + c_nationkey) % 73",
+    "internet_service": "elt(c_custkey % 3 + 1, 'Fiber optic', 'DSL', 'No')",
+    "online_security": "if(c_nationkey % 2 = 0, 'Yes', 'No')",
+    "tech_support": "if(c_custkey % 2 = 0, 'Yes', 'No')",
+    "contract": """CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'One year'
+                   WHEN 'MACHINERY' THEN 'Two year' ELSE 'Month-to-month' END""",
+    "payment_method": """elt(c_nationkey % 4 + 1,
+                   'Electronic check', 'Mailed check', 'Bank transfer', 'Credit card')""",
+    "monthly_charges": "charges",
+    "total_charges": """CASE WHEN (c_custkey * 7 + c_nationkey) % 73 > 0
+                   THEN charges * ((c_custkey * 7 + c_nationkey) % 73) END""",
+    "churn": "if(last_order >= DATE'2001-01-31', 'No', 'Yes')",
+}
+
+
 def subscribers(spark: SparkSession, folder: str) -> DataFrame:
     """Subscribers: customers, churned when they stopped ordering."""
     last_order = (
         table(spark, folder, "orders")
-        .groupBy(F.col("o_custkey").alias("_buyer"))
-        .agg(F.max("o_orderdate").cast("date").alias("_last_order"))
+        .groupBy(F.col("o_custkey").alias("buyer"))
+        .agg(F.max("o_orderdate").cast("date").alias("last_order"))
     )
-    key, place = F.col("c_custkey"), F.col("c_nationkey")
-    segment = F.col("c_mktsegment")
-    tenure = ((key * 7 + place) % 73).cast("int")
-    charges = F.round(
-        (F.col("c_acctbal").cast("decimal(12,2)") + 1000) * F.lit("0.01").cast("decimal(3,2)"), 2
-    ).cast("decimal(8,2)")
-    stayed = F.col("_last_order") >= F.lit(CHURN_BEFORE)
-    known = {
-        "customer_id": key,
-        "senior_citizen": F.lit(0),
-        "tenure": tenure,
-        "internet_service": first_match([(key % 3 == 0, "Fiber optic"), (key % 3 == 1, "DSL")], "No"),
-        "online_security": F.when(place % 2 == 0, "Yes").otherwise("No"),
-        "tech_support": F.when(key % 2 == 0, "Yes").otherwise("No"),
-        "contract": first_match(
-            [(segment == "HOUSEHOLD", "One year"), (segment == "MACHINERY", "Two year")],
-            "Month-to-month",
-        ),
-        "payment_method": first_match(
-            [
-                (place % 4 == 0, "Electronic check"),
-                (place % 4 == 1, "Mailed check"),
-                (place % 4 == 2, "Bank transfer"),
-            ],
-            "Credit card",
-        ),
-        "monthly_charges": charges,
-        "total_charges": F.when(tenure > 0, charges * tenure),
-        "churn": F.when(stayed, "No").otherwise("Yes"),
-    }
+    charges = """CAST(round((CAST(c_acctbal AS DECIMAL(12,2)) + 1000) * 0.01BD, 2)
+                 AS DECIMAL(8,2)) AS charges"""
     columns = [
-        known.get(f.name, F.lit("No")).cast(f.dataType).alias(f.name) for f in SUBSCRIBERS.fields
+        f"CAST({SUBSCRIBER_COLUMNS.get(f.name, repr('No'))} AS {f.dataType.simpleString()})"
+        f" AS {f.name}"
+        for f in SUBSCRIBERS.fields
     ]
     return (
         table(spark, folder, "customer")
-        .join(last_order, key == F.col("_buyer"), "left")
-        .select(*columns)
+        .selectExpr("c_custkey", "c_nationkey", "c_mktsegment", charges)
+        .join(last_order, F.expr("c_custkey = buyer"), "left")
+        .selectExpr(*columns)
     )
 
 
-def _stage_times(spark: SparkSession, folder: str) -> DataFrame:
+def _stage_times(log: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Per user with a signup: the time of each funnel stage, NULL if not reached.
 
     Onboarding is the first view within three days of the first signup, the
@@ -187,101 +186,86 @@ def _stage_times(spark: SparkSession, folder: str) -> DataFrame:
     share the user key, so hot users are salted: their events are spread over
     slices and their one row is repeated per slice.
     """
-    log = table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
-    kind = F.col("event_type")
     counts = (
-        log.where(kind.isin("signup", "view", "purchase") & F.col("user_id").isNotNull())
+        log.where("event_type IN ('signup', 'view', 'purchase') AND user_id IS NOT NULL")
         .groupBy("user_id")
         .agg(
-            F.min(F.when(kind == "signup", F.col("ts"))).alias(STAGES[0]),
-            count_where(kind != "signup").alias("_rows"),
+            F.expr("min(ts) FILTER (WHERE event_type = 'signup')").alias(STAGES[0]),
+            F.expr("count_if(event_type <> 'signup')").alias("later_events"),
         )
     )
-    hot = HotKeys(counts, "user_id", "_rows")
-    times = counts.where(F.col(STAGES[0]).isNotNull()).drop("_rows")
-
-    # Salts are spread once per event type; both purchase stages share a shuffle.
-    spread = {
-        k: hot.spread(log.where(kind == k).drop("event_type"), "event_id").select(
-            F.col("user_id").alias("_user"), F.col("_salt").alias("_slice"), "ts"
-        )
-        for k in ("view", "purchase")
+    hot = HotKeys(counts, "user_id", "later_events", slice_rows)
+    times = counts.where(f"{STAGES[0]} IS NOT NULL").drop("later_events")
+
+    # Both purchase stages read the same shuffle of the purchases.
+    later = {
+        kind: hot.spread(
+            log.where(f"event_type = '{kind}'").select("user_id", "event_id", "ts"), "event_id"
+        ).selectExpr("user_id AS _user", "_salt AS _slice", "ts")
+        for kind in ("view", "purchase")
     }
-    steps = (
+    for before, stage, kind, days in (
         (STAGES[0], STAGES[1], "view", 3),
         (STAGES[1], STAGES[2], "purchase", 2),
         (STAGES[2], STAGES[3], "purchase", 2),
-    )
-    for before, stage, source, days in steps:
-        waiting = hot.repeat(
-            times.where(F.col(before).isNotNull()).select("user_id", F.col(before).alias("_from"))
+    ):
+        known = [c for c in times.columns if c != "user_id"]
+        in_time = F.expr(
+            f"""user_id = _user AND _salt = _slice
+                AND ts > {before} AND ts <= {before} + INTERVAL {days} DAYS"""
         )
-        until = F.col("_from") + F.expr(f"INTERVAL {days} DAYS")
-        reached = (
-            waiting.join(
-                spread[source],
-                (F.col("user_id") == F.col("_user"))
-                & (F.col("_salt") == F.col("_slice"))
-                & (F.col("ts") > F.col("_from"))
-                & (F.col("ts") <= until),
-            )
-            .groupBy(F.col("user_id").alias("_reached"))
-            .agg(F.min("ts").alias(stage))
+        times = (
+            hot.repeat(times)
+            .join(later[kind], in_time, "left")
+            .groupBy("user_id")
+            .agg(*[F.min(c).alias(c) for c in known], F.min("ts").alias(stage))
         )
-        times = times.join(reached, F.col("user_id") == F.col("_reached"), "left").drop("_reached")
     return times
 
 
-def funnel(spark: SparkSession, folder: str) -> Funnel:
-    """Users and their funnel events, at most one per stage.
+# All dates of a user move by the same number of days, so that signups fill a
+# year of weekly cohorts.
+SHIFT = "CAST((user_id * 7) % 364 AS INT)"
 
-    All dates of a user are moved by the same number of days, so that signups
-    fill a year of weekly cohorts.
-    """
-    user = F.col("user_id")
-    shift = ((user * 7) % 364).cast("int")
-    times = _stage_times(spark, folder)
-    dated = times.select(
-        "user_id", *[F.date_add(F.col(s).cast("date"), shift).alias(s) for s in STAGES]
+
+def funnel_events(log: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Funnel events from an event log, at most one per user and stage."""
+    reached = ", ".join(
+        f"struct('{s}' AS event_type, date_add(CAST({s} AS DATE), {SHIFT}) AS event_date)"
+        for s in STAGES
     )
-    marked = [
-        F.struct(F.lit(s).alias("event_type"), F.col(s).alias("event_date")) for s in STAGES
-    ]
-    events = dated.select("user_id", F.inline(F.array(*marked))).where(
-        F.col("event_date").isNotNull()
+    return (
+        _stage_times(log, slice_rows)
+        .selectExpr("user_id", f"inline(array({reached}))")
+        .where("event_date IS NOT NULL")
     )
 
-    segment = F.col("c_mktsegment")
-    people = (
-        table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("user_id"),
-            first_match(
-                [
-                    (segment == "AUTOMOBILE", "organic"),
-                    (segment == "BUILDING", "paid_search"),
-                    (segment == "FURNITURE", "referral"),
-                    (segment == "HOUSEHOLD", "email"),
-                ],
-                "social",
-            ).alias("channel"),
-            F.col("n_name").alias("city"),
-        )
-    )
-    # The signup alone makes a user, so the later stages are not computed here.
+
+def funnel_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Users with a signup.  The signup alone makes a user, so no later stage is
+    worked out here."""
     signups = (
         table(spark, folder, "events")
-        .where((F.col("event_type") == "signup") & user.isNotNull())
+        .where("event_type = 'signup' AND user_id IS NOT NULL")
         .groupBy("user_id")
-        .agg(F.min("ts").cast("date").alias("_signup"))
+        .agg(F.min("ts").cast("date").alias("signup"))
+    )
+    people = table(spark, folder, "customer").join(
+        table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
     )
-    users = signups.join(people, "user_id").select(
+    return signups.join(people, F.expr("user_id = c_custkey")).selectExpr(
         "user_id",
-        F.date_add("_signup", shift).alias("signup_date"),
-        "channel",
-        F.when(user % 3 == 0, "returning").otherwise("new").alias("segment"),
-        "city",
-        first_match([(user % 3 == 0, "mobile"), (user % 3 == 1, "desktop")], "tablet").alias("device"),
+        f"date_add(signup, {SHIFT}) AS signup_date",
+        """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'organic' WHEN 'BUILDING' THEN 'paid_search'
+           WHEN 'FURNITURE' THEN 'referral' WHEN 'HOUSEHOLD' THEN 'email' ELSE 'social' END
+           AS channel""",
+        "if(user_id % 3 = 0, 'returning', 'new') AS segment",
+        "n_name AS city",
+        "elt(user_id % 3 + 1, 'mobile', 'desktop', 'tablet') AS device",
+    )
+
+
+def funnel(spark: SparkSession, folder: str) -> Funnel:
+    return Funnel(
+        users=funnel_users(spark, folder), events=funnel_events(table(spark, folder, "events"))
     )
-    return Funnel(users=users, events=events)

@@ -577,7 +577,7 @@ UNION ALL SELECT 'returns', count(DISTINCT order_id), NULL FROM unpriced
     ),
     "split_star_returns": over(
         SALES,
-        "SELECT DISTINCT order_id, 'Yes' AS returned FROM unpriced WHERE l_returnflag = 'R'",
+        "SELECT DISTINCT order_id::VARCHAR AS order_id, 'Yes' AS returned FROM unpriced WHERE l_returnflag = 'R'",
     ),
 }
 
