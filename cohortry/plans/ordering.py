@@ -118,8 +118,8 @@ def add_tiles(
             "*",
             f"{_rows_before('_rows', '_score')} AS _offset",
             "sum(_rows) OVER (PARTITION BY _score) AS _total",
-            f"explode(sequence(1, {tiles - 1})) AS _tile",
         )
+        .selectExpr("*", f"explode(sequence(1, {tiles - 1})) AS _tile")
         .selectExpr(
             "*",
             f"_tile * (_total div {tiles}) + least(_tile, _total % {tiles}) - _offset AS _cut",

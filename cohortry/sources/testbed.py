@@ -97,7 +97,7 @@ def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) ->
                WHEN '3-MEDIUM' THEN 'Second Class' ELSE 'Standard Class' END AS ship_mode""",
             "o_custkey AS customer_id",
             "l_partkey AS product_id",
-            "CAST(l_extendedprice AS DECIMAL(12,2)) AS sales",
+            "CAST(l_extendedprice AS DECIMAL(10,2)) AS sales",
             "CAST(l_quantity AS INT) AS quantity",
             "CAST(l_discount * 4 AS DECIMAL(5,2)) AS discount",
         )
@@ -107,7 +107,7 @@ def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) ->
     markup = table(spark, folder, "part").selectExpr(
         "p_partkey", "CAST(0.05BD * (p_size % 6 + 1) AS DECIMAL(5,2)) AS markup"
     )
-    profit = "CAST(round(sales * (markup - discount), 2) AS DECIMAL(14,2)) AS profit"
+    profit = "CAST(round(sales * (markup - discount), 2) AS DECIMAL(10,2)) AS profit"
     return lines.join(markup, F.expr("product_id = p_partkey"), "left").selectExpr(
         *lines.columns, profit
     )
