@@ -11,6 +11,7 @@ from cohortry.sources import testbed
 @pytest.fixture(scope="module")
 def stored(spark, folder, tmp_path_factory):
     """The business tables as parquet, the way reports meet them."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10000)
     root = tmp_path_factory.mktemp("stored")
     area = testbed.sales(spark, folder)
     data = testbed.funnel(spark, folder)
