@@ -27,18 +27,17 @@ class StarSchema:
 def _dimension(flat: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     """One row per key: the smallest combination of its attributes.
 
-    ``_variants`` tells whether the flat file holds more than one combination.
-    Smallest and largest are partial aggregates, so a hot key stays one row per task.
+    ``_variants`` counts the combinations in the flat file.  The lines are first
+    reduced to distinct combinations, which a hash aggregate does before the
+    shuffle; the smallest one is then picked among few rows.
     """
-    combination = F.struct(*attributes)
     return (
         flat.where(F.col(key).isNotNull())
+        .select(key, *attributes)
+        .distinct()
         .groupBy(key)
-        .agg(
-            F.min(combination).alias("_low"),
-            F.max(combination).alias("_high"),
-        )
-        .select(key, "_low.*", (~F.col("_low").eqNullSafe(F.col("_high"))).alias("_variants"))
+        .agg(F.min(F.struct(*attributes)).alias("_first"), F.count(F.lit(1)).alias("_variants"))
+        .select(key, "_first.*", "_variants")
     )
 
 
@@ -48,6 +47,8 @@ def split_star_schema(flat: DataFrame) -> StarSchema:
     goods = _dimension(flat, "product_id", SALES_PRODUCTS.fieldNames()[1:])
     returned = (
         flat.where(F.col("returned").isNotNull())
+        .select("order_id", "returned")
+        .distinct()
         .groupBy("order_id")
         .agg(F.max("returned").alias("returned"))
     )
@@ -56,7 +57,7 @@ def split_star_schema(flat: DataFrame) -> StarSchema:
         return dimension.agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("keys"),
-            F.count_if("_variants").alias("conflicting_keys"),
+            F.count_if(F.col("_variants") > 1).alias("conflicting_keys"),
         )
 
     return StarSchema(

@@ -127,7 +127,8 @@ def sales_flat(spark: SparkSession, folder: str) -> DataFrame:
     flags = (
         table(spark, folder, "lineitem")
         .groupBy(F.expr("CAST(l_orderkey AS STRING)").alias("order_id"))
-        .agg(F.expr("max(CASE WHEN l_returnflag = 'R' THEN 'Yes' END)").alias("returned"))
+        .agg(F.expr("max(int(l_returnflag = 'R'))").alias("flag"))
+        .selectExpr("order_id", "CASE WHEN flag = 1 THEN 'Yes' END AS returned")
     )
     return (
         parts.orders.join(parts.customers, "customer_id")

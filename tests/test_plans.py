@@ -103,3 +103,27 @@ def test_no_python_workers(stored):
         churn.running_churn(stored["subscribers"]),
     ):
         assert "Python" not in plan(frame)
+
+
+def test_display_order(spark, folder):
+    import __spark_entry__ as registry
+    from cohortry.plans.display import DISPLAY_ORDER, for_display
+
+    queries = registry.queries()
+    for name, wanted in DISPLAY_ORDER.items():
+        assert name in queries and wanted
+    shown = for_display("churn_by_payment", queries["churn_by_payment"](spark, folder)).collect()
+    rates = [r["churn_rate_pct"] for r in shown]
+    assert rates == sorted(rates, reverse=True)
+    quarters = [
+        r["quarter_label"]
+        for r in for_display("quarterly_yoy", queries["quarterly_yoy"](spark, folder)).collect()
+    ]
+    assert quarters == sorted(quarters, key=lambda q: (q[3:], q[1]))
+
+
+def test_order_counts_do_not_shuffle_every_line(stored):
+    """Only lines of the top products reach the distinct count."""
+    text = plan(sales.top_products(stored["orders"], stored["products"]))
+    order_scans = [s for s in scans(text) if "order_id" in s]
+    assert [columns(s) for s in order_scans] == [{"product_id", "order_id"}]
