@@ -248,7 +248,7 @@ def top_at_risk(customers: DataFrame, n: int = 6) -> DataFrame:
         .limit(n)
     )
     order = Window.orderBy(F.desc("monthly_charges"), F.asc("tenure"))
-    return top.withColumn("overall_risk_rank", F.rank().over(order))
+    return top.withColumn("overall_risk_rank", F.rank().over(order).cast("bigint"))
 
 
 def vw_churn_drivers(customers: DataFrame, at_least: int = 10) -> DataFrame:

@@ -379,14 +379,14 @@ FROM sold GROUP BY ALL""",
 
 RFM = SALES.rstrip() + """,
 spend AS (
-  SELECT customer_id, date_diff('day', max(order_date), DATE '2001-08-01') AS recency_days,
+  SELECT customer_id, (DATE '2001-08-01' - max(order_date))::INTEGER AS recency_days,
     count(DISTINCT order_id) AS frequency, sum(sales) AS monetary
   FROM unpriced GROUP BY customer_id
 ),
 scored AS (
-  SELECT *, ntile(5) OVER (ORDER BY recency_days DESC, customer_id) AS r_score,
-    ntile(5) OVER (ORDER BY frequency, customer_id) AS f_score,
-    ntile(5) OVER (ORDER BY monetary, customer_id) AS m_score
+  SELECT *, ntile(5) OVER (ORDER BY recency_days DESC, customer_id)::INTEGER AS r_score,
+    ntile(5) OVER (ORDER BY frequency, customer_id)::INTEGER AS f_score,
+    ntile(5) OVER (ORDER BY monetary, customer_id)::INTEGER AS m_score
   FROM spend
 ),
 segmented AS (
@@ -460,7 +460,7 @@ FROM sold JOIN goods USING (product_id) GROUP BY ALL HAVING sum(profit) < 0""",
 SELECT category, sub_category, revenue::DOUBLE AS revenue, profit::DOUBLE AS profit,
   {pct('revenue', 'sum(revenue) OVER ()')} AS pct_of_total_revenue,
   {pct('revenue', 'sum(revenue) OVER (PARTITION BY category)')} AS pct_within_category,
-  rank() OVER (PARTITION BY category ORDER BY revenue DESC) AS rank_in_category
+  rank() OVER (PARTITION BY category ORDER BY revenue DESC)::INTEGER AS rank_in_category
 FROM kinds""",
     ),
     "vw_category_performance": over(
@@ -671,7 +671,7 @@ FROM stage_events""",
         FUNNEL,
         f"""SELECT channel, device, count(*) AS converters,
   {mean('d2 - d1', 1)} AS avg_days_to_onboard, {mean('d3 - d1', 1)} AS avg_days_to_purchase,
-  min(d3 - d1) AS fastest_days, max(d3 - d1) AS slowest_days
+  min(d3 - d1)::INTEGER AS fastest_days, max(d3 - d1)::INTEGER AS slowest_days
 FROM journeys WHERE d3 IS NOT NULL GROUP BY channel, device""",
     ),
     "cohort_retention": over(
