@@ -56,6 +56,13 @@ def publish_view(
     return view.sparkSession.read.parquet(path)
 
 
+def publish_views(views: dict[str, Callable[..., DataFrame]], tables, folder: str) -> list[str]:
+    """Publish every view of a business area below ``folder``; returns the names."""
+    for name, build in views.items():
+        publish_view(build(tables), f"{folder}/{name}")
+    return list(views)
+
+
 def preview_view(spark: SparkSession, name: str, n: int = 5) -> DataFrame:
     """The first ``n`` rows of a registered view, in no particular order."""
     return spark.table(name).limit(n)

@@ -79,8 +79,8 @@ def sales_products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) -> DataFrame:
-    """Order lines.  Profit needs the product table; without it, one join less.
+def _lines(spark: SparkSession, folder: str, with_profit: bool) -> DataFrame:
+    """Order lines and whether they came back.
 
     Order ids are text, as in the declared schema.  That also keeps reports that
     group by order from sitting on the join's own partitioning, which would stop
@@ -100,6 +100,7 @@ def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) ->
             "CAST(l_extendedprice AS DECIMAL(10,2)) AS sales",
             "CAST(l_quantity AS INT) AS quantity",
             "CAST(l_discount * 4 AS DECIMAL(5,2)) AS discount",
+            "CASE WHEN l_returnflag = 'R' THEN 'Yes' END AS returned",
         )
     )
     if not with_profit:
@@ -113,6 +114,11 @@ def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) ->
     )
 
 
+def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) -> DataFrame:
+    """Order lines.  Profit needs the product table; without it, one join less."""
+    return _lines(spark, folder, with_profit).drop("returned")
+
+
 def sales(spark: SparkSession, folder: str, with_profit: bool = True) -> Sales:
     return Sales(
         orders=sales_orders(spark, folder, with_profit),
@@ -123,17 +129,10 @@ def sales(spark: SparkSession, folder: str, with_profit: bool = True) -> Sales:
 
 def sales_flat(spark: SparkSession, folder: str) -> DataFrame:
     """The star schema joined back into one wide line-grain file."""
-    parts = sales(spark, folder)
-    flags = (
-        table(spark, folder, "lineitem")
-        .groupBy(F.expr("CAST(l_orderkey AS STRING)").alias("order_id"))
-        .agg(F.expr("max(int(l_returnflag = 'R'))").alias("flag"))
-        .selectExpr("order_id", "CASE WHEN flag = 1 THEN 'Yes' END AS returned")
-    )
     return (
-        parts.orders.join(parts.customers, "customer_id")
-        .join(parts.products, "product_id")
-        .join(flags, "order_id", "left")
+        _lines(spark, folder, with_profit=True)
+        .join(sales_customers(spark, folder), "customer_id")
+        .join(sales_products(spark, folder), "product_id")
     )
 
 

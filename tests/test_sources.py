@@ -6,17 +6,19 @@ from conftest import make_events, make_orders
 from pyspark.sql import functions as F
 
 from cohortry.operators import funnel
+from cohortry.plans.durable import shared_dir
 from cohortry.plans.views import (
     CHURN_VIEWS,
     FUNNEL_VIEWS,
     SALES_VIEWS,
     preview_view,
     publish_view,
+    publish_views,
     register_views,
 )
 from cohortry.sources import checks, generate, load, testbed
 from cohortry.sources.schemas import CHANNELS, SUBSCRIBERS
-from cohortry.sources.star_schema import split_star_schema
+from cohortry.sources.star_schema import save_star_schema, split_star_schema
 
 
 def subscriber_line(**values):
@@ -75,6 +77,28 @@ def test_star_schema_conflicts(spark):
     assert star.orders.count() == 3
 
 
+def test_saved_orders_are_in_date_ranges(spark, folder, tmp_path):
+    star = split_star_schema(testbed.sales_flat(spark, folder))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        save_star_schema(star, str(tmp_path))
+    finally:
+        spark.conf.set(coalesce, "true")
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    assert orders.count() == star.orders.count()
+    ranges = (
+        orders.groupBy(F.input_file_name().alias("file"))
+        .agg(F.min("order_date").alias("low"), F.max("order_date").alias("high"))
+        .orderBy("low", "high")
+        .collect()
+    )
+    assert len(ranges) > 4
+    assert all(a["high"] <= b["low"] for a, b in zip(ranges, ranges[1:]))
+    for name in ("customers", "products", "returns"):
+        assert spark.read.parquet(str(tmp_path / name)).count() > 0
+
+
 def test_generated_users_do_not_depend_on_partitions(spark):
     once = generate.generate_users(spark, 1000, seed=3)
     again = generate.users_from_ids(once.select("user_id").repartition(7), seed=3)
@@ -178,3 +202,23 @@ def test_views_register_and_publish(spark, folder, tmp_path):
     for _ in range(2):
         written = publish_view(view, path, partition_by="channel")
     assert written.count() == view.count()
+    names = publish_views(CHURN_VIEWS, testbed.subscribers(spark, folder), str(tmp_path))
+    for name in names:
+        assert spark.read.parquet(str(tmp_path / name)).count() == spark.table(name).count()
+
+
+class Unconfigured:
+    """A cluster session that names no shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+    class sparkContext:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_must_name_its_shared_folder(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Unconfigured)
