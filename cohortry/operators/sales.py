@@ -168,8 +168,10 @@ def loss_products(orders: DataFrame, products: DataFrame) -> DataFrame:
             money_total(F.col("profit")).alias("total_profit"),
             _margin().alias("profit_margin_pct"),
             F.round(quotient(F.sum("discount"), F.sum("discounts")), 2).alias("avg_discount"),
+            F.sum("profit").alias("_profit"),
         )
-        .where(F.col("total_profit") < 0)
+        .where(F.col("_profit") < 0)
+        .drop("_profit")
     )
 
 
@@ -362,7 +364,7 @@ def monthly_kpi_report(orders: DataFrame, year: int, month: int) -> DataFrame:
         .withColumn("month", F.date_format("_start", "MMM yyyy"))
     )
     inside = orders.where(
-        F.col("order_date").between(F.add_months(start, -1), F.last_day(start))
+        F.col("order_date").cast("date").between(F.add_months(start, -1), F.last_day(start))
     )
     measured = (
         inside.groupBy(F.trunc("order_date", "month").alias("_start"), "order_id", "customer_id")

@@ -8,7 +8,8 @@ place in a range into a place in the table.
 The ranged rows are checkpointed before anything counts them.  Range bounds are
 sampled, so a second run of the same plan could cut the ranges elsewhere; the
 checkpoint makes the count and the numbering see the same ranges, also after an
-executor is lost.
+executor is lost.  The functions therefore run jobs when called, not only when
+their result is read.
 """
 
 from __future__ import annotations

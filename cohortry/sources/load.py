@@ -12,6 +12,7 @@ from cohortry.functions.buckets import first_match
 from cohortry.sources.schemas import (
     CONTRACTS,
     EVENT_DOMAINS,
+    SALES_FLAT,
     SHIP_MODES,
     SUBSCRIBERS,
     USER_DOMAINS,
@@ -25,7 +26,7 @@ SUBSCRIBER_TEXT = {
     "online_security": (*YES_NO, "No internet service"),
     "contract": CONTRACTS,
 }
-ORDER_TEXT = {"ship_mode": SHIP_MODES}
+ORDER_TEXT = {"ship_mode": SHIP_MODES, "returned": YES_NO}
 
 
 def canonical(column: Column, domain: Sequence[str]) -> Column:
@@ -69,6 +70,11 @@ def load_subscribers(spark: SparkSession, path: str, **options) -> DataFrame:
     return normalise_text(read_delimited(spark, path, SUBSCRIBERS, **options), SUBSCRIBER_TEXT)
 
 
+def load_sales_flat(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The flat sales file, ready for ``split_star_schema``."""
+    return normalise_orders(read_delimited(spark, path, SALES_FLAT, **options))
+
+
 def normalise_orders(orders: DataFrame) -> DataFrame:
     return normalise_text(orders, ORDER_TEXT)
 

@@ -78,6 +78,14 @@ SALES_ORDERS = _schema(
 
 SALES_RETURNS = _schema(("order_id", TEXT), ("returned", TEXT))
 
+# The flat sales file before the split: order lines with all attributes.
+SALES_FLAT = StructType(
+    SALES_ORDERS.fields
+    + SALES_CUSTOMERS.fields[1:]
+    + SALES_PRODUCTS.fields[1:]
+    + SALES_RETURNS.fields[1:]
+)
+
 FUNNEL_USERS = _schema(
     ("user_id", LongType()),
     ("signup_date", DAY),

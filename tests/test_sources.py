@@ -17,7 +17,7 @@ from cohortry.plans.views import (
     register_views,
 )
 from cohortry.sources import checks, generate, load, testbed
-from cohortry.sources.schemas import CHANNELS, SUBSCRIBERS
+from cohortry.sources.schemas import CHANNELS, SALES_FLAT, SALES_ORDERS, SUBSCRIBERS
 from cohortry.sources.star_schema import save_star_schema, split_star_schema
 
 
@@ -77,6 +77,21 @@ def test_star_schema_conflicts(spark):
     assert star.orders.count() == 3
 
 
+def test_flat_sales_file(spark, tmp_path):
+    path = tmp_path / "sales.csv"
+    path.write_text(
+        ",".join(SALES_FLAT.fieldNames())
+        + "\nO1,2017-01-02,2017-01-05,second class ,C1,P1,12.50,2,0.20,-1.25,"
+        + "Ann,Consumer,East,Ohio,Akron,Tools,Saws,Saw,yes\n"
+    )
+    star = split_star_schema(load.load_sales_flat(spark, str(path)))
+    order = star.orders.first()
+    assert (order["ship_mode"], order["order_date"]) == ("Second Class", dt.date(2017, 1, 2))
+    assert star.orders.schema == SALES_ORDERS
+    assert [tuple(r) for r in star.products.collect()] == [("P1", "Tools", "Saws", "Saw")]
+    assert [tuple(r) for r in star.returns.collect()] == [("O1", "Yes")]
+
+
 def test_saved_orders_are_in_date_ranges(spark, folder, tmp_path):
     star = split_star_schema(testbed.sales_flat(spark, folder))
     coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
