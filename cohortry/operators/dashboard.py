@@ -54,10 +54,11 @@ def cohort_risk_badge(
 def churn_by_6m_tenure(customers: DataFrame) -> DataFrame:
     """Churn per six months of tenure, and cumulative.
 
-    A step is named by its last month; months 0 to 6 make the first.
+    A step is named by its last month; months up to 6 make the first.
     The window has no partition; it runs over one row per step.
     """
-    step = F.greatest(F.ceil(F.col("tenure") / 6) * 6, F.lit(6)).cast("int")
+    tenure = F.col("tenure")
+    step = F.when(tenure <= 6, 6).otherwise((F.ceil(tenure / 6) * 6).cast("int"))
     steps = customers.groupBy(step.alias("tenure_upto")).agg(
         F.count(F.lit(1)).alias("customers"),
         count_where(churn.has_churned()).alias("churned"),

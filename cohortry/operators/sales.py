@@ -26,6 +26,8 @@ from cohortry.functions.buckets import (
     on_time_limit,
 )
 from cohortry.functions.dates import days_between, month_label
+from cohortry.plans.durable import freeze
+from cohortry.plans.sizes import broadcast_if_small
 
 PRODUCT_KEYS = ("product_name", "category", "sub_category")
 
@@ -129,7 +131,8 @@ def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFra
     """The ``n`` products with most revenue, ties by name and category.
 
     Orders are counted in a second narrow scan, for the lines of the top
-    products only: counting them for all products would shuffle every line.
+    products only: counting them for all products would shuffle every line.  The
+    first scan runs when the function is called.
     """
     top = (
         _per_product(orders, products)
@@ -146,12 +149,14 @@ def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFra
     measures = [c for c in top.columns if c not in PRODUCT_KEYS]
     same = " AND ".join(f"t.{c} <=> p.{c}" for c in PRODUCT_KEYS)
     # At most n rows are broadcast here; one product name may have several ids.
-    members = products.alias("p").join(F.broadcast(top.alias("t")), F.expr(same)).select(
-        "product_id", "t.*"
+    members = freeze(
+        products.alias("p")
+        .join(F.broadcast(top.alias("t")), F.expr(same))
+        .select("product_id", "t.*")
     )
     return (
         orders.select("product_id", "order_id")
-        .join(members, "product_id")
+        .join(broadcast_if_small(members), "product_id")
         .groupBy(*PRODUCT_KEYS, *measures)
         .agg(F.count_distinct("order_id").alias("order_count"))
         .orderBy(F.desc("total_revenue"), *PRODUCT_KEYS)

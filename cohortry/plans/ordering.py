@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.plans.durable import freeze
+from cohortry.plans.sizes import broadcast_if_small
 
 # monotonically_increasing_id(): partition number above, place in it below.
 _PLACE_BITS = 33
@@ -200,14 +201,19 @@ def add_ranks(
                 f"sum(_rows) OVER (PARTITION BY {', '.join(within) or 'NULL'}) AS _size_{name}",
             )
         )
+        if not within:
+            # One row per range partition: bounded by the shuffle partition count.
+            offsets = F.broadcast(offsets)
         same_group = " AND ".join(
             ["_slice = _g_slice", *[f"{c} <=> _g_{c}" for c in within]]
         )
+        # Peers are a frame of the running sum's own window, so one sort serves both.
+        window = f"PARTITION BY {group} ORDER BY {sort_sql} RANGE BETWEEN"
         ranked = (
             ranked.selectExpr(
                 "*",
-                f"sum(_n) OVER (PARTITION BY {group} ORDER BY {sort_sql}) AS _upto",
-                f"sum(_n) OVER (PARTITION BY {group}, {', '.join(order_columns)}) AS _peers",
+                f"sum(_n) OVER ({window} UNBOUNDED PRECEDING AND CURRENT ROW) AS _upto",
+                f"sum(_n) OVER ({window} CURRENT ROW AND CURRENT ROW) AS _peers",
             )
             .join(offsets, F.expr(same_group))
             .selectExpr(*ranked.columns, f"_size_{name}", f"_offset + _upto - _peers + 1 AS {name}")
@@ -218,4 +224,4 @@ def add_ranks(
 
     lookup = ranked.selectExpr(*[f"{c} AS _k_{c}" for c in key_columns], *outputs)
     same_key = " AND ".join(f"{c} <=> _k_{c}" for c in key_columns)
-    return frame.join(lookup, F.expr(same_key)).drop(*[f"_k_{c}" for c in key_columns])
+    return frame.join(broadcast_if_small(lookup, keys), F.expr(same_key)).drop(*[f"_k_{c}" for c in key_columns])

@@ -107,3 +107,10 @@ def test_badges(spark):
     assert sorted(as_dict(dashboard.cohort_risk_badge(people), "cohort", "risk").items()) == [
         ("01. 0–12 months", "High"), ("02. 13–24 months", "Medium"), ("04. 48+ months", "Low"),
     ]
+
+
+def test_six_month_steps(spark):
+    people = make_subscribers(spark, [{"tenure": t} for t in (None, -1, 0, 6, 7, 12, 13)])
+    assert as_dict(dashboard.churn_by_6m_tenure(people), "tenure_upto", "customers") == {
+        None: 1, 6: 3, 12: 2, 18: 1,
+    }

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from cohortry.operators import churn, funnel, rfm, sales
+from cohortry.plans import sizes
 from cohortry.sources import testbed
 
 
@@ -68,7 +69,6 @@ def test_funnel_summary_scans_events_once(stored):
 
 
 def test_top_rows_are_taken_per_partition(stored):
-    assert "TakeOrderedAndProject" in plan(sales.top_products(stored["orders"], stored["products"]))
     assert "TakeOrderedAndProject" in plan(churn.top_at_risk(stored["subscribers"]))
 
 
@@ -84,6 +84,17 @@ def test_ranks_never_sort_all_customers_in_one_task(stored):
             assert "customer_id" not in line and "keys=[_slice" in line
 
 
+def test_ranks_join_by_shuffle_beyond_the_broadcast_limit(stored, monkeypatch):
+    def ranked():
+        return churn.risk_ranking(stored["subscribers"])
+
+    small = ranked()
+    assert "BroadcastHashJoin [coalesce(contract" in plan(small)
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", 10)
+    large = ranked()
+    assert sorted(large.collect()) == sorted(small.collect())
+
+
 def test_tile_scores_do_not_shuffle_the_customers(stored):
     text = plan(rfm.rfm_scores(rfm.rfm_base(stored["orders"])))
     assert "Exchange" not in text
@@ -125,5 +136,11 @@ def test_display_order(spark, folder):
 def test_order_counts_do_not_shuffle_every_line(stored):
     """Only lines of the top products reach the distinct count."""
     text = plan(sales.top_products(stored["orders"], stored["products"]))
-    order_scans = [s for s in scans(text) if "order_id" in s]
-    assert [columns(s) for s in order_scans] == [{"product_id", "order_id"}]
+    assert [columns(s) for s in scans(text)] == [{"product_id", "order_id"}]
+    assert "SortMergeJoin" not in text
+
+
+def test_top_products_without_broadcast(stored, monkeypatch):
+    expected = sales.top_products(stored["orders"], stored["products"]).collect()
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", 0)
+    assert sales.top_products(stored["orders"], stored["products"]).collect() == expected
