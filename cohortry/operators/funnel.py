@@ -27,7 +27,14 @@ RETENTION_DAYS = (30, 60, 90)
 
 
 def user_stages(events: DataFrame) -> DataFrame:
-    """Per user: ``did_<stage>`` flags and the earliest ``<stage>_date``."""
+    """Per user: ``did_<stage>`` flags and the earliest ``<stage>_date``.
+
+    Given its own result, returns it: the reports per user take a stored or
+    checkpointed stage table in place of the events, so that several reports
+    share one pass over the events.
+    """
+    if f"did_{SIGNED_UP}" in events.columns:
+        return events
     kind = F.col("event_type")
     flags = [F.max(F.when(kind == s, 1).otherwise(0)).alias(f"did_{s}") for s in STAGES]
     dates = [F.min(F.when(kind == s, F.col("event_date"))).alias(f"{s}_date") for s in STAGES]

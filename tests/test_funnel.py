@@ -99,3 +99,16 @@ def test_drop_off_by_device(users, events):
     row = dashboard.dropoff_by_device(users, events).first()
     assert (row["dropped_at_onboarding"], row["dropped_after_onboarding"]) == (2, 1)
     assert (row["one_time_buyers"], row["repeat_buyers"]) == (2, 1)
+
+
+def test_reports_share_a_stored_stage_table(users, events, tmp_path):
+    funnel.user_stages(events).write.parquet(str(tmp_path / "stages"))
+    stages = events.sparkSession.read.parquet(str(tmp_path / "stages"))
+    for report in (
+        funnel.channel_funnel, funnel.device_funnel, funnel.time_to_convert,
+        funnel.cohort_retention, funnel.vw_cohort_matrix, funnel.dropoff_users,
+        funnel.vw_dropoff_by_stage, funnel.journey_report, funnel.vw_channel_conversion,
+    ):
+        assert sorted(report(users, stages).collect()) == sorted(report(users, events).collect())
+    summary = funnel.vw_funnel_summary
+    assert sorted(summary(stages).collect()) == sorted(summary(events).collect())
