@@ -26,6 +26,14 @@ from cohortry.sources.schemas import (  # noqa: E402
 from cohortry.sources.star_schema import split_star_schema  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
+try:  # the corpus operators may be left out of an installation
+    import corpus_pipeline
+    from cohortry.llm import queries as llm
+except ImportError as missing:
+    if (missing.name or "").split(".")[0] not in ("corpus_pipeline", "cohortry"):
+        raise
+    llm = corpus_pipeline = None
+
 SEED = 7
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,9 +239,12 @@ def queries() -> dict[str, Query]:
             "preview_view": over_folder(previewed),
         }
     )
+    if llm is not None:
+        found.update(llm.QUERIES)
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """The DuckDB statement for each query."""
-    return dict(ORACLES)
+    """The DuckDB statement for each query that SQL can express."""
+    return {**ORACLES, **(llm.ORACLES if llm is not None else {})}
