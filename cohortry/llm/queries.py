@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.llm import packing, token_files
+from cohortry.llm import mixing, packing, quality, token_files
 from cohortry.plans.durable import scratch_path
 
 
@@ -12,6 +12,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
@@ -22,10 +26,17 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op9_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_rules(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "quality",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op4_best_fit_packing, op6_token_files,
+        op2_entropy_balancing, op4_best_fit_packing, op6_token_files, op9_weak_supervision,
     )
 }
 ORACLES: dict[str, str] = {}
