@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.llm import mixing, packing, quality, token_files
+from cohortry.llm import embedding_dedup, mixing, packing, quality, token_files
+from cohortry.llm.ship import ship
 from cohortry.plans.durable import scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
 def op2_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -36,7 +42,8 @@ def op9_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_entropy_balancing, op4_best_fit_packing, op6_token_files, op9_weak_supervision,
+        op1_collision_counting, op2_entropy_balancing, op4_best_fit_packing, op6_token_files,
+        op9_weak_supervision,
     )
 }
 ORACLES: dict[str, str] = {}

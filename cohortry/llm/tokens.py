@@ -79,13 +79,13 @@ class WordEncoder:
             else:
                 cut[word] = pieces
         known, old = self._pieces, self._old_pieces
-        fresh = {p for pieces in cut.values() for p in pieces if p not in known}
-        known.update([(p, old[p]) for p in fresh if p in old])
-        fresh = [p for p in fresh if p not in known]
+        fresh = set().union(*cut.values()).difference(known)
+        kept = fresh.intersection(old)
+        known.update(zip(kept, map(old.__getitem__, kept)))
+        fresh = list(fresh - kept)
         known.update(zip(fresh, self._encode(fresh)))
-        self._words.update(
-            (word, b"".join([known[p] for p in pieces])) for word, pieces in cut.items()
-        )
+        get = known.__getitem__
+        self._words.update((w, b"".join(map(get, pieces))) for w, pieces in cut.items())
         self._words.update(zip(whole, self._encode(whole)))
         if len(known) > self._cache_words:
             self._pieces, self._old_pieces = {}, known
@@ -99,9 +99,10 @@ class WordEncoder:
             for t in texts
         ]
         known, old = self._words, self._old_words
-        missing = {word for words in cut for word in words if word not in known}
-        known.update([(word, old[word]) for word in missing if word in old])
-        missing.difference_update(known.keys() & missing)
+        missing = set().union(*cut).difference(known)
+        kept = missing.intersection(old)
+        known.update(zip(kept, map(old.__getitem__, kept)))
+        missing -= kept
         if missing:
             self._learn(missing)
         get = known.__getitem__
