@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.llm import embedding_dedup, mixing, packing, quality, token_files
+from cohortry.llm import bagminhash, embedding_dedup, mixing, packing, quality, token_files
 from cohortry.llm.ship import ship
 from cohortry.plans.durable import scratch_path
 
@@ -39,11 +39,15 @@ def op9_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_collision_counting, op2_entropy_balancing, op4_best_fit_packing, op6_token_files,
-        op9_weak_supervision,
+        op9_weak_supervision, op10_bagminhash,
     )
 }
 ORACLES: dict[str, str] = {}
