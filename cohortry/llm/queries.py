@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.llm import bagminhash, embedding_dedup, mixing, packing, quality, token_files
+from cohortry.llm import (
+    bagminhash,
+    embedding_dedup,
+    language_id,
+    mixing,
+    packing,
+    quality,
+    token_files,
+    toxicity,
+)
 from cohortry.llm.ship import ship
 from cohortry.plans.durable import scratch_path
 
@@ -26,12 +35,22 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op5_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    ).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_ids(table(spark, folder, "documents"), path)
     return token_files.read_documents(spark, path)
 
 
+def op8_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 def op9_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -46,8 +65,8 @@ def op10_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_collision_counting, op2_entropy_balancing, op4_best_fit_packing, op6_token_files,
-        op9_weak_supervision, op10_bagminhash,
+        op1_collision_counting, op2_entropy_balancing, op4_best_fit_packing, op5_toxic_spans,
+        op6_token_files, op8_string_kernel, op9_weak_supervision, op10_bagminhash,
     )
 }
 ORACLES: dict[str, str] = {}
