@@ -18,9 +18,11 @@ Signatures are cut into bands.  Documents with equal shingle multisets are one
 class from the start.  Classes that share a band are compared by their signatures
 in groups of bounded size; a pair is looked at only in the first band it shares.
 The first round sends on a forest of the likeliest pairs of each group to be
-verified by their shingles; the second sends on every likely pair that lies in
-two different components after that.  So thousands of near copies cost about
-one verification each, and no pair of different components stays unverified.
+verified by their shingles, which joins most copies.  The second verifies every
+likely pair that still lies in two different components, inside the groups: the
+shingles go to the few members that need it, and only links leave.  So thousands
+of near copies never become a table of their pairs, and no likely pair of
+different components stays unverified.
 
 Rows: documents without words (null texts too) are similar to nothing; rows
 without doc_id are matched as exact copies only, and are kept only where no row
@@ -51,6 +53,8 @@ COMPONENTS = BANDS * BAND_ROWS
 # A pair is likely if at least this many components agree: five deviations below
 # the mean of a pair at the threshold.
 LIKELY = 78
+# Likely pairs that a task holds before it adds the best of them to its forest.
+PAIRS_HELD = 1_000_000
 # Bytes kept of a shingle's hash for verifying.
 HASH_BYTES = 6
 
@@ -172,46 +176,116 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("class_no", "sketch").mapInArrow(bands, "band BIGINT, class_no BIGINT")
 
 
-def _likely_pairs(members: DataFrame, all_apart: bool) -> DataFrame:
-    """Pairs (a, b) of classes worth verifying, from whole groups.
+_GROUP = ["band", "left", "right"]
 
-    Without ``all_apart`` a forest of the likeliest pairs of each group; with it,
-    all likely pairs of different ``component``.
+
+def _likely(
+    table: pa.Table, group: np.ndarray, component: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Agreement and places of the likely pairs of different component, in steps.
+
+    A pair counts in the first band it shares only.
     """
+    sketch = _sketches(table["sketch"])
+    own = (table["band"].to_numpy() >> (8 * BAND_ROWS)).astype(np.int64)
+    mine, left, right = (table[n].to_numpy() for n in ("mine", "left", "right"))
+    end = np.searchsorted(group, group, side="right")
+    for i, j in windows(np.arange(len(group)) + 1, end):
+        apart = (left[i] == right[i]) | (mine[i] != mine[j])
+        apart &= component[i] != component[j]
+        i, j = i[apart], j[apart]
+        same = sketch[i] == sketch[j]
+        agree = same.sum(axis=1)
+        likely = np.flatnonzero(agree >= LIKELY)
+        shared = same[likely].reshape(-1, BANDS, BAND_ROWS).all(axis=2)
+        likely = likely[shared.argmax(axis=1) == own[i[likely]]]
+        yield agree[likely], i[likely], j[likely]
+
+
+def _pair_batch(number: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    i, j = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+    ends = np.minimum(number[i], number[j]), np.maximum(number[i], number[j])
+    return pa.RecordBatch.from_arrays([pa.array(e) for e in ends], names=["a", "b"])
+
+
+def _likeliest_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes: per group a forest of the pairs that agree most."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, group in whole_groups(batches, ["band"]):
-            sketch = _sketches(table["sketch"])
-            own = (table["band"].to_numpy() >> (8 * BAND_ROWS)).astype(np.int64)
-            mine, left, right = (table[n].to_numpy() for n in ("mine", "left", "right"))
             number = table["class_no"].to_numpy()
-            component = table["component"].to_numpy() if all_apart else number
-            end = np.searchsorted(group, group, side="right")
-            found = []
-            for i, j in windows(np.arange(len(group)) + 1, end):
-                apart = (left[i] == right[i]) | (mine[i] != mine[j])
-                apart &= component[i] != component[j]
-                i, j = i[apart], j[apart]
-                same = sketch[i] == sketch[j]
-                shared = same.reshape(-1, BANDS, BAND_ROWS).all(axis=2)
-                agree = same.sum(axis=1)
-                likely = (agree >= LIKELY) & (shared.argmax(axis=1) == own[i])
-                found.append(np.stack((agree[likely], i[likely], j[likely])))
-            if not found:
-                continue
-            agree, i, j = np.concatenate(found, axis=1)
-            if not all_apart:
-                forest, order = Forest(len(group)), np.argsort(-agree, kind="stable")
+            forest, held, size = Forest(len(group)), [], 0
+
+            def chosen() -> list[tuple[int, int]]:
+                agree, i, j = (np.concatenate(parts) for parts in zip(*held))
+                order = np.argsort(-agree, kind="stable")
                 ends = zip(i[order].tolist(), j[order].tolist())
-                kept = [(x, y) for x, y in ends if forest.joins(x, y)]
-                i, j = np.array(kept, dtype=np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.minimum(number[i], number[j])),
-                    pa.array(np.maximum(number[i], number[j])),
-                ],
-                names=["a", "b"],
-            )
+                return [(x, y) for x, y in ends if forest.joins(x, y)]
+
+            for found in _likely(table, group, number):
+                held.append(found)
+                size += len(found[0])
+                if size > PAIRS_HELD:
+                    yield _pair_batch(number, chosen())
+                    held, size = [], 0
+            if held:
+                yield _pair_batch(number, chosen())
+
+    return in_groups(members, ["band"]).mapInArrow(pairs, "a BIGINT, b BIGINT").distinct()
+
+
+def _with_likely_others(members: DataFrame) -> DataFrame:
+    """The rows that form a likely pair with a row of another component."""
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(batches, ["band"]):
+            marked = np.zeros(len(group), dtype=bool)
+            for _, i, j in _likely(table, group, table["component"].to_numpy()):
+                marked[i] = marked[j] = True
+            slim = table.select([*_GROUP, "mine", "class_no", "component"])
+            yield from slim.filter(pa.array(marked)).to_batches()
+
+    schema = "band BIGINT, left INT, right INT, mine INT, class_no BIGINT, component BIGINT"
+    return in_groups(members, ["band"]).mapInArrow(some, schema)
+
+
+def _linked_components(members: DataFrame) -> DataFrame:
+    """Verified pairs (a, b) that link different components, a forest per group.
+
+    All likely pairs are verified where they meet, so only links leave the task.
+    """
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(batches, ["band"]):
+            number, component = (table[n].to_numpy() for n in ("class_no", "component"))
+            raw = table["shingles"].to_pylist()
+            sizes = np.array([len(r) // HASH_BYTES for r in raw])
+            names, ids = np.unique(_spread(b"".join(raw)), return_inverse=True)
+            first = np.cumsum(sizes) - sizes
+            flags = np.zeros(len(names), dtype=np.int64)
+            forest, found = Forest(len(group)), []
+            # Rows of one component are together from the start.
+            for rows in np.split(
+                order := np.argsort(component, kind="stable"),
+                np.flatnonzero(np.diff(component[order])) + 1,
+            ):
+                for row in rows[1:].tolist():
+                    forest.joins(int(rows[0]), row)
+            for _, i, j in _likely(table, group, component):
+                cuts = np.flatnonzero(np.diff(i)) + 1
+                for others in np.split(np.arange(len(i)), cuts):
+                    if not len(others):
+                        continue
+                    one, many = int(i[others[0]]), j[others]
+                    flags[ids[first[one] : first[one] + sizes[one]]] = 1
+                    n = sizes[many]
+                    starts = np.cumsum(n) - n
+                    spots = np.arange(int(n.sum())) + np.repeat(first[many] - starts, n)
+                    shared = np.add.reduceat(flags[ids[spots]], starts)
+                    flags[ids[first[one] : first[one] + sizes[one]]] = 0
+                    alike = 100 * shared >= SIMILAR_PCT * (sizes[one] + n - shared)
+                    found += [(one, x) for x in many[alike].tolist() if forest.joins(one, x)]
+            yield _pair_batch(number, found)
 
     return in_groups(members, ["band"]).mapInArrow(pairs, "a BIGINT, b BIGINT").distinct()
 
@@ -256,18 +330,20 @@ def _multisets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def _spread(raw: bytes) -> np.ndarray:
+    """The hashes of a multiset, as 64-bit numbers."""
+    cut = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
+    return np.pad(cut, ((0, 0), (0, 8 - HASH_BYTES))).view("<u8").ravel()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose multisets of shingles overlap enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def spread(raw: bytes) -> np.ndarray:
-            cut = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
-            return np.pad(cut, ((0, 0), (0, 8 - HASH_BYTES))).view("<u8").ravel()
-
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = spread(x), spread(y)
+                x, y = _spread(x), _spread(y)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * shared >= SIMILAR_PCT * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
@@ -301,28 +377,29 @@ def near_duplicates(docs: DataFrame, block: int | None = None) -> DataFrame:
         shared_buckets(_bands(comparable), ["band"], "class_no", **more), "band-members"
     )
     sketches = classes.select("class_no", "sketch")
-    first = stash(_likely_pairs(members.join(sketches, "class_no"), False), "pairs")
+    first = stash(_likeliest_pairs(members.join(sketches, "class_no")), "pairs")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        ends = pairs.selectExpr("explode(array(a, b)) AS class_no").distinct()
-        sets = stash(_multisets(docs, classes.join(ends, "class_no", "left_semi")), "multisets")
-        return stash(_verified(pairs, sets), "verified")
+    def multisets(wanted: DataFrame) -> DataFrame:
+        chosen = classes.join(wanted.distinct(), "class_no", "left_semi")
+        return stash(_multisets(docs, chosen), "multisets")
 
-    found = links(first)
+    ends = first.selectExpr("explode(array(a, b)) AS class_no")
+    found = stash(_verified(first, multisets(ends)), "verified")
     parts = components(found).withColumnRenamed("node", "class_no")
     labelled = members.join(parts, "class_no", "left").withColumn(
         "component", F.coalesce("component", "class_no")
     )
-    group = ["band", "left", "right"]
     mixed = (
-        labelled.groupBy(*group)
+        labelled.groupBy(*_GROUP)
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
         .where("_low < _high")
-        .select(*group)
+        .select(*_GROUP)
     )
-    apart = labelled.join(mixed, group, "left_semi").join(sketches, "class_no")
-    later = _likely_pairs(apart, True).join(first, ["a", "b"], "left_anti")
-    found = found.union(links(stash(later, "pairs")))
+    apart = labelled.join(mixed, _GROUP, "left_semi").join(sketches, "class_no")
+    apart = stash(_with_likely_others(apart), "likely-members")
+    sets = multisets(apart.select("class_no"))
+    rest = apart.join(sketches, "class_no").join(sets, "class_no")
+    found = stash(found.union(_linked_components(rest)), "links")
 
     parts = components(found).withColumnRenamed("node", "class_no")
     joined = classes.drop("sketch").join(parts, "class_no", "left").withColumn(
@@ -341,3 +418,20 @@ def near_duplicates(docs: DataFrame, block: int | None = None) -> DataFrame:
         "IF(n > 0, component_id, doc_id) AS component_id",
         "n = 0 OR coalesce(doc_id = component_id, doc_id IS NULL AND component_id IS NULL) AS kept",
     )
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` per group of near duplicates, with all its columns.
+
+    It is the one with the smallest doc_id.  Rows are written once with a number
+    of their own, so that repeated doc_ids and null ones do no harm.
+    """
+    row = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_doc"))
+    rows = stash(row.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
+    found = near_duplicates(rows.selectExpr("_row AS doc_id", "_doc.text AS text"))
+    named = found.selectExpr("doc_id AS _row", "component_id").join(
+        rows.selectExpr("_row", "_doc.doc_id AS doc_id"), "_row"
+    )
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    first = named.groupBy("component_id").agg(F.min_by("_row", order).alias("_row"))
+    return rows.join(first.select("_row"), "_row", "left_semi").select("_doc.*")

@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortry.llm import (
     bagminhash,
     embedding_dedup,
+    html_text,
     language_id,
     mixing,
     packing,
     quality,
     token_files,
     toxicity,
+    warc,
 )
 from cohortry.llm.ship import ship
 from cohortry.plans.durable import scratch_path
@@ -31,6 +33,10 @@ def op2_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op3_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.revisits(table(spark, folder, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
@@ -47,6 +53,10 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op7_minimum_cut(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op8_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
@@ -65,8 +75,9 @@ def op10_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_collision_counting, op2_entropy_balancing, op4_best_fit_packing, op5_toxic_spans,
-        op6_token_files, op8_string_kernel, op9_weak_supervision, op10_bagminhash,
+        op1_collision_counting, op2_entropy_balancing, op3_revisits, op4_best_fit_packing,
+        op5_toxic_spans, op6_token_files, op7_minimum_cut, op8_string_kernel, op9_weak_supervision,
+        op10_bagminhash,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_revisits": warc.ORACLE}
