@@ -15,22 +15,32 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cohortry.operators import churn, dashboard, funnel, rfm, sales  # noqa: E402
 from cohortry.plans.durable import scratch_path  # noqa: E402
-from cohortry.plans.views import CHURN_VIEWS, preview_view, publish_view, register_views  # noqa: E402
+from cohortry.plans.views import (  # noqa: E402
+    CHURN_VIEWS,
+    FUNNEL_VIEWS,
+    SALES_VIEWS,
+    preview_view,
+    publish_view,
+    publish_views,
+    register_views,
+)
 from cohortry.sources import checks, generate, load, testbed  # noqa: E402
 from cohortry.sources.schemas import (  # noqa: E402
     BUYER_SEGMENTS,
     EVENT_DOMAINS,
+    SALES_FLAT,
     SUBSCRIBER_DOMAINS,
+    SUBSCRIBERS,
     USER_DOMAINS,
 )
-from cohortry.sources.star_schema import split_star_schema  # noqa: E402
+from cohortry.sources.star_schema import StarSchema, split_star_schema, stage_flat  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
 try:  # the corpus operators may be left out of an installation
     import corpus_pipeline
     from cohortry.llm import queries as llm
 except ImportError as missing:
-    if (missing.name or "").split(".")[0] not in ("corpus_pipeline", "cohortry"):
+    if missing.name not in ("corpus_pipeline", "cohortry.llm"):
         raise
     llm = corpus_pipeline = None
 
@@ -68,15 +78,40 @@ def over_folder(build) -> Query:
 
 
 def load_subscribers(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the subscribers as a delimited file, then load that file."""
+    """Write the subscribers as an oddly spelled delimited file, then load that file."""
     path = scratch_path(spark, "subscribers")
-    testbed.subscribers(spark, folder).write.csv(path, header=True)
+    odd = testbed.subscribers(spark, folder).selectExpr(
+        "* EXCEPT (contract, churn, payment_method, internet_service)",
+        "IF(customer_id % 3 = 0, concat(upper(contract), '  '), contract) AS contract",
+        "IF(customer_id % 5 = 0, lower(churn), churn) AS churn",
+        "IF(customer_id % 13 = 0, concat(upper(payment_method), ' '), payment_method) AS payment_method",
+        "IF(customer_id % 16 = 0, lower(internet_service), internet_service) AS internet_service",
+    ).select(*SUBSCRIBERS.fieldNames())
+    odd.write.csv(path, header=True, ignoreTrailingWhiteSpace=False)
     return load.load_subscribers(spark, path)
 
 
+def load_sales_flat(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the flat sales file with odd spellings, then load that file."""
+    path = scratch_path(spark, "sales")
+    odd = testbed.sales_flat(spark, folder).selectExpr(
+        "* EXCEPT (region, category, ship_mode)",
+        "IF(order_id % 11 = 0, concat(lower(region), ' '), region) AS region",
+        "IF(order_id % 13 = 0, lower(category), category) AS category",
+        "IF(order_id % 2 = 0, upper(ship_mode), ship_mode) AS ship_mode",
+    ).select(*SALES_FLAT.fieldNames())
+    odd.write.csv(path, header=True, ignoreTrailingWhiteSpace=False)
+    return load.load_sales_flat(spark, path)
+
+
+def split(spark: SparkSession, folder: str) -> StarSchema:
+    flat = testbed.sales_flat(spark, folder)
+    return split_star_schema(stage_flat(flat, scratch_path(spark, "flat")))
+
+
 def split_report(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per table of the split flat file, and keys with conflicting names."""
-    star = split_star_schema(testbed.sales_flat(spark, folder))
+    star = split(spark, folder)
     plain = [
         frame.agg(
             F.lit(name).alias("table_name"),
@@ -89,9 +124,7 @@ def split_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_part(name: str) -> Query:
-    return over_folder(
-        lambda spark, folder: getattr(split_star_schema(testbed.sales_flat(spark, folder)), name)
-    )
+    return over_folder(lambda spark, folder: getattr(split(spark, folder), name))
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,6 +132,23 @@ def published(spark: SparkSession, folder: str) -> DataFrame:
     return publish_view(view, scratch_path(spark, "vw_churn_by_contract"))
 
 
+def published_views(views, tables) -> Query:
+    """Publish all views of an area and count the rows of what was written."""
+
+    def counts(spark: SparkSession, folder: str) -> DataFrame:
+        path = scratch_path(spark, "views")
+        names = publish_views(views, tables(spark, folder), path)
+        written = [
+            spark.read.parquet(f"{path}/{name}").agg(
+                F.lit(name).alias("view_name"), F.count(F.lit(1)).alias("row_count")
+            )
+            for name in names
+        ]
+        return reduce(DataFrame.unionByName, written)
+
+    return counts
+
+
 def previewed(spark: SparkSession, folder: str) -> DataFrame:
     name = "vw_churn_kpi_summary"
     register_views({name: CHURN_VIEWS[name]}, testbed.subscribers(spark, folder))
@@ -230,6 +280,11 @@ def queries() -> dict[str, Query]:
             "split_star_customers": split_part("customers"),
             "split_star_products": split_part("products"),
             "split_star_returns": split_part("returns"),
+            "split_star_orders": split_part("orders"),
+            "load_sales_flat": over_folder(load_sales_flat),
+            "publish_churn_views": published_views(CHURN_VIEWS, testbed.subscribers),
+            "publish_sales_views": published_views(SALES_VIEWS, testbed.sales),
+            "publish_funnel_views": published_views(FUNNEL_VIEWS, testbed.funnel),
             "generate_users": over_folder(generated_users),
             "generate_stage_events": over_folder(generated_events),
             "check_primary_key": over_folder(primary_keys),

@@ -20,9 +20,9 @@ def rounded(value: Column, places: int) -> Column:
 
 
 def quotient(numerator: Column, denominator: Column) -> Column:
-    """Exact decimal quotient, NULL when the denominator is zero."""
-    den = denominator.cast(WIDE_MONEY)
-    return (numerator.cast(WIDE_MONEY) / F.nullif(den, F.lit(0).cast(WIDE_MONEY))).cast(QUOTIENT)
+    """Decimal quotient of values with up to six decimals, NULL for a zero denominator."""
+    den = denominator.cast(QUOTIENT)
+    return (numerator.cast(QUOTIENT) / F.nullif(den, F.lit(0).cast(QUOTIENT))).cast(QUOTIENT)
 
 
 def percent(numerator: Column, denominator: Column, places: int = 2) -> Column:

@@ -96,7 +96,7 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
 
 
 def churn_risk(tenure: Column, charges: Column, tech_support: Column) -> Column:
-    """Churn risk of an active subscriber."""
+    """Churn risk of an active subscriber; bounds and labels are fixed values."""
     return first_match(
         [
             ((tenure <= 12) & (charges > 65) & (tech_support == "No"), "High Risk"),

@@ -20,6 +20,7 @@ MEDIUM_RISK_BELOW = 90
 # Column order of the stopping stages by device.
 DROP_OFF_STAGES = (
     "Dropped at Onboarding", "Dropped after Onboarding", "One-time Buyers", "Repeat Buyers",
+    "Unknown",
 )
 
 
@@ -76,7 +77,8 @@ def churn_by_6m_tenure(customers: DataFrame) -> DataFrame:
 def driver_matrix(customers: DataFrame) -> DataFrame:
     """Churn rate per internet service (rows) and support/security mix (columns).
 
-    The mix is Yes/No by Yes/No; other answers count as No.
+    The mix is whether a customer has support and security: any answer but Yes,
+    none included, is not having it ("No internet service" say).
     """
     support = F.when(F.col("tech_support") == "Yes", "support").otherwise("no_support")
     security = F.when(F.col("online_security") == "Yes", "security").otherwise("no_security")
@@ -125,7 +127,7 @@ def biggest_dropoff(events: DataFrame) -> DataFrame:
 
 
 def dropoff_by_device(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Users per device (rows) and stopping stage (columns)."""
+    """Users per device (rows) and stopping stage (columns); the columns hold all users."""
     names = [s.lower().replace(" ", "_").replace("-", "_") for s in DROP_OFF_STAGES]
     matrix = (
         funnel.vw_dropoff_by_stage(users, events)

@@ -175,7 +175,10 @@ def vw_cohort_matrix(users: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def drop_off_stage() -> Column:
-    """Where a user stopped.  A buyer who skipped onboarding stopped there."""
+    """Where a user stopped.  A buyer who skipped onboarding stopped there.
+
+    The stage names are fixed values; users without events are Unknown.
+    """
     return first_match(
         [
             (_did(SIGNED_UP) & ~_did(ONBOARDED), "Dropped at Onboarding"),

@@ -131,8 +131,9 @@ def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFra
     """The ``n`` products with most revenue, ties by name and category.
 
     Orders are counted in a second narrow scan, for the lines of the top
-    products only: counting them for all products would shuffle every line.  The
-    first scan runs when the function is called.
+    products only: counting them for all products would shuffle every line.  Both
+    scans run when the function is called, and the ``n`` rows found are
+    checkpointed, so totals and counts are of one moment.
     """
     top = (
         _per_product(orders, products)
@@ -154,13 +155,13 @@ def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFra
         .join(F.broadcast(top.alias("t")), F.expr(same))
         .select("product_id", "t.*")
     )
-    return (
+    counted = (
         orders.select("product_id", "order_id")
         .join(broadcast_if_small(members), "product_id")
         .groupBy(*PRODUCT_KEYS, *measures)
         .agg(F.count_distinct("order_id").alias("order_count"))
-        .orderBy(F.desc("total_revenue"), *PRODUCT_KEYS)
     )
+    return freeze(counted).orderBy(F.desc("total_revenue"), *PRODUCT_KEYS)
 
 
 def loss_products(orders: DataFrame, products: DataFrame) -> DataFrame:

@@ -47,13 +47,17 @@ DISPLAY_ORDER = {
 
 
 def for_display(name: str, report: DataFrame) -> DataFrame:
-    """Sort a report the way it is shown; NULLs count as lowest."""
+    """Sort a report the way it is shown; NULLs count as lowest.
+
+    Rows equal in the shown order are sorted by their other columns, so that the
+    same rows are always shown in the same order.
+    """
     if name == "quarterly_yoy":
         label = F.col("quarter_label")
-        return report.orderBy(F.substring(label, 4, 4), F.substring(label, 2, 1))
+        return report.orderBy(F.substring(label, 4, 4), F.substring(label, 2, 1), label)
     columns = DISPLAY_ORDER.get(name, ())
     if not columns:
         return report
-    return report.orderBy(
-        *[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in columns]
-    )
+    shown = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in columns]
+    named = {c.removeprefix("-") for c in columns}
+    return report.orderBy(*shown, *[F.asc(c) for c in report.columns if c not in named])

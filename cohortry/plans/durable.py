@@ -2,32 +2,56 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths handed out by ``scratch_path``, per application.
+_scratch: dict[str, list[str]] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
 
-    Only a local-mode session without that setting gets a temporary folder; on
-    a cluster a machine-local folder would be lost with its executor.
+    Only a session in one JVM without that setting gets a temporary folder, which
+    goes when the program ends; on a cluster, also one of local processes, a
+    machine-local folder would be lost with its executor.  A ``file:`` folder is
+    taken as named: it may be a mount that all machines share.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="cohortry-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``release_scratch`` removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove what this application wrote to scratch paths; returns their number.
+
+    Frames that still read from them become unusable, so call it after the last
+    result is written.
+    """
+    context = spark.sparkContext
+    paths = _scratch.pop(context.applicationId, [])
+    for path in paths:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
 
 
 def freeze(frame: DataFrame) -> DataFrame:

@@ -12,24 +12,20 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a task can take without trouble.
 SLICE_ROWS = 1_000_000
-# Longest list of hot keys: a fixed bound, so it can always be broadcast.  A key
-# that does not make the list holds less than 1/MAX_KEYS of all rows.
+# A hot key holds more than this share of all rows, so there are at most as many
+# hot keys, whatever the data, and their list can always be broadcast.
 MAX_KEYS = 10_000
 
 
 class HotKeys:
-    """The keys with more rows than one slice, and their number of slices.
-
-    The list is ordered by rows and key, so every use of it is the same list.
-    """
+    """The keys with more rows than one slice, and their number of slices."""
 
     def __init__(self, counts: DataFrame, key: str, rows: str, slice_rows: int = SLICE_ROWS):
         self.key = key
-        self.slices = (
-            counts.where(f"{rows} > {slice_rows}")
-            .orderBy(F.desc(rows), key)
-            .limit(MAX_KEYS)
-            .selectExpr(f"{key} AS _hot", f"CAST(ceil({rows} / {slice_rows}) AS INT) AS _slices")
+        total = counts.agg(F.coalesce(F.sum(rows), F.lit(0))).scalar()
+        least = F.greatest(F.lit(slice_rows).cast("bigint"), (total / MAX_KEYS).cast("bigint"))
+        self.slices = counts.where(F.col(rows) > least).selectExpr(
+            f"{key} AS _hot", f"CAST(ceil({rows} / {slice_rows}) AS INT) AS _slices"
         )
 
     def _marked(self, frame: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ from cohortry.plans.sizes import broadcast_if_small
 
 # monotonically_increasing_id(): partition number above, place in it below.
 _PLACE_BITS = 33
-_VALUE = "DECIMAL(38,6)"
+# Equal rows that are numbered as one part.
+_PART_ROWS = 100_000
 
 
 def _ranged(frame: DataFrame, *order: str | Column) -> DataFrame:
@@ -53,19 +54,36 @@ def _rows_before(rows: str, *group: str) -> str:
 def add_row_number(frame: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Dense 1..N numbers in ``order``; equal rows are numbered in any order.
 
-    The input is checkpointed first so that a physical row id can break ties:
-    without it, a run of equal keys could not be split over ranges.
+    Runs jobs when called.  Rows equal in every column are counted first, so a row
+    that makes up a third of the table is a few parts of bounded size; only the
+    different rows are range-partitioned and checkpointed, once.  Parts of one row
+    may lie in different ranges.  Columns must be of types that can be grouped.
     """
-    tied = freeze(frame).selectExpr("*", "monotonically_increasing_id() AS _tie")
-    placed = _ranged(tied, *order, "_tie")
+    parts = (
+        frame.groupBy(*frame.columns)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .selectExpr("*", f"explode(sequence(0, (_n - 1) div {_PART_ROWS})) AS _part")
+        .selectExpr(
+            *frame.columns, "_part", f"least({_PART_ROWS}, _n - _part * {_PART_ROWS}) AS _rows",
+            f"xxhash64({', '.join(frame.columns)}) AS _tie",
+        )
+    )
+    placed = _ranged(parts, *order, "_tie", "_part")
     offsets = (
         placed.groupBy("_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .selectExpr("_slice", f"{_rows_before('_rows')} AS _offset")
+        .agg(F.sum("_rows").alias("_size"))
+        .selectExpr("_slice", f"{_rows_before('_size')} AS _offset")
     )
     # One row per range partition: bounded by the shuffle partition count.
-    return placed.join(F.broadcast(offsets), "_slice").selectExpr(
-        f"_offset + _place + 1 AS {name}", *frame.columns
+    return (
+        placed.selectExpr(
+            "*",
+            """coalesce(sum(_rows) OVER (PARTITION BY _slice ORDER BY _place
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before""",
+        )
+        .join(F.broadcast(offsets), "_slice")
+        .selectExpr(*frame.columns, "_offset + _before AS _start", "explode(sequence(1, _rows)) AS _nth")
+        .selectExpr(f"_start + _nth AS {name}", *frame.columns)
     )
 
 
@@ -82,10 +100,11 @@ def add_tiles(
     scores: Mapping[str, tuple[str, bool]],
     tiles: int = 5,
 ) -> DataFrame:
-    """NTILE scores for several numeric columns at once, ties broken by ``key``.
+    """NTILE scores for several columns at once, ties broken by ``key``.
 
-    ``scores`` maps a new column to ``(source column, descending)``.  ``key``
-    must be a unique integer or text column.  NULLs sort lowest.
+    ``scores`` maps a new column to ``(source column, descending)``; values are
+    ordered in their own type.  ``key`` must be a unique integer or text column.
+    NULLs sort lowest.  Runs jobs when called.
 
     Only the first row of each tile has to be known: ``len(scores) * (tiles-1)``
     cut rows.  They are found by place in one ranged copy of the key and the
@@ -93,22 +112,27 @@ def add_tiles(
     itself is not shuffled.
     """
     frozen = freeze(frame)
-    key_type = frozen.schema[key].dataType.simpleString()
+    types = {f.name: f.dataType.simpleString() for f in frozen.schema.fields}
 
-    def sort_key(column: str, descending: bool) -> tuple[str, str]:
-        """Ascending sort key: where NULLs go, and the value."""
-        if descending:
-            return f"int({column} IS NULL)", f"CAST(-{column} AS {_VALUE})"
-        return f"int({column} IS NOT NULL)", f"CAST({column} AS {_VALUE})"
+    def level(column: str, descending: bool) -> str:
+        """Where NULLs go in ascending order of the level."""
+        return f"int({column} IS {'' if descending else 'NOT '}NULL)"
 
-    keys = {name: sort_key(*source) for name, source in scores.items()}
+    # A value column of its own type per score, NULL in the rows of other scores.
+    numbered = list(enumerate(scores.items()))
     entries = ", ".join(
-        f"struct('{name}' AS _score, {level} AS _level, {value} AS _value)"
-        for name, (level, value) in keys.items()
+        f"named_struct('_score', '{name}', '_level', {level(*source)}, "
+        + ", ".join(
+            f"'_value{j}', {source[0] if i == j else f'CAST(NULL AS {types[other[0]]})'}"
+            for j, (_, other) in numbered
+        )
+        + ")"
+        for i, (name, source) in numbered
     )
+    values = [F.desc(f"_value{j}") if source[1] else F.asc(f"_value{j}") for j, (_, source) in numbered]
     placed = _ranged(
         frozen.selectExpr(f"inline(array({entries}))", f"{key} AS _key"),
-        "_score", "_level", "_value", "_key",
+        "_score", "_level", *values, "_key",
     )
 
     # The first (total % tiles) tiles hold one row more than the others.  A cut
@@ -132,23 +156,24 @@ def add_tiles(
     # At most len(scores) * (tiles - 1) rows, so broadcast and collect are bounded.
     cut_rows = (
         placed.join(F.broadcast(cuts), ["_score", "_slice", "_place"])
-        .select("_score", "_level", "_value", "_key")
+        .drop("_slice", "_place")
         .collect()
     )
 
     columns = []
-    for name, (level, value) in keys.items():
+    for i, (name, (column, descending)) in numbered:
         score = "1"
         for row in cut_rows:
             if row["_score"] == name:
-                first = ", ".join(
-                    (
-                        _literal(row["_level"], "INT"),
-                        _literal(row["_value"], _VALUE),
-                        _literal(row["_key"], key_type),
-                    )
+                cut_level = row["_level"]
+                value = _literal(row[f"_value{i}"], types[column])
+                cut_key = _literal(row["_key"], types[key])
+                own, later = level(column, descending), "<" if descending else ">"
+                score += (
+                    f" + int({own} > {cut_level} OR ({own} = {cut_level} AND"
+                    f" (coalesce({column} {later} {value}, false)"
+                    f" OR ({column} <=> {value} AND {key} >= {cut_key}))))"
                 )
-                score += f" + int(struct({level}, {value}, {key}) >= struct({first}))"
         columns.append(f"{score} AS {name}")
     return frozen.selectExpr("*", *columns)
 
@@ -168,7 +193,12 @@ def add_ranks(
     Rows are first counted per distinct key, so a key shared by a third of the
     table is one row afterwards; ranks are running counts over the distinct
     keys, joined back to the rows.
+
+    Runs jobs when called.  The rows are checkpointed first, and both counted and
+    joined from that copy, so ranks and rows are of one moment; pass only the
+    columns that are needed.
     """
+    frame = freeze(frame)
     sizes = sizes or {}
     order_columns = [column for column, _ in order]
     group_columns = sorted({c for within in ranks.values() for c in within})

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from cohortry.functions.buckets import first_match
+from cohortry.plans.durable import freeze
+from cohortry.plans.sizes import broadcast_if_small
 from cohortry.sources.schemas import (
     CONTRACTS,
     EVENT_DOMAINS,
@@ -27,6 +29,9 @@ SUBSCRIBER_TEXT = {
     "contract": CONTRACTS,
 }
 ORDER_TEXT = {"ship_mode": SHIP_MODES, "returned": YES_NO}
+# Group keys without a documented domain.
+SUBSCRIBER_KEYS = ("payment_method", "internet_service")
+SALES_KEYS = ("segment", "region", "state", "city", "category", "sub_category", "product_name")
 
 
 def canonical(column: Column, domain: Sequence[str]) -> Column:
@@ -53,6 +58,43 @@ def normalise_text(frame: DataFrame, domains: Mapping[str, Sequence[str]]) -> Da
     return frame.select(*columns)
 
 
+def one_spelling(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Spell every value of the columns in one way, ignoring case and end spaces.
+
+    The most frequent spelling stands for all, of equally frequent ones the last
+    by code point.  Runs a job when called: one aggregate over all columns, which
+    keeps the values with more than one spelling.
+    """
+    texts = ", ".join(
+        f"struct('{c}' AS _column, lower(rtrim({c})) AS _value, rtrim({c}) AS _text)" for c in columns
+    )
+    counted = (
+        frame.selectExpr(f"inline(array({texts}))")
+        .where("_text IS NOT NULL")
+        .groupBy("_column", "_value", "_text")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    odd = freeze(
+        counted.groupBy("_column", "_value")
+        .agg(
+            F.count(F.lit(1)).alias("_spellings"),
+            F.max_by("_text", F.struct("_rows", "_text")).alias("_one"),
+        )
+        .where("_spellings > 1")
+        .select("_column", "_value", "_one")
+    )
+    order = frame.columns
+    for name in columns:
+        own = odd.where(F.col("_column") == name).select("_value", "_one")
+        trimmed = F.rtrim(F.col(name))
+        frame = (
+            frame.join(broadcast_if_small(own), F.lower(trimmed) == F.col("_value"), "left")
+            .withColumn(name, F.coalesce("_one", trimmed))
+            .select(*order)
+        )
+    return frame
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: StructType, **options
 ) -> DataFrame:
@@ -67,12 +109,13 @@ def read_delimited(
 
 def load_subscribers(spark: SparkSession, path: str, **options) -> DataFrame:
     """The 21-column subscriber table from a delimited file."""
-    return normalise_text(read_delimited(spark, path, SUBSCRIBERS, **options), SUBSCRIBER_TEXT)
+    rows = normalise_text(read_delimited(spark, path, SUBSCRIBERS, **options), SUBSCRIBER_TEXT)
+    return one_spelling(rows, SUBSCRIBER_KEYS)
 
 
 def load_sales_flat(spark: SparkSession, path: str, **options) -> DataFrame:
     """The flat sales file, ready for ``split_star_schema``."""
-    return normalise_orders(read_delimited(spark, path, SALES_FLAT, **options))
+    return one_spelling(normalise_orders(read_delimited(spark, path, SALES_FLAT, **options)), SALES_KEYS)
 
 
 def normalise_orders(orders: DataFrame) -> DataFrame:

@@ -69,6 +69,16 @@ def split_star_schema(flat: DataFrame) -> StarSchema:
     )
 
 
+def stage_flat(flat: DataFrame, path: str) -> DataFrame:
+    """Write the flat file as parquet and read it back, to split from.
+
+    The four tables each read the flat lines; a text file would be parsed, and a
+    join worked out, once for each of them.
+    """
+    flat.write.parquet(path)
+    return flat.sparkSession.read.schema(flat.schema).parquet(path)
+
+
 def save_star_schema(star: StarSchema, folder: str) -> None:
     """Write the four tables as parquet below ``folder``.
 

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.operators.funnel import STAGES
+from cohortry.plans.durable import freeze
 from cohortry.plans.hot_keys import SLICE_ROWS, HotKeys
-from cohortry.sources.schemas import SUBSCRIBERS
+from cohortry.sources.schemas import SALES_FLAT, SUBSCRIBERS
 
 # Recency is counted to the latest order date of the data.
 AS_OF = dt.date(2001, 8, 1)
@@ -60,7 +61,7 @@ def sales_customers(spark: SparkSession, folder: str) -> DataFrame:
         .join(nation, F.expr("c_nationkey = n_nationkey"))
         .join(region, F.expr("n_regionkey = r_regionkey"))
         .selectExpr(
-            "c_custkey AS customer_id",
+            "CAST(c_custkey AS STRING) AS customer_id",
             "c_name AS customer_name",
             "c_mktsegment AS segment",
             "r_name AS region",
@@ -72,20 +73,24 @@ def sales_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def sales_products(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").selectExpr(
-        "p_partkey AS product_id",
+        "CAST(p_partkey AS STRING) AS product_id",
         "p_type AS category",
         "p_brand AS sub_category",
         "p_name AS product_name",
     )
 
 
-def _lines(spark: SparkSession, folder: str, with_profit: bool) -> DataFrame:
+def _lines(
+    spark: SparkSession, folder: str, with_profit: bool, with_product: bool = False
+) -> DataFrame:
     """Order lines and whether they came back.
 
-    Order ids are text, as in the declared schema.  That also keeps reports that
-    group by order from sitting on the join's own partitioning, which would stop
-    AQE from splitting an order that holds a large share of the lines.
+    Ids are text, as in the declared schema, from after the joins on.  That also
+    keeps reports that group by order or product from sitting on a join's own
+    partitioning, which would stop AQE from splitting an order or a product that
+    holds a large share of the lines.
     """
+    ids = "CAST(product_id AS STRING) AS product_id"
     lines = (
         table(spark, folder, "lineitem")
         .join(table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
@@ -95,7 +100,7 @@ def _lines(spark: SparkSession, folder: str, with_profit: bool) -> DataFrame:
             "CAST(l_shipdate AS DATE) AS ship_date",
             """CASE o_orderpriority WHEN '1-URGENT' THEN 'Same Day' WHEN '2-HIGH' THEN 'First Class'
                WHEN '3-MEDIUM' THEN 'Second Class' ELSE 'Standard Class' END AS ship_mode""",
-            "o_custkey AS customer_id",
+            "CAST(o_custkey AS STRING) AS customer_id",
             "l_partkey AS product_id",
             "CAST(l_extendedprice AS DECIMAL(10,2)) AS sales",
             "CAST(l_quantity AS INT) AS quantity",
@@ -103,15 +108,18 @@ def _lines(spark: SparkSession, folder: str, with_profit: bool) -> DataFrame:
             "CASE WHEN l_returnflag = 'R' THEN 'Yes' END AS returned",
         )
     )
+    others = [c for c in lines.columns if c != "product_id"]
     if not with_profit:
-        return lines
-    markup = table(spark, folder, "part").selectExpr(
-        "p_partkey", "CAST(0.05BD * (p_size % 6 + 1) AS DECIMAL(5,2)) AS markup"
+        return lines.selectExpr(*others, ids)
+    attributes = ["category", "sub_category", "product_name"] if with_product else []
+    product = table(spark, folder, "part").selectExpr(
+        "p_partkey", "CAST(0.05BD * (p_size % 6 + 1) AS DECIMAL(5,2)) AS markup",
+        "p_type AS category", "p_brand AS sub_category", "p_name AS product_name",
     )
     profit = "CAST(round(sales * (markup - discount), 2) AS DECIMAL(10,2)) AS profit"
-    return lines.join(markup, F.expr("product_id = p_partkey"), "left").selectExpr(
-        *lines.columns, profit
-    )
+    return lines.join(
+        product.select("p_partkey", "markup", *attributes), F.expr("product_id = p_partkey"), "left"
+    ).selectExpr(*others, ids, profit, *attributes)
 
 
 def sales_orders(spark: SparkSession, folder: str, with_profit: bool = True) -> DataFrame:
@@ -130,20 +138,33 @@ def sales(spark: SparkSession, folder: str, with_profit: bool = True) -> Sales:
 def sales_flat(spark: SparkSession, folder: str) -> DataFrame:
     """The star schema joined back into one wide line-grain file."""
     return (
-        _lines(spark, folder, with_profit=True)
+        _lines(spark, folder, with_profit=True, with_product=True)
         .join(sales_customers(spark, folder), "customer_id")
-        .join(sales_products(spark, folder), "product_id")
+        .select(*SALES_FLAT.fieldNames())
     )
 
 
-# Subscriber columns that reports use; the others are filled with 'No'.
+# Every subscriber column.  Customers without internet, and a few without an
+# answer, have neither Yes nor No for security and support.
 SUBSCRIBER_COLUMNS = {
     "customer_id": "c_custkey",
     "senior_citizen": "0",
     "tenure": "(c_custkey * 7 + c_nationkey) % 73",
     "internet_service": "elt(c_custkey % 3 + 1, 'Fiber optic', 'DSL', 'No')",
-    "online_security": "if(c_nationkey % 2 = 0, 'Yes', 'No')",
-    "tech_support": "if(c_custkey % 2 = 0, 'Yes', 'No')",
+    "online_security": """CASE WHEN c_custkey % 3 = 2 THEN 'No internet service'
+                   WHEN c_custkey % 17 = 3 THEN NULL WHEN c_nationkey % 2 = 0 THEN 'Yes' ELSE 'No' END""",
+    "tech_support": """CASE WHEN c_custkey % 3 = 2 THEN 'No internet service'
+                   WHEN c_custkey % 19 = 5 THEN NULL WHEN c_custkey % 2 = 0 THEN 'Yes' ELSE 'No' END""",
+    "gender": "if(c_custkey % 2 = 0, 'Female', 'Male')",
+    "partner": "if(c_custkey % 5 < 2, 'Yes', 'No')",
+    "dependents": "if(c_custkey % 7 < 2, 'Yes', 'No')",
+    "phone_service": "if(c_custkey % 11 = 0, 'No', 'Yes')",
+    "multiple_lines": "if(c_custkey % 11 = 0, 'No phone \"line\", none', 'Yes')",
+    "online_backup": "if(c_custkey % 4 = 0, 'Yes', 'No')",
+    "device_protection": "if(c_custkey % 6 = 0, 'Yes', 'No')",
+    "streaming_tv": "if(c_custkey % 8 < 3, 'Yes', 'No')",
+    "streaming_movies": "if(c_custkey % 9 < 4, 'Yes', 'No')",
+    "paperless_billing": "if(c_custkey % 10 < 6, 'Yes', 'No')",
     "contract": """CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'One year'
                    WHEN 'MACHINERY' THEN 'Two year' ELSE 'Month-to-month' END""",
     "payment_method": """elt(c_nationkey % 4 + 1,
@@ -165,7 +186,7 @@ def subscribers(spark: SparkSession, folder: str) -> DataFrame:
     charges = """CAST(round((CAST(c_acctbal AS DECIMAL(12,2)) + 1000) * 0.01BD, 2)
                  AS DECIMAL(8,2)) AS charges"""
     columns = [
-        f"CAST({SUBSCRIBER_COLUMNS.get(f.name, repr('No'))} AS {f.dataType.simpleString()})"
+        f"CAST({SUBSCRIBER_COLUMNS[f.name]} AS {f.dataType.simpleString()})"
         f" AS {f.name}"
         for f in SUBSCRIBERS.fields
     ]
@@ -241,21 +262,29 @@ def funnel_events(log: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     )
 
 
-def funnel_users(spark: SparkSession, folder: str) -> DataFrame:
-    """Users with a signup.  The signup alone makes a user, so no later stage is
-    worked out here."""
+# Signup of users whose signup is not in the event log.
+NO_SIGNUP = "DATE'2024-01-01'"
+
+
+def funnel_users(spark: SparkSession, folder: str, log: DataFrame | None = None) -> DataFrame:
+    """A user per customer, by the date of the first signup in the event log.
+
+    Users who never signed up there have no funnel events either.
+    """
+    log = table(spark, folder, "events") if log is None else log
     signups = (
-        table(spark, folder, "events")
-        .where("event_type = 'signup' AND user_id IS NOT NULL")
-        .groupBy("user_id")
+        log.where("event_type = 'signup' AND user_id IS NOT NULL")
+        .groupBy(F.col("user_id").alias("_user"))
         .agg(F.min("ts").cast("date").alias("signup"))
     )
-    people = table(spark, folder, "customer").join(
-        table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
+    people = (
+        table(spark, folder, "customer")
+        .join(table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .withColumn("user_id", F.col("c_custkey"))
     )
-    return signups.join(people, F.expr("user_id = c_custkey")).selectExpr(
+    return people.join(signups, F.expr("user_id = _user"), "left").selectExpr(
         "user_id",
-        f"date_add(signup, {SHIFT}) AS signup_date",
+        f"date_add(coalesce(signup, {NO_SIGNUP}), {SHIFT}) AS signup_date",
         """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'organic' WHEN 'BUILDING' THEN 'paid_search'
            WHEN 'FURNITURE' THEN 'referral' WHEN 'HOUSEHOLD' THEN 'email' ELSE 'social' END
            AS channel""",
@@ -266,6 +295,10 @@ def funnel_users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def funnel(spark: SparkSession, folder: str) -> Funnel:
-    return Funnel(
-        users=funnel_users(spark, folder), events=funnel_events(table(spark, folder, "events"))
-    )
+    """Users and events, from one pass over the event log.
+
+    The log's needed columns are checkpointed, as the three stage joins, the list
+    of hot users and the users all read them.  Runs a job when called.
+    """
+    log = freeze(table(spark, folder, "events").where("user_id IS NOT NULL"))
+    return Funnel(users=funnel_users(spark, folder, log), events=funnel_events(log))

@@ -48,8 +48,10 @@ base_subscribers AS (
   SELECT c_custkey::VARCHAR AS customer_id,
     ((c_custkey * 7 + c_nationkey) % 73)::INTEGER AS tenure,
     ['Fiber optic', 'DSL', 'No'][(c_custkey % 3 + 1)::INTEGER] AS internet_service,
-    if(c_nationkey % 2 = 0, 'Yes', 'No') AS online_security,
-    if(c_custkey % 2 = 0, 'Yes', 'No') AS tech_support,
+    CASE WHEN c_custkey % 3 = 2 THEN 'No internet service' WHEN c_custkey % 17 = 3 THEN NULL
+      WHEN c_nationkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS online_security,
+    CASE WHEN c_custkey % 3 = 2 THEN 'No internet service' WHEN c_custkey % 19 = 5 THEN NULL
+      WHEN c_custkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS tech_support,
     CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'One year' WHEN 'MACHINERY' THEN 'Two year'
       ELSE 'Month-to-month' END AS contract,
     ['Electronic check', 'Mailed check', 'Bank transfer', 'Credit card']
@@ -71,12 +73,12 @@ subscribers AS (
 
 SALES = """
 buyers AS (
-  SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS segment,
+  SELECT c_custkey::VARCHAR AS customer_id, c_name AS customer_name, c_mktsegment AS segment,
     r_name AS region, n_name AS state, n_name AS city
   FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
 ),
 goods AS (
-  SELECT p_partkey AS product_id, p_type AS category, p_brand AS sub_category,
+  SELECT p_partkey::VARCHAR AS product_id, p_type AS category, p_brand AS sub_category,
     p_name AS product_name, p_size
   FROM part
 ),
@@ -84,8 +86,8 @@ unpriced AS (
   SELECT l_orderkey AS order_id, o_orderdate::DATE AS order_date, l_shipdate::DATE AS ship_date,
     CASE left(o_orderpriority, 1) WHEN '1' THEN 'Same Day' WHEN '2' THEN 'First Class'
       WHEN '3' THEN 'Second Class' ELSE 'Standard Class' END AS ship_mode,
-    o_custkey AS customer_id, l_partkey AS product_id, l_returnflag,
-    l_extendedprice::DECIMAL(12,2) AS sales, l_quantity::INTEGER AS quantity,
+    o_custkey::VARCHAR AS customer_id, l_partkey::VARCHAR AS product_id, l_returnflag,
+    l_extendedprice::DECIMAL(10,2) AS sales, l_quantity::INTEGER AS quantity,
     (l_discount * 4)::DECIMAL(5,2) AS discount
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 ),
@@ -126,13 +128,14 @@ stage_events AS (
   FROM happened
 ),
 members AS (
-  SELECT user_id, moment::DATE + ((user_id * 7) % 364)::INTEGER AS signup_date,
+  SELECT c_custkey AS user_id,
+    coalesce(moment::DATE, DATE '2024-01-01') + ((c_custkey * 7) % 364)::INTEGER AS signup_date,
     CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'organic' WHEN 'BUILDING' THEN 'paid_search'
       WHEN 'FURNITURE' THEN 'referral' WHEN 'HOUSEHOLD' THEN 'email' ELSE 'social' END AS channel,
-    if(user_id % 3 = 0, 'returning', 'new') AS segment,
-    ['mobile', 'desktop', 'tablet'][(user_id % 3 + 1)::INTEGER] AS device,
+    if(c_custkey % 3 = 0, 'returning', 'new') AS segment,
+    ['mobile', 'desktop', 'tablet'][(c_custkey % 3 + 1)::INTEGER] AS device,
     n_name AS city
-  FROM t1 JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+  FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN t1 ON t1.user_id = c_custkey
 ),
 reached AS (
   SELECT user_id,
@@ -170,6 +173,10 @@ RETAINED = f", {rest(GONE, 'count(*)')} AS retention_rate_pct"
 RISK = """CASE WHEN tenure <= 12 AND monthly_charges > 65 AND tech_support = 'No' THEN 'High Risk'
     WHEN tenure <= 24 AND monthly_charges > 50 THEN 'Medium Risk' ELSE 'Low Risk' END"""
 
+# Any answer but Yes, none included, is not having it.
+SUPPORT = "coalesce(tech_support = 'Yes', false)"
+SECURITY = "coalesce(online_security = 'Yes', false)"
+
 CHURN = {
     "churn_overall": over(
         SUBSCRIBERS,
@@ -273,7 +280,7 @@ FROM subscribers WHERE NOT gone""",
   {pct('count(*) FILTER (NOT gone)', 'count(*)')} AS retention_rate_pct FROM subscribers""",
     ),
     "kpi_highest_risk_segment": churn_rates("tech_support, online_security")
-    + " ORDER BY churn_rate_pct DESC, tech_support, online_security LIMIT 1",
+    + " ORDER BY churn_rate_pct DESC, tech_support NULLS FIRST, online_security NULLS FIRST LIMIT 1",
     "cohort_risk_badge": over(
         SUBSCRIBERS,
         f""", kept AS (
@@ -301,15 +308,15 @@ FROM steps a""",
         "SELECT internet_service, "
         + ", ".join(
             pct(
-                f"count(*) FILTER (gone AND tech_support = '{a}' AND online_security = '{b}')",
-                f"count(*) FILTER (tech_support = '{a}' AND online_security = '{b}')",
+                f"count(*) FILTER (gone AND {a} AND {b})",
+                f"count(*) FILTER ({a} AND {b})",
             )
             + f" AS {name}"
             for a, b, name in (
-                ("No", "No", "no_support_no_security"),
-                ("No", "Yes", "no_support_security"),
-                ("Yes", "No", "support_no_security"),
-                ("Yes", "Yes", "support_security"),
+                (f"NOT {SUPPORT}", f"NOT {SECURITY}", "no_support_no_security"),
+                (f"NOT {SUPPORT}", SECURITY, "no_support_security"),
+                (SUPPORT, f"NOT {SECURITY}", "support_no_security"),
+                (SUPPORT, SECURITY, "support_security"),
             )
         )
         + " FROM subscribers GROUP BY internet_service",
@@ -324,12 +331,17 @@ ORDER BY overall_risk_rank, customer_id LIMIT 6""",
     ),
     "load_subscribers": over(
         SUBSCRIBERS,
-        """SELECT customer_id, 'No' AS gender, 0 AS senior_citizen, 'No' AS partner,
-  'No' AS dependents, tenure, 'No' AS phone_service, 'No' AS multiple_lines, internet_service,
-  online_security, 'No' AS online_backup, 'No' AS device_protection, tech_support,
-  'No' AS streaming_tv, 'No' AS streaming_movies, contract, 'No' AS paperless_billing,
+        """, keyed AS (SELECT *, customer_id::BIGINT AS k FROM subscribers)
+SELECT customer_id, if(k % 2 = 0, 'Female', 'Male') AS gender, 0 AS senior_citizen,
+  if(k % 5 < 2, 'Yes', 'No') AS partner, if(k % 7 < 2, 'Yes', 'No') AS dependents, tenure,
+  if(k % 11 = 0, 'No', 'Yes') AS phone_service,
+  if(k % 11 = 0, 'No phone "line", none', 'Yes') AS multiple_lines, internet_service,
+  online_security, if(k % 4 = 0, 'Yes', 'No') AS online_backup,
+  if(k % 6 = 0, 'Yes', 'No') AS device_protection, tech_support,
+  if(k % 8 < 3, 'Yes', 'No') AS streaming_tv, if(k % 9 < 4, 'Yes', 'No') AS streaming_movies,
+  contract, if(k % 10 < 6, 'Yes', 'No') AS paperless_billing,
   payment_method, monthly_charges::DOUBLE AS monthly_charges,
-  total_charges::DOUBLE AS total_charges, churn FROM subscribers""",
+  total_charges::DOUBLE AS total_charges, churn FROM keyed""",
     ),
 }
 CHURN["publish_view"] = CHURN["vw_churn_by_contract"]
@@ -575,6 +587,21 @@ UNION ALL SELECT 'returns', count(DISTINCT order_id), NULL FROM unpriced
         "SELECT product_id, category, sub_category, product_name FROM goods "
         "SEMI JOIN unpriced USING (product_id)",
     ),
+    "split_star_orders": over(
+        SALES,
+        """SELECT order_id::VARCHAR AS order_id, order_date::VARCHAR AS order_date,
+  ship_date::VARCHAR AS ship_date, ship_mode, customer_id, product_id, sales::DOUBLE AS sales,
+  quantity, discount::DOUBLE AS discount, profit::DOUBLE AS profit FROM sold""",
+    ),
+    "load_sales_flat": over(
+        SALES,
+        """SELECT order_id::VARCHAR AS order_id, order_date::VARCHAR AS order_date,
+  ship_date::VARCHAR AS ship_date, ship_mode, customer_id, product_id, sales::DOUBLE AS sales,
+  quantity, discount::DOUBLE AS discount, profit::DOUBLE AS profit, customer_name, segment,
+  region, state, city, category, sub_category, product_name,
+  CASE WHEN l_returnflag = 'R' THEN 'Yes' END AS returned
+FROM sold JOIN buyers USING (customer_id) JOIN goods USING (product_id)""",
+    ),
     "split_star_returns": over(
         SALES,
         "SELECT DISTINCT order_id::VARCHAR AS order_id, 'Yes' AS returned FROM unpriced WHERE l_returnflag = 'R'",
@@ -720,7 +747,8 @@ ORDER BY drop_pct DESC, step_order LIMIT 1""",
   count(*) FILTER (d1 IS NOT NULL AND d2 IS NOT NULL AND d3 IS NOT NULL AND d4 IS NULL)
     AS one_time_buyers,
   count(*) FILTER (d1 IS NOT NULL AND d2 IS NOT NULL AND d3 IS NOT NULL AND d4 IS NOT NULL)
-    AS repeat_buyers
+    AS repeat_buyers,
+  count(*) FILTER (coalesce(d1, d2, d3, d4) IS NULL) AS unknown
 FROM journeys GROUP BY device""",
     ),
     "cohort_heat_band": over(
@@ -851,4 +879,28 @@ UNION ALL SELECT user_id, 'second_purchase', day::VARCHAR FROM repeated""",
     ),
 }
 
+
+
+def view_counts(known: dict[str, str], names: tuple[str, ...]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS view_name, count(*) AS row_count FROM (\n{known[name]}\n)"
+        for name in names
+    )
+
+
+LOADING["publish_churn_views"] = view_counts(
+    CHURN,
+    ("vw_churn_kpi_summary", "vw_churn_by_contract", "vw_cohort_retention", "vw_churn_by_payment",
+     "vw_active_customer_risk", "vw_churn_drivers"),
+)
+LOADING["publish_sales_views"] = view_counts(
+    SALES_QUERIES,
+    ("vw_monthly_revenue_trend", "vw_category_performance", "vw_regional_kpi", "vw_rfm_segments",
+     "vw_discount_impact"),
+)
+LOADING["publish_funnel_views"] = view_counts(
+    FUNNEL_QUERIES,
+    ("vw_funnel_summary", "vw_channel_conversion", "vw_cohort_matrix", "vw_dropoff_by_stage"),
+)
+
 ORACLES = {**CHURN, **SALES_QUERIES, **FUNNEL_QUERIES, **LOADING}

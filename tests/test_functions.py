@@ -112,3 +112,10 @@ def test_rfm_segment_of_all_125_cells(spark):
         "Champions": 8, "Loyal Customers": 37, "Recent Customers": 20, "Potential Loyalists": 6,
         "At Risk": 18, "Cannot Lose Them": 8, "Lost": 8, "Big Spenders": 8, "Need Attention": 12,
     }
+
+
+def test_rates_of_values_below_a_cent(spark):
+    row = spark.createDataFrame([("0.004", "0.008")], "a STRING, b STRING").select(
+        percent(F.col("a").cast("decimal(10,4)"), F.col("b").cast("decimal(10,4)")).alias("p")
+    ).first()
+    assert row["p"] == 50

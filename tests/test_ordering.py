@@ -102,3 +102,80 @@ def test_equal_rows_are_spread_over_ranges(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) == 8 and max(sizes) < 1000
+
+
+@pytest.mark.parametrize("kind", ["DOUBLE", "DECIMAL(38,12)", "BIGINT", "DATE", "STRING"])
+def test_tiles_order_values_in_their_own_type(spark, kind):
+    value = {
+        "DOUBLE": "CASE WHEN id % 7 = 0 THEN NULL ELSE pow(10D, id - 9) * (id % 3 - 1) END",
+        "DECIMAL(38,12)": "id * 0.000000001BD",
+        "BIGINT": "9223372036854775807 - id",
+        "DATE": "date_add(DATE'2020-01-01', CAST(id AS INT))",
+        "STRING": "concat('it\\'s ', id)",
+    }[kind]
+    frame = spark.range(43).selectExpr("id", f"CAST({value} AS {kind}) AS v")
+    found = add_tiles(frame, "id", {"up": ("v", False), "down": ("v", True)}).select("id", "up", "down")
+    expected = frame.select(
+        "id",
+        F.ntile(5).over(Window.orderBy(F.asc_nulls_first("v"), "id")),
+        F.ntile(5).over(Window.orderBy(F.desc_nulls_last("v"), "id")),
+    )
+    assert rows(found) == rows(expected)
+
+
+def test_tiles_of_tiny_and_huge_values(spark):
+    frame = spark.range(10).selectExpr("id", "(id + 1) * 1e-7 AS small", "(id + 1) * 1e33 AS big")
+    found = add_tiles(frame, "id", {"s": ("small", False), "b": ("big", False)}).select("id", "s", "b")
+    assert rows(found) == [(i, i // 2 + 1, i // 2 + 1) for i in range(10)]
+
+
+def test_ranks_are_of_one_moment(spark, tmp_path):
+    """Rows written after the call change neither the ranks nor the rows."""
+    path = str(tmp_path / "people")
+    spark.createDataFrame([(1, 5), (2, 3)], "id INT, v INT").write.parquet(path)
+    ranked = add_ranks(spark.read.parquet(path), [("v", True)], {"r": []}).select("id", "r")
+    spark.createDataFrame([(3, 9)], "id INT, v INT").write.mode("overwrite").parquet(path)
+    assert rows(ranked) == [(1, 1), (2, 2)]
+
+
+def test_views_of_one_moment(spark):
+    from conftest import SUBSCRIBER_DDL, make_subscribers
+
+    from cohortry.plans.views import CHURN_VIEWS, register_views
+
+    spark.sql("DROP TABLE IF EXISTS people")
+    spark.sql(f"CREATE TABLE people ({SUBSCRIBER_DDL}) USING parquet")
+    try:
+        make_subscribers(spark, [{"monthly_charges": 40}, {"monthly_charges": 60}]).write.insertInto("people")
+        register_views(CHURN_VIEWS, spark.table("people"))
+        more = make_subscribers(spark, [{"monthly_charges": 99, "customer_id": "new"}])
+        more.write.insertInto("people")
+        found = spark.table("vw_active_customer_risk").select("customer_id", "overall_risk_rank")
+        assert rows(found) == [("C000", 2), ("C001", 1)]
+        register_views(CHURN_VIEWS, spark.table("people"))
+        found = spark.table("vw_active_customer_risk").select("customer_id", "overall_risk_rank")
+        assert rows(found) == [("C000", 3), ("C001", 2), ("new", 1)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS people")
+
+
+def test_row_numbers_of_many_equal_rows(spark, monkeypatch):
+    """A row that fills most of the table is numbered in parts."""
+    from cohortry.plans import ordering
+
+    monkeypatch.setattr(ordering, "_PART_ROWS", 10)
+    frame = spark.range(500).selectExpr("IF(id % 3 < 2, 7, id) AS k", "IF(id % 3 < 2, NULL, 'x') AS t")
+    found = add_row_number(frame, ["k"], "n").orderBy("n").collect()
+    assert [r["n"] for r in found] == list(range(1, 501))
+    keys = [r["k"] for r in found]
+    assert keys == sorted(keys) and keys.count(7) == 334
+
+
+def test_hot_keys_are_bounded_by_their_share(spark):
+    from cohortry.plans import hot_keys
+
+    counts = spark.range(1000).selectExpr("id", "IF(id < 3, 5000, 2) AS rows")
+    found = hot_keys.HotKeys(counts, "id", "rows", slice_rows=1000).slices
+    assert rows(found) == [(0, 5), (1, 5), (2, 5)]
+    assert rows(hot_keys.HotKeys(counts, "id", "rows", slice_rows=5000).slices) == []
+    assert rows(hot_keys.HotKeys(counts.where("id < 0"), "id", "rows").slices) == []

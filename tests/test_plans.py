@@ -3,10 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortry.operators import churn, funnel, rfm, sales
-from cohortry.plans import sizes
-from cohortry.sources import testbed
+from cohortry.plans import durable, ordering, sizes
+from cohortry.sources import checks, star_schema, testbed
 
 
 @pytest.fixture(scope="module")
@@ -54,10 +55,93 @@ def test_month_report_pushes_its_dates_down(stored):
     assert "LessThanOrEqual(order_date,2000-11-30)" in text
 
 
+@pytest.fixture
+def frozen(monkeypatch):
+    """The plans of what is checkpointed."""
+    plans = []
+
+    def record(frame):
+        plans.append(plan(frame))
+        return durable.freeze(frame)
+
+    monkeypatch.setattr(ordering, "freeze", record)
+    monkeypatch.setattr(sales, "freeze", record)
+    return plans
+
+
 def test_active_filter_is_pushed_down(stored):
     assert "EqualTo(churn,No)" in plan(churn.top_at_risk(stored["subscribers"]))
 
 
+def test_ranks_read_their_input_once(stored, frozen):
+    ranked = churn.risk_ranking(stored["subscribers"])
+    assert sum(len(scans(p)) for p in frozen) == 1 and not scans(plan(ranked))
+    (scan,) = scans(frozen[0])
+    assert columns(scan) == {"customer_id", "contract", "tenure", "monthly_charges", "internet_service", "churn"}
+
+
+def test_row_numbers_are_checkpointed_once(stored, frozen):
+    checks.assign_event_id(stored["events"]).collect()
+    assert len(frozen) == 1
+
+
+def test_the_event_log_is_read_once(spark, folder):
+    data = testbed.funnel(spark, folder)
+    report = funnel.dropoff_users(data.users, data.events)
+    report.collect()
+    assert sum("event_type" in scan for scan in scans(plan(report))) <= 2
+    flat = testbed.sales_flat(spark, folder)
+    assert sum("p_partkey" in scan for scan in scans(plan(flat))) == 1
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.mark.parametrize(
+    "report",
+    [sales.category_rollup, sales.loss_products, sales.category_contribution,
+     sales.vw_category_performance, sales.top_products, "split_star_products"],
+)
+def test_a_hot_product_is_split(spark, folder, tmp_path, monkeypatch, report):
+    """With 80 % of the lines on one product, the join of lines and products is split."""
+    for name in ("region", "nation", "customer", "part", "orders"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{folder}/{name}.parquet")
+    lines = testbed.table(spark, folder, "lineitem")
+    lines.withColumn(
+        "l_partkey", F.when(F.col("l_orderkey") % 10 < 8, 7).otherwise(F.col("l_partkey"))
+    ).repartition(8).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plans = []
+
+    def run_and_record(frame):
+        frame.collect()
+        plans.append(plan(frame))
+        return durable.freeze(frame)
+
+    monkeypatch.setattr(sales, "freeze", run_and_record)
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    try:
+        if report == "split_star_products":
+            flat = testbed.sales_flat(spark, str(tmp_path))
+            shown = star_schema.split_star_schema(flat).products
+        else:
+            area = testbed.sales(spark, str(tmp_path))
+            shown = report(area.orders, area.products)
+        shown.collect()
+        plans.append(plan(shown))
+    finally:
+        for key in SKEW:
+            spark.conf.unset(key)
+    assert any("skew=true" in text for text in plans)
+
+
 @pytest.mark.parametrize("report", [funnel.journey_report, funnel.dropoff_users, funnel.channel_funnel])
 def test_funnel_reports_scan_events_once(stored, report):
     text = plan(report(stored["users"], stored["events"]))
@@ -123,6 +207,18 @@ def test_display_order(spark, folder):
     queries = registry.queries()
     for name, wanted in DISPLAY_ORDER.items():
         assert name in queries and wanted
+        report = queries[name](spark, folder)
+        once = for_display(name, report).collect()
+        again = for_display(name, report.repartition(5)).collect()
+        assert once == again
+        names = [c.removeprefix("-") for c in wanted]
+        low = [min((r[c] for r in once if r[c] is not None), default=0) for c in names]
+        keys = [[(r[c] is not None, low[k] if r[c] is None else r[c]) for k, c in enumerate(names)] for r in once]
+        for column in reversed(range(len(names))):
+            keys.sort(key=lambda row: row[column], reverse=wanted[column].startswith("-"))
+        assert [[r[c] for c in names] for r in once] == [
+            [value if there else None for there, value in row] for row in keys
+        ]
     shown = for_display("churn_by_payment", queries["churn_by_payment"](spark, folder)).collect()
     rates = [r["churn_rate_pct"] for r in shown]
     assert rates == sorted(rates, reverse=True)
@@ -133,9 +229,10 @@ def test_display_order(spark, folder):
     assert quarters == sorted(quarters, key=lambda q: (q[3:], q[1]))
 
 
-def test_order_counts_do_not_shuffle_every_line(stored):
+def test_order_counts_do_not_shuffle_every_line(stored, frozen):
     """Only lines of the top products reach the distinct count."""
-    text = plan(sales.top_products(stored["orders"], stored["products"]))
+    sales.top_products(stored["orders"], stored["products"])
+    text = frozen[-1]
     assert [columns(s) for s in scans(text)] == [{"product_id", "order_id"}]
     assert "SortMergeJoin" not in text
 

@@ -222,6 +222,47 @@ def test_views_register_and_publish(spark, folder, tmp_path):
         assert spark.read.parquet(str(tmp_path / name)).count() == spark.table(name).count()
 
 
+def test_group_keys_have_one_spelling(spark, tmp_path):
+    path = write(
+        tmp_path,
+        *[subscriber_line(customer_id=f"C{k}", payment_method=p)
+          for k, p in enumerate(["Mailed check", "mailed check  ", "Mailed check", "MAILED CHECK", "Card", "card"])],
+        subscriber_line(customer_id="C9", payment_method='"Bank, ""auto"""', internet_service="dsl"),
+    )
+    loaded = load.load_subscribers(spark, path)
+    found = {r["customer_id"]: r["payment_method"] for r in loaded.collect()}
+    assert [found[f"C{k}"] for k in range(6)] == ["Mailed check"] * 4 + ["card"] * 2
+    assert loaded.schema == SUBSCRIBERS and loaded.count() == 7
+
+
+def test_users_and_events_are_respelled(spark):
+    users = spark.createDataFrame([("ORGANIC ", "New", "Mobile"), (None, "x ", "tablet")], "channel STRING, segment STRING, device STRING")
+    assert [tuple(r) for r in load.normalise_users(users).collect()] == [("organic", "new", "mobile"), (None, "x", "tablet")]
+    events = spark.createDataFrame([("Signed_Up",), ("other ",)], "event_type STRING")
+    assert [r[0] for r in load.normalise_events(events).collect()] == ["signed_up", "other"]
+
+
+def test_dropoff_matrix_holds_all_users(spark, folder):
+    from cohortry.operators import dashboard
+
+    data = testbed.funnel(spark, folder)
+    matrix = dashboard.dropoff_by_device(data.users, data.events).collect()
+    stages = funnel.dropoff_users(data.users, data.events).collect()
+    assert sum(sum(r[1:]) for r in matrix) == sum(r["user_count"] for r in stages) == data.users.count()
+    assert sum(r["unknown"] for r in matrix) > 0
+
+
+def test_scratch_is_released(spark):
+    import os
+
+    from cohortry.plans.durable import release_scratch, scratch_path
+
+    release_scratch(spark)
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert os.path.exists(path) and release_scratch(spark) == 1 and not os.path.exists(path)
+
+
 class Unconfigured:
     """A cluster session that names no shared folder."""
 
@@ -235,5 +276,7 @@ class Unconfigured:
 
 def test_a_cluster_must_name_its_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Unconfigured)
+    for master in ("spark://somewhere:7077", "local-cluster[2,1,1024]", "yarn"):
+        Unconfigured.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(Unconfigured)
