@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage, and their DuckDB statements."""
+"""The registered queries of this subpackage; ``ORACLES`` has their DuckDB statements."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from cohortry.llm import (
     toxicity,
     warc,
 )
+from cohortry.llm.oracles import ORACLES as ORACLES
 from cohortry.llm.ship import ship
 from cohortry.plans.durable import scratch_path
 
@@ -80,4 +81,3 @@ QUERIES = {
         op10_bagminhash,
     )
 }
-ORACLES: dict[str, str] = {"op3_revisits": warc.ORACLE}
