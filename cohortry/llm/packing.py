@@ -58,7 +58,7 @@ def cut_documents(
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for run in text_runs(texts):
                 rows = []
-                for key, ids in zip(keys[run], encode(texts[run].to_pylist())):
+                for key, ids in zip(keys[run], encode(texts[run])):
                     ids += end
                     for n, at in enumerate(range(0, len(ids), step)):
                         part = ids[at : at + step]

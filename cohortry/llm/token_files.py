@@ -77,7 +77,7 @@ def write_ids(
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for run in text_runs(texts):
-                found = encode(texts[run].to_pylist())
+                found = encode(texts[run])
                 for key, one in zip(keys[run], found):
                     doc_ids.append(key)
                     ids.append(one + end)

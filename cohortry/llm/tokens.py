@@ -23,7 +23,7 @@ import regex
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # Words remembered per worker, in each of two generations: when the young one is
 # full it replaces the old one, so that frequent words stay.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 ID_BYTES = 4
 
 # Fixed value: the words of the vocabulary's own splitting rule.
@@ -90,23 +90,35 @@ class WordEncoder:
         if len(known) > self._cache_words:
             self._pieces, self._old_pieces = {}, known
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as bytes; a null text has none."""
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as bytes; a null text has none.
+
+        Arrow splits the texts and numbers their different words; only those are
+        looked up one by one, and their ids are then gathered for all words.
+        """
         if len(self._words) > self._cache_words:
             self._words, self._old_words = {}, self._words
-        cut = [
-            (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            for t in texts
-        ]
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        numbered = split.flatten().dictionary_encode()
+        different = numbered.dictionary.to_pylist()
         known, old = self._words, self._old_words
-        missing = set().union(*cut).difference(known)
+        missing = set(different).difference(known)
         kept = missing.intersection(old)
         known.update(zip(kept, map(old.__getitem__, kept)))
         missing -= kept
         if missing:
             self._learn(missing)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        found = list(map(known.__getitem__, different))
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ID_BYTES
+        word = numbered.indices.to_numpy()
+        count = sizes[word]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        first = (np.cumsum(sizes) - sizes)[word] - ends[:-1]
+        ids = flat[np.repeat(first, count) + np.arange(ends[-1])].tobytes()
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        cuts = (ends[bounds] * ID_BYTES).tolist()
+        return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -119,7 +131,7 @@ def encoder(path: str = TOKENIZER) -> WordEncoder:
     return _encoders[path]
 
 
-def text_runs(texts: pa.Array, most_bytes: int = 2_000_000) -> list[slice]:
+def text_runs(texts: pa.Array, most_bytes: int = 4_000_000) -> list[slice]:
     """Slices of a batch of texts that hold at most so many bytes, or one text.
 
     Keeps the working memory of a step small, however long the texts are.
