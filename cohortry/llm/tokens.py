@@ -13,6 +13,7 @@ by itself; ``WordEncoder`` refuses others.
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +31,9 @@ ID_BYTES = 4
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Words of these characters have one Unicode form and lower case everywhere.
 _PLAIN = regex.compile("[!-~¡-¬®-ÿ]+")
+# The same for Arrow: what is not plain, and the pieces other than runs of letters.
+_NOT_PLAIN = r"[^\x00-\xff]"
+_MARKS = r"('s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\x09-\x0d\x20\x85\xa0\p{L}\p{N}]+)"
 
 
 class WordEncoder:
@@ -48,7 +52,7 @@ class WordEncoder:
             raise ValueError(f"{path} does not drop the white space between words")
         self._own_pieces = splits[0]["pattern"].get("Regex") == _PIECES.pattern
         self._special = regex.compile(
-            "|".join(regex.escape(t["content"]) for t in rule["added_tokens"]) or "(?!)"
+            "|".join(re.escape(t["content"]) for t in rule["added_tokens"]) or r"\x00\x00"
         )
         self._tokenizer = Tokenizer.from_file(path)
         self._cache_words = cache_words
@@ -63,7 +67,7 @@ class WordEncoder:
 
     def _cut(self, word: str) -> list[str] | None:
         """The pieces of a plain word; None for a word to be encoded whole."""
-        if word.isalpha() and word.isascii():
+        if word.isalpha() and (word.isascii() or _PLAIN.fullmatch(word)):
             return [word.lower()]
         if not _PLAIN.fullmatch(word) or self._special.search(word):
             return None
@@ -90,6 +94,19 @@ class WordEncoder:
         if len(known) > self._cache_words:
             self._pieces, self._old_pieces = {}, known
 
+    def _spaced(self, texts: pa.Array) -> pa.Array:
+        """Plain texts in lower case with blanks around pieces that aren't letters.
+
+        Their words are then pieces, of which there are fewer different ones.
+        Other texts, and those with special tokens, stay as they are.
+        """
+        if not self._own_pieces:
+            return texts
+        other = f"{_NOT_PLAIN}|{self._special.pattern}"
+        plain = pc.invert(pc.match_substring_regex(texts, other))
+        spaced = pc.replace_substring_regex(pc.utf8_lower(texts), _MARKS, r" \1 ")
+        return pc.if_else(plain, spaced, texts)
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as bytes; a null text has none.
 
@@ -98,7 +115,7 @@ class WordEncoder:
         """
         if len(self._words) > self._cache_words:
             self._words, self._old_words = {}, self._words
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        split = pc.ascii_split_whitespace(self._spaced(pc.fill_null(texts, "")))
         numbered = split.flatten().dictionary_encode()
         different = numbered.dictionary.to_pylist()
         known, old = self._words, self._old_words
