@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,10 +41,13 @@ from cohortry.llm.tokens import text_runs
 SAMPLE_DOCS = 1200
 SAMPLE_CHARS = 20_000
 # Most features of a model, those with the clearest association.
-FEATURES = 20_000
+FEATURES = 8_000
+HASH_BITS = 22
+# Tokens of one slice of the training texts.
+SLICE_TOKENS = 100_000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 LEAST_LIFT = 20.0
-STEPS = 50
+STEPS = 35
 RATE = 0.25
 RIDGE = 1e-3
 # Words remembered per worker.
@@ -135,19 +139,51 @@ def toxic_marginals(scores: np.ndarray, first: np.ndarray, model: Model) -> np.n
     return both[:, 1] / both.sum(axis=1)
 
 
-def _association(toxic: Counter, clean: Counter, n1: int, n0: int):
-    """Likelihood ratio and lift of each feature, by documents that have it."""
-    names = sorted(set(toxic) | set(clean))
-    a = np.array([toxic[f] for f in names], dtype=float)
-    b = np.array([clean[f] for f in names], dtype=float)
+def _association(a: np.ndarray, b: np.ndarray, n1: int, n0: int):
+    """Likelihood ratio and lift of features that a toxic and b clean documents have."""
     total = n1 + n0
-    ratio = np.zeros(len(names))
+    ratio = np.zeros(len(a))
     for seen, size in ((a, n1), (b, n0)):
         for found, share in ((seen, (a + b) / total), (size - seen, 1 - (a + b) / total)):
             with np.errstate(divide="ignore", invalid="ignore"):
                 ratio += np.where(found > 0, 2 * found * np.log(found / (size * share)), 0)
     lift = ((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n0 + 1))
-    return names, ratio, lift, a
+    return ratio, lift
+
+
+def _document_features(text: str) -> set[str]:
+    return {f for w in {w.lower() for w in _WORD.findall(text)} for f in word_features(w)}
+
+
+def _telling_features(texts: list[str], y: np.ndarray):
+    """The ``FEATURES`` features of clearest association: names, ratio, lift, toxic documents.
+
+    Documents are first counted per hash of the feature; only features whose hash
+    could matter are then counted by name, so the memory stays small.
+    """
+    n1, n0 = int(y.sum()), int((1 - y).sum())
+    slots = np.zeros((2, 1 << HASH_BITS), dtype=np.int32)
+    mask = (1 << HASH_BITS) - 1
+    distinct = 0
+    for text, label in zip(texts, y.tolist()):
+        names = _document_features(text)
+        distinct += len(names)
+        hashes = np.fromiter((zlib.crc32(f.encode()) & mask for f in names), np.int64, len(names))
+        np.add.at(slots[label], hashes, 1)
+    known = np.flatnonzero(slots.sum(axis=0) > 1)
+    ratio, _ = _association(slots[1][known].astype(float), slots[0][known].astype(float), n1, n0)
+    wanted = np.zeros(1 << HASH_BITS, dtype=bool)
+    wanted[known[np.argsort(-ratio, kind="stable")[: 2 * FEATURES]]] = True
+    counts = (Counter(), Counter())
+    for text, label in zip(texts, y.tolist()):
+        counts[label].update(
+            f for f in _document_features(text) if wanted[zlib.crc32(f.encode()) & mask]
+        )
+    names = sorted(set(counts[0]) | set(counts[1]))
+    a, b = (np.array([counts[k][f] for f in names], dtype=float) for k in (1, 0))
+    ratio, lift = _association(a, b, n1, n0)
+    order = np.argsort(-ratio, kind="stable")[:FEATURES]
+    return [names[i] for i in order], ratio[order], lift[order], a[order], distinct
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -179,60 +215,75 @@ def fit(texts: list[str], toxic: list[int], share: float) -> Model:
     n1, n0 = int(y.sum()), int((1 - y).sum())
     if not n1 or not n0:
         return Model(constant=1.0 if n1 else 0.0)
-    vocabulary: dict[str, int] = {}
-    docs = [
-        np.array([vocabulary.setdefault(w.lower(), len(vocabulary)) for w in _WORD.findall(t)], int)
-        for t in texts
-    ]
-    features = [word_features(w) for w in vocabulary]
-    seen = (Counter(), Counter())
-    for words, label in zip(docs, y.tolist()):
-        seen[label].update({f for w in np.unique(words).tolist() for f in features[w]})
-    names, ratio, lift, support = _association(seen[1], seen[0], n1, n0)
-
-    order = np.argsort(-ratio, kind="stable")[:FEATURES]
-    number = {names[i]: k for k, i in enumerate(order.tolist())}
-    sure = max(6.6, min(2 * math.log(len(names) + 1) + 4, 0.5 * ratio.max()))
+    names, ratio, lift, support, distinct = _telling_features(texts, y)
+    number = {name: k for k, name in enumerate(names)}
+    sure = max(6.6, min(2 * math.log(distinct + 1), 0.5 * ratio.max(initial=0)))
     signs = (ratio >= sure) & (lift >= min(LEAST_LIFT, 0.5 * lift[support > 1].max(initial=2)))
     marks = {names[i] for i in np.flatnonzero(signs).tolist()}
 
-    marked = np.array([any(f in marks for f in fs) for fs in features])
-    word = np.concatenate([d for d in docs]) if docs else np.zeros(0, int)
-    sizes = np.array([len(d) for d in docs])
-    owner = np.repeat(np.arange(len(docs)), sizes)
-    first = np.zeros(len(word), dtype=bool)
-    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-    label = marked[word] & (y[owner] == 1)
-
-    # Words times features, as two lists of numbers.
-    pairs = [(w, number[f]) for w, fs in enumerate(features) for f in fs if f in number]
+    # Words without a telling feature are all alike: number 0.
+    vocabulary: dict[str, int] = {"": 0}
+    features: list[list[int]] = [[]]
+    plain: set[str] = set()
+    chains, sizes = [], []
+    for text in texts:
+        words = [w.lower() for w in _WORD.findall(text)]
+        for word in set(words) - plain:
+            if word not in vocabulary:
+                found = [number[f] for f in word_features(word) if f in number]
+                if found:
+                    vocabulary[word] = len(features)
+                    features.append(found)
+                else:
+                    plain.add(word)
+        if len(plain) > CACHE_WORDS:
+            plain.clear()
+        chains.append(np.fromiter((vocabulary.get(w, 0) for w in words), np.int32, len(words)))
+        sizes.append(len(words))
+    sizes = np.array(sizes)
+    marked = np.array([any(names[f] in marks for f in fs) for fs in features])
+    pairs = [(w, f) for w, fs in enumerate(features) for f in fs]
     of_word, of_feature = np.array(pairs, dtype=int).reshape(-1, 2).T
-    k = len(order)
-    theta = np.zeros(k + 7)  # features, bias, start of toxic, four moves (clean to clean is 0)
+
+    # Slices of whole documents, so that a step needs little memory at once.
+    part = np.cumsum(sizes) // SLICE_TOKENS
+    slices = []
+    for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(part)) + 1):
+        if not sizes[rows].sum():
+            continue
+        word = np.concatenate([chains[i] for i in rows])
+        first = np.zeros(len(word), dtype=bool)
+        first[(np.cumsum(sizes[rows]) - sizes[rows])[sizes[rows] > 0]] = True
+        owner = np.repeat(rows, sizes[rows])
+        slices.append((word, first, owner, marked[word] & (y[owner] == 1)))
+
+    k = len(names)
+    theta = np.zeros(k + 6)  # features, bias, start of toxic, four moves (clean to clean is 0)
     theta[k], theta[k + 1] = -3.0, -1.0
     slow, square = np.zeros_like(theta), np.zeros_like(theta)
-    label_at = np.flatnonzero(label)
-    inner = np.flatnonzero(~first)
-    seen_moves = np.bincount(2 * label[inner - 1] + label[inner], minlength=4).reshape(2, 2)
-    by_word = np.bincount(word[label_at], minlength=len(features))
+
+    def scores() -> np.ndarray:
+        return theta[k] + np.bincount(of_word, weights=theta[of_feature], minlength=len(features))
+
     for step in range(1, STEPS + 1):
-        per_word = theta[k] + np.bincount(
-            of_word, weights=theta[of_feature], minlength=len(features)
-        )
+        per_word = scores()
         start, moves = np.array([0.0, theta[k + 1]]), theta[k + 2 : k + 6].reshape(2, 2)
-        forward, backward, matrices = marginals(per_word[word], first, start, moves)
-        both = forward * backward
-        p = both[:, 1] / both.sum(axis=1)
-        joint = forward[inner - 1][:, :, None] * matrices[inner] * backward[inner][:, None, :]
-        joint = (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        short = by_word - np.bincount(word, weights=p, minlength=len(features))
-        slope = np.zeros_like(theta)
+        slope, short = np.zeros_like(theta), np.zeros(len(features))
+        for word, first, _, label in slices:
+            forward, backward, matrices = marginals(per_word[word], first, start, moves)
+            both = forward * backward
+            p = both[:, 1] / both.sum(axis=1)
+            inner = np.flatnonzero(~first)
+            joint = forward[inner - 1][:, :, None] * matrices[inner] * backward[inner][:, None, :]
+            joint = (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            seen = np.bincount(2 * label[inner - 1] + label[inner], minlength=4).reshape(2, 2)
+            short += np.bincount(word, weights=label - p, minlength=len(features))
+            slope[k + 1] += (label[first] - p[first]).sum()
+            slope[k + 2 : k + 6] += (seen - joint).ravel()
         slope[:k] = np.bincount(of_feature, weights=short[of_word], minlength=k)
         slope[k] = short.sum()
-        slope[k + 1] = (label[first] - p[first]).sum()
-        slope[k + 2 : k + 6] = (seen_moves - joint).ravel()
         slope[k + 2] = 0.0
-        slope = slope / len(docs) - RIDGE * theta
+        slope = slope / len(texts) - RIDGE * theta
         slow = 0.9 * slow + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         theta += RATE * (slow / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
@@ -242,8 +293,12 @@ def fit(texts: list[str], toxic: list[int], share: float) -> Model:
         start=np.array([0.0, theta[k + 1]]),
         moves=theta[k + 2 : k + 6].reshape(2, 2).copy(),
     )
-    per_word = np.array([word_score(model, w) for w in vocabulary])
-    found = _summary(toxic_marginals(per_word[word], first, model), owner, len(docs))
+    per_word = scores()
+    found = _summary(np.zeros(0), np.zeros(0, int), len(texts))
+    for word, first, owner, _ in slices:
+        rows = np.unique(owner)
+        p = toxic_marginals(per_word[word], first, model)
+        found[rows] = _summary(p, np.searchsorted(rows, owner), len(rows))
     weight = np.where(y == 1, share / n1, (1 - share) / n0) * len(y)
     model.calibration = tuple(_logistic(found, y, weight).tolist())
     return model
