@@ -10,8 +10,10 @@ source and size, kept inside a bracket that halves where a step would leave it.
 Rates are then rounded to whole copies.  Every document gets the whole part of
 its rate; the words still missing are filled by one more copy of the documents
 with the smallest ``hash / fraction``, up to the place where the source's words
-are used up, and at last by single documents that fit the remaining gap.  The
-result depends on the rows only, so reruns agree.
+are used up, and at last by single documents that fit the remaining gap.  Rows
+equal in source, doc_id and size have one place in that order; where the words
+are used up among them, as many of them get the copy as fit.  The result depends
+on the rows only, so reruns agree.
 
 Rows: a null text has no words; documents without words are never taken and
 change nothing; a null source is a source of its own, the last; rows with the
@@ -32,17 +34,22 @@ WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 NEWTON_STEPS = 40
 CLOSE = 1e-5
-# Rounding narrows the cut down by this many cells, this many times.
-CELLS, PASSES = 256, 4
+# Rounding narrows the cut down by this many bits of the place, this many times.
+CELL_BITS, PASSES = 8, 4
+PLACE_BITS = CELL_BITS * PASSES
 GAP_ROUNDS = 6
 
+# Equal rows agree in these, besides the source.
+_GROUP = ("key", "doc_id", "size")
+
 _SIZE = r"size(filter(split(text, r'[\x20\x09-\x0D]+'), w -> w <> ''))"
 
 
 def sizes(docs: DataFrame, *also: str) -> DataFrame:
-    """Words per document, over the whole text."""
+    """Words per document, over the whole text, and a hash that tells texts of one doc_id apart."""
     return docs.select(
-        "doc_id", "source", F.expr(f"CAST(coalesce({_SIZE}, 0) AS BIGINT)").alias("size"), *also
+        "doc_id", "source", F.expr(f"CAST(coalesce({_SIZE}, 0) AS BIGINT)").alias("size"),
+        F.xxhash64("text").alias("_text"), *also,
     )
 
 
@@ -140,29 +147,89 @@ def tilts(counts: DataFrame, wanted: DataFrame, steps: int = NEWTON_STEPS) -> Da
     return state.select("source", "source_size", "target", "mean", "full", "tilt")
 
 
-def _cut_cells(waiting: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Narrow each source's cut to one of its cells, by the words before it."""
-    width = "(high - low)"
+def _cut_cells(waiting: DataFrame, cuts: DataFrame, bits: int) -> DataFrame:
+    """Narrow each source's cut, a cell of places without their last ``bits + CELL_BITS``
+    bits, to one without the last ``bits``, by the words before it."""
     inside = waiting.join(cuts, waiting["source"].eqNullSafe(cuts["source"])).where(
-        "key >= low AND key < high"
+        f"shiftright(place, {bits + CELL_BITS}) = cell"
     )
     cells = inside.groupBy(
-        cuts["source"].alias("source"), "low", "high", "need",
-        F.expr(f"least({CELLS - 1}, CAST(floor((key - low) / {width} * {CELLS}) AS INT))").alias("cell"),
+        cuts["source"].alias("source"), "need", F.expr(f"shiftright(place, {bits})").alias("cell")
     ).agg(F.sum("size").alias("words"))
-    # At most CELLS rows per source.
-    before = cells.selectExpr(
+    # At most 2 ** CELL_BITS rows per source.
+    return _crossing(cells, "cell").selectExpr("source", "c.need - c.before AS need", "c.cell AS cell")
+
+
+def _crossing(parts: DataFrame, order: str) -> DataFrame:
+    """The part, by ``order``, in which each source's words reach ``need``, as ``c``."""
+    before = parts.selectExpr(
         "*",
-        """sum(words) OVER (PARTITION BY source ORDER BY cell
+        f"""sum(words) OVER (PARTITION BY source ORDER BY {order}
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - words AS before""",
     )
-    crossing = before.where("before + words >= need").groupBy("source").agg(
-        F.min_by(F.struct("low", "high", "need", "cell", "before"), "cell").alias("c")
+    columns = [F.col(c) for c in before.columns if c != "source"]
+    return before.where("before + words >= need").groupBy("source").agg(
+        F.min_by(F.struct(*columns), order).alias("c")
     )
-    return crossing.selectExpr(
-        "source", "c.need - c.before AS need",
-        f"c.low + c.cell * ((c.high - c.low) / {CELLS}) AS low",
-        f"c.low + (c.cell + 1) * ((c.high - c.low) / {CELLS}) AS high",
+
+
+def _extra_copies(split: DataFrame) -> DataFrame:
+    """Rows of ``split``, with ``extra``: whether the row gets one more copy.
+
+    Every source's missing words are filled in the order of (place, key, doc_id,
+    size).  Equal rows are one group there; the one in which the words are used up
+    gets as many copies as fit, its rows being numbered.
+    """
+    open_words = "coalesce(sum(CASE WHEN fraction > 0 THEN size END), 0)"
+    wanted = stash(
+        split.groupBy("source").agg(
+            F.expr("max(target) - sum(whole * size)").alias("need"),
+            F.expr(open_words).alias("open"),
+        ),
+        "mix-cuts",
+    )
+    waiting = split.where("fraction > 0").select("source", "size", "place")
+    cuts = wanted.where("need > 0 AND need < open").selectExpr("source", "need", "0L AS cell")
+    for done in range(1, PASSES + 1):
+        cuts = stash(_cut_cells(waiting, cuts, PLACE_BITS - CELL_BITS * done), "mix-cuts")
+
+    # The last cell holds few groups, one as a rule, but any number of equal rows.
+    last = split.where("fraction > 0").join(
+        cuts.selectExpr("source AS _s", "need", "cell"),
+        F.expr("source <=> _s AND place = cell"),
+    )
+    groups = last.groupBy("source", "need", "place", F.struct(*_GROUP).alias("at")).agg(
+        F.sum("size").alias("words")
+    )
+    edges = stash(
+        _crossing(groups, "at").selectExpr(
+            "source AS _s", "c.place AS _place", "c.at AS _at",
+            "CAST(floor((c.need - c.before) / c.at.size) AS BIGINT) AS _fit",
+        ),
+        "mix-edges",
+    )
+    at = F.struct(*_GROUP)
+    edge = split.where("fraction > 0").join(edges.where("_fit > 0"), F.expr("source <=> _s")).where(
+        (F.col("place") == F.col("_place")) & (at == F.col("_at"))
+    )
+    edge = stash(edge.select("source", "_fit", "_text", "_row"), "mix-edge-rows")
+    order = ["source", "_text", "_row"]
+    numbered = stash(add_row_number(edge, order, "_n"), "mix-edge-numbers")
+    first = numbered.groupBy(F.col("source").alias("_s")).agg(F.min("_n").alias("_first"))
+    fitting = numbered.join(first, F.expr("source <=> _s")).where("_n - _first < _fit")
+
+    filled = wanted.join(edges, wanted["source"].eqNullSafe(edges["_s"]), "left").select(
+        wanted["source"].alias("_s"), F.expr("need > 0 AND need >= open").alias("_all"), "_place", "_at"
+    )
+    before = (F.col("place") < F.col("_place")) | ((F.col("place") == F.col("_place")) & (at < F.col("_at")))
+    return (
+        split.join(filled, split["source"].eqNullSafe(F.col("_s")))
+        .join(fitting.select(F.col("_row").alias("_fits")), F.expr("_row = _fits"), "left")
+        .withColumn(
+            "extra",
+            (F.col("fraction") > 0)
+            & (F.col("_all") | F.coalesce(before, F.lit(False)) | F.col("_fits").isNotNull()),
+        )
     )
 
 
@@ -173,7 +240,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
 
 
 def _mix(numbered: DataFrame, weights: tuple[int, ...]) -> DataFrame:
-    """``mix`` for stored rows of (_row, doc_id, source, size)."""
+    """``mix`` for stored rows of (_row, doc_id, source, size, _text)."""
     # One row per source and size: far fewer than documents, wherever they lie.
     counts = stash(
         numbered.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "size-counts"
@@ -184,28 +251,20 @@ def _mix(numbered: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     narrow = numbered
     rate = f"IF(full, {MOST_COPIES}D, least({MOST_COPIES}D, exp(least(tilt * size / mean, 50D))))"
     rated = narrow.join(found, _same_source(narrow, found)).select(
-        "_row", "doc_id", narrow["source"], "size", "target", F.expr(rate).alias("rate")
+        "_row", "_text", "doc_id", narrow["source"], "size", "target", F.expr(rate).alias("rate")
     )
     # Order of the extra copies: hash / fraction, brought into [0, 1).
     split = rated.selectExpr(
-        "_row", "doc_id", "source", "size", "target", "rate",
+        "_row", "_text", "doc_id", "source", "size", "target",
         "CAST(IF(size > 0, floor(rate), 0) AS BIGINT) AS whole",
         "IF(size > 0, rate - floor(rate), 0D) AS fraction",
         "(xxhash64(doc_id, size, 71) & 9007199254740991L) / 9007199254740992D AS u",
-    ).selectExpr("*", "IF(fraction > 0, u / (u + fraction), 2D) AS key")
+    ).selectExpr("*", "IF(fraction > 0, u / (u + fraction), 2D) AS key").selectExpr(
+        "*", f"least({2**PLACE_BITS - 1}L, CAST(floor(key * {2**PLACE_BITS}D) AS BIGINT)) AS place"
+    )
     split = stash(split, "mix-rates")
-
-    cuts = split.groupBy("source").agg(
-        F.expr("max(target) - sum(whole * size)").alias("need")
-    ).selectExpr("source", "need", "0D AS low", "1.0000001D AS high")
-    cuts = stash(cuts.where("need > 0"), "mix-cuts")
-    waiting = split.where("key <= 1").select("source", "size", "key")
-    for _ in range(PASSES):
-        cuts = stash(_cut_cells(waiting, cuts), "mix-cuts")
-    cut = cuts.select(F.col("source").alias("_s"), F.col("low").alias("_cut"))
-    taken = split.join(cut, split["source"].eqNullSafe(F.col("_s")), "left").selectExpr(
-        "_row", "doc_id", "source", "size", "target",
-        "whole + IF(key < _cut, 1L, 0L) AS copies",
+    taken = _extra_copies(split).selectExpr(
+        "_row", "doc_id", "source", "size", "target", "whole + IF(extra, 1L, 0L) AS copies"
     )
     taken = stash(taken, "mix-copies")
 

@@ -98,6 +98,25 @@ def test_mix_of_little(make_docs):
     assert [r["taken"] for r in one] == [3, 3]
 
 
+def test_repeated_rows_share_the_extra_copies(make_docs):
+    """Rows of one doc_id and size, or of no doc_id: some get a copy more, so that no words are missing."""
+    rows = [(7, "w " * 5, "en", "a")] * 800 + [(None, "w " * 4, "en", "b")] * 900
+    rows += [(100 + k, "w " * (1 + k % 9), "en", "c") for k in range(500)]
+    docs = make_docs(rows)
+    found = mixing.mix(docs).collect()
+    assert len(found) == len(rows)
+    taken, targets, copies = Counter(), {}, Counter()
+    for r in found:
+        assert 0 <= r["copies"] <= 3
+        taken[r["source"]] += r["taken"]
+        targets[r["source"]] = r["target"]
+        copies[r["source"], 2 * r["size"]] += r["copies"]
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= 5
+    mixed = mixing.mixed_documents(docs).collect()
+    assert Counter((r["source"], len(r["text"])) for r in mixed) == +copies
+
+
 def counts(text):
     text = text or ""
     words = WORD.findall(text)
