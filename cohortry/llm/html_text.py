@@ -16,8 +16,10 @@ keeps them.
 
 Rows: a null or empty page, or one without text, has an empty text; whole pages
 are read, whatever their length; broken markup is read as it comes: unclosed
-elements end with their parent, unknown tags are plain inline ones; repeated rows
-and null urls change nothing; other columns are ignored; an empty table gives an
+elements end with their parent, and skipped ones without an end tag in it at the
+first block before that; script, style, title, textarea and iframe hold no markup
+and end with their tag or the page; unknown tags are plain inline ones; repeated
+rows and null urls change nothing; other columns are ignored; an empty table gives an
 empty result and leaves the classifier at its stated weights.
 """
 
@@ -45,6 +47,16 @@ SKIPPED = frozenset(
     "script style head title template noscript iframe object svg math canvas audio video "
     "select textarea button datalist".split()
 )
+# Those of them that hold no markup, so that only the end tag ends them.
+RAW = frozenset("script style title textarea iframe".split())
+# Those that hold markup; their parent's end ends them too.
+NESTED = SKIPPED - RAW - {"head"}
+# Elements whose raw parts are markup as well.
+FOREIGN = frozenset("svg math".split())
+# Blocks that an unclosed skipped element may hold.
+CHOICES = frozenset("option optgroup".split())
+# Elements that a start tag of the same name ends.
+NOT_IN_ITSELF = frozenset("button select".split())
 # Elements that start and end a block.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
@@ -164,8 +176,104 @@ def _opened(name: str, attributes: str, number: int, parent: _Element) -> _Eleme
     )
 
 
+_NESTED_START = re.compile(rf"<(?:{'|'.join(sorted(NESTED))})(?=[\s/>])", re.I)
+
+
+def _ends_at_once(attributes: str) -> bool:
+    return attributes.rstrip().endswith("/")
+
+
+def _end_tag(*names: str) -> re.Pattern[str]:
+    return re.compile(rf"</(?P<name>{'|'.join(names)})(?:\s[^>]*|/)?>", re.I)
+
+
+_ENDS = {
+    (name, foreign): _end_tag(name, *sorted(FOREIGN)) if foreign else _end_tag(name)
+    for name in RAW | {"head"} for foreign in (False, True)
+}
+
+
+def _after_skipped(page: str, name: str, at: int, foreign: bool, gone: set[str]) -> int:
+    """Where the page goes on after the start tag of a raw element or head.
+
+    That is right there if it holds markup after all.  ``gone`` collects the names
+    without a further end tag.
+    """
+    if name not in gone:
+        found = _ENDS[name, foreign].search(page, at)
+        if found is not None:
+            return found.end() if found.group("name").lower() == name else at
+        gone.add(name)
+    return at if foreign or name == "head" else len(page)
+
+
+def closed_elements(page: str) -> dict[int, int]:
+    """NESTED elements with an end tag before their parent's end, by the places after both tags.
+
+    One pass with a stack of names.  The elements open are counted by name, so that
+    a stray end tag costs no search.
+    """
+    closed: dict[int, int] = {}
+    gone: set[str] = set()
+    if not _NESTED_START.search(page):
+        return closed
+    stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}
+
+    def pop(depth: int) -> None:
+        for gone, _ in stack[depth:]:
+            opened[gone] -= 1
+        del stack[depth:]
+
+    def push(name: str, at: int) -> None:
+        stack.append((name, at))
+        opened[name] = opened.get(name, 0) + 1
+
+    def innermost(names: frozenset[str] | set[str], fences: frozenset[str]) -> int | None:
+        if any(opened.get(name) for name in names):
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] in names:
+                    return depth
+                if stack[depth][0] in fences:
+                    return None
+        return None
+
+    at = 0
+    while (tag := _TAG.search(page, at)) is not None:
+        at = tag.end()
+        name = (tag.group("name") or "").lower()
+        if tag.group("end"):
+            if name in BLOCKS or name in NESTED:
+                depth = innermost({name}, frozenset())
+                if depth is not None:
+                    if name in NESTED:
+                        closed[stack[depth][1]] = at
+                    pop(depth)
+        elif name in RAW or name == "head":
+            if not _ends_at_once(tag.group("attributes")):
+                at = _after_skipped(page, name, at, any(opened.get(f) for f in FOREIGN), gone)
+        elif name in NESTED:
+            if not _ends_at_once(tag.group("attributes")):
+                if name in NOT_IN_ITSELF:
+                    depth = innermost({name}, frozenset())
+                    if depth is not None:
+                        pop(depth)
+                push(name, at)
+        elif name in BLOCKS and name not in VOID:
+            for names, fences in (({"p"}, FENCES), (CLOSES.get(name, set()), FENCES)):
+                depth = innermost(names, (fences | NESTED) - names)
+                if depth is not None:
+                    pop(depth)
+            push(name, at)
+    return closed
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of text of a page, in order."""
+    closed = closed_elements(page)
+    gone: set[str] = set()
+    # Names of the skipped elements open that have no end tag.
+    skipped: set[str] = set()
     root = _Element("", 0, False, False, False, False, False)
     stack, links, count = [root], 0, 0
     found: list[Block] = []
@@ -184,7 +292,7 @@ def blocks(page: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not skipped:
             parts.append(text)
             if links:
                 linked += len(text.strip())
@@ -212,6 +320,25 @@ def blocks(page: str) -> list[Block]:
                 add(html.escape(tag.group()[9:].removesuffix("]]>")))
             continue
         name = name.lower()
+        attributes = tag.group("attributes")
+        if name in SKIPPED:
+            if not tag.group("end") and not _ends_at_once(attributes):
+                if name in NESTED and at not in closed:
+                    skipped.add(name)
+                elif name in NESTED:
+                    at = closed[at]
+                else:
+                    at = _after_skipped(page, name, at, not FOREIGN.isdisjoint(skipped), gone)
+            if not tag.group("end") and name not in ("script", "style"):
+                parts.append(" ")
+            continue
+        if skipped:
+            # A block ends them, or the end of what they lie in.
+            if name not in BLOCKS or name in VOID or name in CHOICES:
+                continue
+            if tag.group("end") and all(e.name != name for e in stack):
+                continue
+            skipped.clear()
         if tag.group("end"):
             if name == "a":
                 links = max(0, links - 1)
@@ -221,17 +348,6 @@ def blocks(page: str) -> list[Block]:
                 close()
                 end({name}, frozenset())
             continue
-        attributes = tag.group("attributes")
-        if name in SKIPPED:
-            if not attributes.rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(name)}(?:\s[^>]*|/)?>", re.I).search(page, at)
-                if stop is not None:
-                    at = stop.end()
-                elif name != "head":
-                    at = length
-            if name not in ("script", "style"):
-                parts.append(" ")
-            continue
         if name == "a":
             links += 1
         elif name in ("br", "img", "input", "wbr"):

@@ -65,6 +65,36 @@ def test_blocks_read_broken_markup():
     assert [b.text for b in blocks('<p>a <i title="un>closed>b</p><p>c</p>')][-1] == "c"
 
 
+SKIPPED_PAGES = [
+    "<header><button>Menu</header>{a}{b}<footer><button>Up</button></footer>",
+    "{a}<button>Menu{b}",
+    "<button>Menu{a}{b}<button>Up</button>",
+    "{a}<div><select><option>One<option>Two</div>{b}<div><select><option>x</select></div>",
+    "<select><option>One<option>Two{a}{b}",
+    "{a}<video src=x controls>{b}",
+    "<div><video src=x>No video</div>{a}{b}<video>none</video>",
+    "<object data=x>{a}<object data=y><p>No plug-in here.</p></object>{b}",
+    "{a}<svg><title>Icon</svg>{b}<svg><title>x</title></svg>",
+    "{a}<svg><path d=x><text>Icon{b}",
+    "{a}<noscript><p>Turn scripts on, please.</p></noscript><template><li>No.</li></template>{b}",
+    "{a}<object data=x><div><p>Some other words.</p></div></object><button><b>Go</b></button>{b}",
+    "{a}<button>Go <script>var t='</button><p>no text';</script></button>{b}",
+    "{a}</button>{b}</select><datalist><option>q",
+]
+
+
+@pytest.mark.parametrize("page", SKIPPED_PAGES)
+def test_unclosed_skipped_elements_end(page):
+    page = page.format(a=ARTICLE, b=SECOND)
+    assert [b.text for b in blocks(page)] == STORY.split("\n")
+    assert [b.text for b in blocks(f"<html><body>{page}</body></html>")] == STORY.split("\n")
+
+
+def test_many_unclosed_elements_are_read_in_one_pass():
+    page = ("<object><button>x<video>" + ARTICLE) * 5000
+    assert len(blocks(page)) == 5000
+
+
 def test_titles_inside_the_article_stay():
     page = f"<article><header class='entry-header'><h1>A title of some length</h1></header>{ARTICLE}</article>"
     assert main_text(page, STATED).split("\n")[0] == "A title of some length"
