@@ -11,9 +11,11 @@ product the score of every language.
 Letters are taken in lower case, everything between them counts as one blank.
 Every n-gram of the whole text takes part.
 
-The model is fitted on the driver from a bounded sample: per language the
-``TRAINING`` texts of at most ``SAMPLE_CHARS`` characters with the smallest hash,
-for at most the ``LANGUAGES`` most frequent languages.
+The model is fitted on the driver from a bounded sample: per language, however
+many there are, the ``TRAINING`` texts of at most ``SAMPLE_CHARS`` characters with
+the smallest hash, or the shortest texts where a language has longer ones only.
+With more than ``SHARING`` languages each has fewer texts and landmarks, one at
+least, so that all of them together stay bounded.
 
 Rows: a null text, or one without letters, is ``und`` with score 0; languages
 that are null or without a usable training text are not learnt; if none is, all
@@ -38,7 +40,8 @@ UNDETERMINED = "und"
 LONGEST = 3
 # Hashed n-grams; collisions only add a little noise to the kernel.
 BITS = 15
-LANGUAGES = 100
+# More languages than this share the texts and landmarks of so many.
+SHARING = 100
 TRAINING = 150
 LANDMARKS = 24
 SAMPLE_CHARS = 10_000
@@ -114,15 +117,22 @@ class Model:
     weights: np.ndarray
 
 
+def _share(most: int, languages: int) -> int:
+    """Texts or landmarks per language."""
+    return max(1, min(most, most * SHARING // max(1, languages)))
+
+
 def fit(texts: list[str], languages: list[str]) -> Model:
     """Kernel ridge regression on Nyström landmarks, one language against the rest."""
     names = sorted(set(languages), key=lambda name: name.encode())
     label = np.array([names.index(name) for name in languages], dtype=int)
     if not names:
         return Model([], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0)))
-    parts = [_unit(presence(texts[i : i + ROWS])[0]) for i in range(0, len(texts), ROWS)]
-    chosen = np.concatenate([np.flatnonzero(label == k)[:LANDMARKS] for k in range(len(names))])
-    marks = np.concatenate([parts[i // ROWS][i % ROWS][None] for i in chosen.tolist()])
+    most = _share(LANDMARKS, len(names))
+    chosen = np.concatenate([np.flatnonzero(label == k)[:most] for k in range(len(names))])
+    marks = _unit(presence([texts[i] for i in chosen.tolist()])[0])
+    # Only the landmarks' flags are held; those of the texts come and go.
+    parts = (_unit(presence(texts[i : i + ROWS])[0]) for i in range(0, len(texts), ROWS))
     kernel = np.concatenate([p @ marks.T for p in parts]).astype(float)
     own = (marks @ marks.T).astype(float)
     # Every language weighs the same.
@@ -152,26 +162,35 @@ def learning_sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     A language with most of the rows is cut to its first rows by hash before
     anything is brought together (a rank limit within a partition, then overall).
     """
-    rows = docs.select("doc_id", "text", "lang").where(
-        f"lang IS NOT NULL AND doc_id IS NOT NULL AND length(text) BETWEEN 1 AND {SAMPLE_CHARS}"
-    ).where(~held_out())
-    frequent = [
-        r["lang"]
-        for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    ]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id")
-    ids = (
-        rows.where(r"text RLIKE r'\p{L}'")
-        .select("doc_id", "lang")
-        .where(F.col("lang").isin(frequent))
+    long = F.expr(f"length(text) > {SAMPLE_CHARS}")
+    rows = (
+        docs.select("doc_id", "text", "lang")
+        .where("lang IS NOT NULL AND doc_id IS NOT NULL")
+        .where(r"text RLIKE r'\p{L}'")
+        .where(~held_out())
+        .withColumn("_long", long)
+    )
+    most = _share(TRAINING, rows.select("lang").distinct().count())
+    # Longer texts by length, behind all others.
+    size = F.when(F.col("_long"), F.length("text")).otherwise(0)
+    order = Window.partitionBy("lang").orderBy("_size", F.xxhash64("doc_id", F.lit(8)), "doc_id")
+    first = (
+        rows.select("doc_id", "lang", "_long", size.alias("_size"))
         .withColumn("_n", F.row_number().over(order))
-        .where(f"_n <= {TRAINING}")
-        .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+        .where(f"_n <= {most}")
+    )
+    # Bounded: at most ``most`` rows per language.  Of longer texts, as many as have
+    # the characters of so many others, the shortest one in any case.
+    ids = (
+        first.withColumn("_all", F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_short", F.min("_long").over(Window.partitionBy("lang")) == F.lit(False))
+        .where(f"NOT _long OR (NOT _short AND (_n = 1 OR _all <= {most * SAMPLE_CHARS}))")
+        .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("_size").alias("_chars"))
         .distinct()
     )
-    # Bounded: LANGUAGES * TRAINING ids.
     found = (
-        rows.join(F.broadcast(ids), F.expr("doc_id = _id AND lang = _lang"))
+        rows.withColumn("_size", size)
+        .join(F.broadcast(ids), F.expr("doc_id = _id AND lang = _lang AND _size = _chars"))
         .groupBy("doc_id", "lang")
         .agg(F.min("text").alias("text"))
         .orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id", "lang")

@@ -152,6 +152,22 @@ def test_held_out_languages_are_never_read(make_docs):
     assert results[0] == results[1]
 
 
+def test_every_language_is_learnt(make_docs):
+    """More than a hundred, and one whose texts are all long."""
+    letters = [chr(0x4E00 + k) for k in range(130)]
+    rows = [(4 * k + i, c * 3, f"l{k}", None) for k, c in enumerate(letters) for i in range(4)]
+    rows += [(9000 + i, "omega " * (2000 + i), "long", None) for i in range(8)]
+    rows += [(9100 + i, "psi " * (5000 if i % 2 else 5), "both", None) for i in range(16)]
+    texts, languages = language_id.learning_sample(make_docs(rows))
+    learnt = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1}
+    assert set(languages) == learnt and {"long", "both"} < learnt and len(learnt) > 120
+    assert max(len(t) for t, lang in zip(texts, languages) if lang == "both") == 20
+    model = language_id.fit(texts, languages)
+    shown = [(c * 3, f"l{k}") for k, c in enumerate(letters) if f"l{k}" in learnt]
+    assert language_id.judge([c for c, _ in shown], model)[0] == [name for _, name in shown]
+    assert language_id.judge(["omega omega"], model)[0] == ["long"]
+
+
 def test_no_language_and_no_documents(make_docs):
     docs = make_docs([(k, "some text") for k in range(5)])
     assert {(r["lang_pred"], r["score"]) for r in language_id.identify(docs).collect()} == {("und", 0.0)}
