@@ -54,7 +54,7 @@ def canonical_url(uri: str) -> Column:
 
 def header_fields(headers: str) -> str:
     """SQL for the (name, value) pairs of a header block, names in lower case."""
-    lines = f"filter(slice(split({headers}, '\\r?\\n'), 2, 10000), l -> instr(l, ':') > 1)"
+    lines = f"filter(split({headers}, '\\r?\\n'), (l, i) -> i > 0 AND instr(l, ':') > 1)"
     return (
         f"transform({lines}, l -> named_struct('name', lower(trim(substring_index(l, ':', 1))),"
         " 'value', trim(substring(l, instr(l, ':') + 1, length(l)))))"

@@ -177,6 +177,18 @@ def test_revisits_take_the_latest_earlier_response(spark):
     assert found[4]["headers"] is None
 
 
+def test_no_header_field_is_dropped(spark):
+    page, many = "http://a.org/p", "".join(f"X-{k}: {k}\r\n" for k in range(10_500))
+    rows = [
+        (1, page, 10, "response", 200, OK + many + 'ETag: "a"\r\n', "one"),
+        (2, page, 20, "revisit", 304, SAME + 'ETag: "a"\r\n', None),
+        (3, page, 20, "revisit", 304, SAME + many + 'ETag: "b"\r\n', None),
+    ]
+    found = resolved(spark, rows)
+    assert (found[2]["outcome"], found[3]["outcome"]) == ("resolved", "mismatch")
+    assert found[2]["headers"].count("\n") == 10_500
+
+
 def test_a_url_with_most_records_spans_ranges(spark):
     rng = random.Random(3)
     rows, answers, last = [], {}, None
