@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from conftest import as_dict, make_subscribers
+from builders import as_dict, make_subscribers
 
 from cohortry.operators import churn, dashboard
 

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import as_dict, make_events, make_users
+from builders import as_dict, make_events, make_users
 
 from cohortry.operators import dashboard, funnel
 

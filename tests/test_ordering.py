@@ -139,7 +139,7 @@ def test_ranks_are_of_one_moment(spark, tmp_path):
 
 
 def test_views_of_one_moment(spark):
-    from conftest import SUBSCRIBER_DDL, make_subscribers
+    from builders import SUBSCRIBER_DDL, make_subscribers
 
     from cohortry.plans.views import CHURN_VIEWS, register_views
 

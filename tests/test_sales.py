@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import as_dict, make_orders
+from builders import as_dict, make_orders
 
 from cohortry.operators import rfm, sales
 

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import make_events, make_orders
+from builders import make_events, make_orders
 from pyspark.sql import functions as F
 
 from cohortry.operators import funnel
