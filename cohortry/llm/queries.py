@@ -9,8 +9,11 @@ from cohortry.llm import (
     embedding_dedup,
     html_text,
     language_id,
+    lexical_search,
+    merkle,
     mixing,
     packing,
+    piece_bpe,
     quality,
     token_files,
     toxicity,
@@ -73,11 +76,25 @@ def op10_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_dag_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, folder, "documents"))
+
+
+def op12_pair_agenda(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_bpe.round_trip(table(spark, folder, "documents"))
+
+
+def op13_blocked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_collision_counting, op2_entropy_balancing, op3_revisits, op4_best_fit_packing,
         op5_toxic_spans, op6_token_files, op7_minimum_cut, op8_string_kernel, op9_weak_supervision,
-        op10_bagminhash,
+        op10_bagminhash, op11_dag_descent, op12_pair_agenda, op13_blocked_search,
     )
 }
