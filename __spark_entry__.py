@@ -14,6 +14,7 @@ from pyspark.sql.types import DateType, DecimalType
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cohortry.operators import churn, dashboard, funnel, rfm, sales  # noqa: E402
+from cohortry.plans import publishing  # noqa: E402
 from cohortry.plans.durable import scratch_path  # noqa: E402
 from cohortry.plans.views import (  # noqa: E402
     CHURN_VIEWS,
@@ -132,6 +133,28 @@ def published(spark: SparkSession, folder: str) -> DataFrame:
     return publish_view(view, scratch_path(spark, "vw_churn_by_contract"))
 
 
+def replaced_view(spark: SparkSession, folder: str) -> DataFrame:
+    """A reader of version 1, and one of version 2 that was published meanwhile.
+
+    Between the two a publish fails, which leaves no version.
+    """
+    path, name = scratch_path(spark, "replaced"), "vw_churn_by_contract"
+    people = testbed.subscribers(spark, folder)
+    publishing.publish({name: churn.vw_churn_by_contract(people)}, path)
+    early = publishing.read_published(spark, path, name)
+    later = churn.vw_churn_by_contract(people.where("tenure > 12"))
+    broken = later.withColumn("contract", F.raise_error("a source went away").cast("string"))
+    try:
+        publishing.publish({name: broken}, path)
+    except Exception as failed:
+        if "a source went away" not in str(failed):
+            raise
+    publishing.publish({name: later}, path)
+    late = publishing.read_published(spark, path, name)
+    found = publishing.current_version(spark, path).number
+    return early.selectExpr("1 AS version", "*").unionByName(late.selectExpr(f"{found} AS version", "*"))
+
+
 def published_views(views, tables) -> Query:
     """Publish all views of an area and count the rows of what was written."""
 
@@ -139,7 +162,7 @@ def published_views(views, tables) -> Query:
         path = scratch_path(spark, "views")
         names = publish_views(views, tables(spark, folder), path)
         written = [
-            spark.read.parquet(f"{path}/{name}").agg(
+            publishing.read_published(spark, path, name).agg(
                 F.lit(name).alias("view_name"), F.count(F.lit(1)).alias("row_count")
             )
             for name in names
@@ -291,6 +314,7 @@ def queries() -> dict[str, Query]:
             "check_foreign_key": over_folder(foreign_keys),
             "check_domain": over_folder(domains),
             "publish_view": over_folder(published),
+            "replace_published_view": over_folder(replaced_view),
             "preview_view": over_folder(previewed),
         }
     )

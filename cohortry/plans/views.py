@@ -1,8 +1,8 @@
 """The named views, and how to publish them.
 
-A view is registered for Spark SQL, or written as parquet for a BI tool to
-import.  Views with a rank or tile hold a checkpoint of the moment they were
-built; build them again to see newer data.
+A view is registered for Spark SQL, or published as a version of parquet files that
+outlives the session and can be replaced while being read.  Views with a rank or
+tile hold the rows of the moment they were built; build them again to see newer data.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortry.operators import churn, funnel, rfm, sales
+from cohortry.plans import publishing
 
 CHURN_VIEWS = {
     "vw_churn_kpi_summary": churn.vw_churn_kpi_summary,
@@ -46,21 +47,19 @@ def register_views(views: dict[str, Callable[..., DataFrame]], tables) -> list[s
 
 
 def publish_view(
-    view: DataFrame, path: str, partition_by: str | list[str] | None = None
+    view: DataFrame, path: str, partition_by: str | list[str] | None = None, name: str = "view"
 ) -> DataFrame:
-    """Replace a published parquet copy of a view and return it."""
-    writer = view.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return view.sparkSession.read.parquet(path)
+    """Publish a view as the next version at ``path`` and return that version.
+
+    Readers of the version before are not disturbed, see ``plans.publishing``.
+    """
+    version = publishing.publish({name: view}, path, partition_by)
+    return publishing.read_published(view.sparkSession, path, name, version.number)
 
 
 def publish_views(views: dict[str, Callable[..., DataFrame]], tables, folder: str) -> list[str]:
-    """Publish every view of a business area below ``folder``; returns the names."""
-    for name, build in views.items():
-        publish_view(build(tables), f"{folder}/{name}")
-    return list(views)
+    """Publish every view of a business area as one version; returns the names."""
+    return list(publishing.publish_built(views, tables, folder).schemas)
 
 
 def preview_view(spark: SparkSession, name: str, n: int = 5) -> DataFrame:

@@ -345,6 +345,11 @@ SELECT customer_id, if(k % 2 = 0, 'Female', 'Male') AS gender, 0 AS senior_citiz
     ),
 }
 CHURN["publish_view"] = CHURN["vw_churn_by_contract"]
+CHURN["replace_published_view"] = f"""
+SELECT 1 AS version, * FROM ({CHURN["vw_churn_by_contract"]})
+UNION ALL
+SELECT 2 AS version, * FROM (
+{CHURN["vw_churn_by_contract"].replace("FROM subscribers", "FROM subscribers WHERE tenure > 12")})"""
 CHURN["preview_view"] = CHURN["vw_churn_kpi_summary"]
 
 

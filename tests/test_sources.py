@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortry.operators import funnel
 from cohortry.plans.durable import shared_dir
+from cohortry.plans.publishing import read_published
 from cohortry.plans.views import (
     CHURN_VIEWS,
     FUNNEL_VIEWS,
@@ -219,7 +220,7 @@ def test_views_register_and_publish(spark, folder, tmp_path):
     assert written.count() == view.count()
     names = publish_views(CHURN_VIEWS, testbed.subscribers(spark, folder), str(tmp_path))
     for name in names:
-        assert spark.read.parquet(str(tmp_path / name)).count() == spark.table(name).count()
+        assert read_published(spark, str(tmp_path), name).count() == spark.table(name).count()
 
 
 def test_group_keys_have_one_spelling(spark, tmp_path):
