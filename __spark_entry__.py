@@ -92,6 +92,31 @@ def load_subscribers(spark: SparkSession, folder: str) -> DataFrame:
     return load.load_subscribers(spark, path)
 
 
+def load_broken_subscribers(spark: SparkSession, folder: str) -> load.Load:
+    """Write subscribers with some malformed lines, and load that file."""
+    path = scratch_path(spark, "broken")
+    wrong = testbed.subscribers(spark, folder).selectExpr(
+        "* EXCEPT (tenure, monthly_charges)",
+        "CASE WHEN customer_id % 50 IN (9, 10) THEN 'n/a' ELSE CAST(tenure AS STRING) END AS tenure",
+        "CASE WHEN customer_id % 50 = 10 THEN 'free' ELSE CAST(monthly_charges AS STRING) END AS monthly_charges",
+    ).select(*SUBSCRIBERS.fieldNames())
+    lines = wrong.select("customer_id", F.to_csv(F.struct("*")).alias("line")).selectExpr(
+        """CASE customer_id % 50 WHEN 7 THEN concat(line, ',') WHEN 8 THEN substring_index(line, ',', 5)
+           ELSE line END AS value"""
+    )
+    lines.write.text(path)
+    return load.load_subscribers_with_rejects(spark, path, header=False)
+
+
+def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected lines per reason, and the rows that were loaded, as published."""
+    path = scratch_path(spark, "rejected")
+    loaded = load_broken_subscribers(spark, folder)
+    loaded.publish_rejected(path)
+    kept = loaded.rows.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("lines"))
+    return publishing.read_published(spark, path, "rejected_reasons").unionByName(kept)
+
+
 def load_sales_flat(spark: SparkSession, folder: str) -> DataFrame:
     """Write the flat sales file with odd spellings, then load that file."""
     path = scratch_path(spark, "sales")
@@ -299,6 +324,10 @@ def queries() -> dict[str, Query]:
     found.update(
         {
             "load_subscribers": over_folder(load_subscribers),
+            "load_subscribers_with_rejects": over_folder(
+                lambda spark, folder: load_broken_subscribers(spark, folder).rows
+            ),
+            "rejected_lines": over_folder(rejected_lines),
             "split_star_schema": over_folder(split_report),
             "split_star_customers": split_part("customers"),
             "split_star_products": split_part("products"),

@@ -344,6 +344,14 @@ SELECT customer_id, if(k % 2 = 0, 'Female', 'Male') AS gender, 0 AS senior_citiz
   total_charges::DOUBLE AS total_charges, churn FROM keyed""",
     ),
 }
+CHURN["load_subscribers_with_rejects"] = (
+    CHURN["load_subscribers"] + " WHERE k % 50 NOT IN (7, 8, 9, 10)"
+)
+CHURN["rejected_lines"] = """
+SELECT CASE c_custkey % 50 WHEN 7 THEN 'too many values' WHEN 8 THEN 'too few values'
+    WHEN 9 THEN 'tenure: not int' WHEN 10 THEN 'tenure: not int; monthly_charges: not decimal(8,2)'
+    ELSE 'loaded' END AS reason, count(*) AS lines
+FROM customer GROUP BY ALL"""
 CHURN["publish_view"] = CHURN["vw_churn_by_contract"]
 CHURN["replace_published_view"] = f"""
 SELECT 1 AS version, * FROM ({CHURN["vw_churn_by_contract"]})

@@ -54,6 +54,75 @@ def test_malformed_record_stops_the_load(spark, tmp_path):
         load.load_subscribers(spark, path).collect()
 
 
+def broken_file(tmp_path):
+    good = [subscriber_line(customer_id=f"G{k}", churn="yes ", payment_method=["Card", "card"][k % 2]) for k in range(5)]
+    bad = [
+        subscriber_line(customer_id="B1", tenure="three"),
+        subscriber_line(customer_id="B2", tenure="x", monthly_charges="free"),
+        subscriber_line(customer_id="B3") + ",more",
+        subscriber_line(customer_id="B4") + ",",
+        "B5,Male,0",
+        subscriber_line(customer_id="B6", total_charges="12345678901.00"),
+        subscriber_line(customer_id="B7", multiple_lines='"a, ""b"""') + ",",
+        subscriber_line(customer_id="B8", gender='"open'),
+    ]
+    return write(tmp_path, *good[:2], *bad, *good[2:]), bad
+
+
+def test_malformed_lines_are_put_aside(spark, tmp_path):
+    path, bad = broken_file(tmp_path)
+    found = load.load_subscribers_with_rejects(spark, path)
+    assert found.rows.schema == SUBSCRIBERS and (found.n_rows, found.n_rejected) == (5, 8)
+    rows = {r["customer_id"]: r for r in found.rows.collect()}
+    assert set(rows) == {f"G{k}" for k in range(5)} and {r["churn"] for r in rows.values()} == {"Yes"}
+    assert {r["payment_method"] for r in rows.values()} == {"Card"}
+    rejected = {r["line"]: r for r in found.rejected.collect()}
+    assert set(rejected) == set(bad) and all("subscribers.csv" in r["file"] for r in rejected.values())
+    assert [rejected[line]["reason"] for line in bad] == [
+        "tenure: not int", "tenure: not int; monthly_charges: not decimal(8,2)", "too many values",
+        "too many values", "too few values", "total_charges: not decimal(10,2)", "too many values", "open quote",
+    ]
+    counts = {r["reason"]: r["lines"] for r in found.reasons().collect()}
+    assert counts["too many values"] == 3 and sum(counts.values()) == 8
+    # Nothing reads the text again.
+    for frame in (found.rows, found.rejected, found.reasons()):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "parquet" in plan.lower() and "csv" not in plan.replace("from_csv", "").replace(path, "").lower()
+
+
+def test_rejected_lines_are_published(spark, tmp_path):
+    path, bad = broken_file(tmp_path)
+    load.load_subscribers_with_rejects(spark, path).publish_rejected(str(tmp_path / "out"))
+    lines = read_published(spark, str(tmp_path / "out"), "rejected_lines")
+    assert {r["line"] for r in lines.collect()} == set(bad)
+
+
+def test_a_load_may_allow_few_malformed_lines(spark, tmp_path):
+    path, _ = broken_file(tmp_path)
+    assert load.load_subscribers_with_rejects(spark, path, max_rejected=8).n_rejected == 8
+    with pytest.raises(load.TooManyRejected, match="8 malformed lines"):
+        load.load_subscribers_with_rejects(spark, path, max_rejected=7)
+    clean = write(tmp_path, subscriber_line())
+    found = load.load_subscribers_with_rejects(spark, clean, max_rejected=0)
+    assert found.rows.count() == 1 and found.rejected.collect() == [] == found.reasons().collect()
+    assert sorted(map(tuple, found.rows.collect())) == sorted(map(tuple, load.load_subscribers(spark, clean).collect()))
+
+
+def test_a_strict_load_parses_the_text_once(spark, tmp_path):
+    loaded = load.load_subscribers(spark, write(tmp_path, subscriber_line()))
+    assert "FileScan csv" not in loaded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_malformed_sales_lines(spark, tmp_path):
+    path = tmp_path / "sales.csv"
+    good = "O1,2017-01-02,2017-01-05,second class ,C1,P1,12.50,2,0.20,-1.25,Ann,Consumer,East,Ohio,Akron,Tools,Saws,Saw,yes"
+    path.write_text("\n".join([",".join(SALES_FLAT.fieldNames()), good, good.replace("2017-01-05", "2017-13-05"),
+                               good.replace("12.50,2", "12.50,two")]) + "\n")
+    found = load.load_sales_flat_with_rejects(spark, str(path))
+    assert found.n_rows == 1 and found.rows.first()["ship_mode"] == "Second Class"
+    assert {r["reason"] for r in found.rejected.collect()} == {"ship_date: not date", "quantity: not int"}
+
+
 def test_canonical_keeps_unknown_values(spark):
     frame = spark.createDataFrame([("first class ",), ("Drone ",), (None,)], "ship_mode STRING")
     assert [r[0] for r in load.normalise_orders(frame).collect()] == ["First Class", "Drone", None]
