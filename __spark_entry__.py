@@ -153,6 +153,20 @@ def split_part(name: str) -> Query:
     return over_folder(lambda spark, folder: getattr(split(spark, folder), name))
 
 
+def continued_event_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of the events of the first half year, then of the later ones.
+
+    The first batch is delivered twice.
+    """
+    events = testbed.funnel(spark, folder).events
+    table = checks.event_table(spark, scratch_path(spark, "numbered"))
+    early = events.where("event_date < DATE'2024-07-01'")
+    table.append(early, "first half")
+    table.append(events.where("event_date >= DATE'2024-07-01'"), "second half")
+    table.append(early, "first half")
+    return table.read()
+
+
 def published(spark: SparkSession, folder: str) -> DataFrame:
     view = churn.vw_churn_by_contract(testbed.subscribers(spark, folder))
     return publish_view(view, scratch_path(spark, "vw_churn_by_contract"))
@@ -327,6 +341,7 @@ def queries() -> dict[str, Query]:
             "load_subscribers_with_rejects": over_folder(
                 lambda spark, folder: load_broken_subscribers(spark, folder).rows
             ),
+            "continue_event_ids": over_folder(continued_event_ids),
             "rejected_lines": over_folder(rejected_lines),
             "split_star_schema": over_folder(split_report),
             "split_star_customers": split_part("customers"),

@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.plans.ordering import add_row_number
+from cohortry.plans.identity import NumberedTable, number_rows
 
 
 def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,6 +82,17 @@ def check_domain(
     return frame.agg(F.array(*counts).alias("_checks")).select(F.inline("_checks"))
 
 
+EVENT_ORDER = ("event_date", "user_id", "event_type")
+
+
+def event_table(spark: SparkSession, path: str) -> NumberedTable:
+    """The stored events below ``path``; a new batch continues the event ids."""
+    return NumberedTable(spark, path, EVENT_ORDER, "event_id")
+
+
 def assign_event_id(events: DataFrame) -> DataFrame:
-    """Dense 1..N event ids in the order of date, user and type."""
-    return add_row_number(events, ["event_date", "user_id", "event_type"], "event_id")
+    """Dense 1..N event ids in the order of date, user and type, for one load.
+
+    ``event_table`` keeps ids over several loads.
+    """
+    return number_rows(events, EVENT_ORDER, "event_id")

@@ -779,6 +779,11 @@ SELECT *, CASE WHEN retention_pct >= 40 THEN '≥40' WHEN retention_pct >= 30 TH
         """SELECT row_number() OVER (ORDER BY event_date, user_id, event_type) AS event_id,
   user_id, event_type, event_date::VARCHAR AS event_date FROM stage_events""",
     ),
+    "continue_event_ids": over(
+        FUNNEL,
+        """SELECT row_number() OVER (ORDER BY event_date >= DATE '2024-07-01', event_date, user_id, event_type)
+    AS event_id, user_id, event_type, event_date::VARCHAR AS event_date FROM stage_events""",
+    ),
 }
 
 

@@ -80,9 +80,23 @@ def test_ranks_read_their_input_once(stored, frozen):
     assert columns(scan) == {"customer_id", "contract", "tenure", "monthly_charges", "internet_service", "churn"}
 
 
-def test_row_numbers_are_checkpointed_once(stored, frozen):
-    checks.assign_event_id(stored["events"]).collect()
-    assert len(frozen) == 1
+def test_row_numbers_take_one_shuffle(stored, frozen, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    plans, write = [], DataFrameWriter.parquet
+
+    def record(writer, *args, **options):
+        plans.append(plan(writer._df))
+        return write(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", record)
+    found = checks.assign_event_id(stored["events"])
+    assert not frozen
+    # The batch as it came, the rows in ranges, and the sizes of the ranges.
+    arrived, ranged, slices = plans
+    assert "Exchange" not in arrived and ranged.count("Exchange rangepartitioning") == 1
+    assert "Aggregate" not in ranged and columns(scans(slices)[0]) == {"_spot"}
+    assert "Exchange hashpartitioning" not in plan(found)
 
 
 def test_the_event_log_is_read_once(spark, folder):
