@@ -62,42 +62,31 @@ def _hex(digest: str) -> str:
     return f"lower(hex({digest}))"
 
 
-def _sorted_slices(frame: DataFrame, name: str, *order: str) -> DataFrame:
-    """The rows in order, with their 0-based ``_at`` in the whole table.
+def _ranked(frame: DataFrame, name: str, *order: str) -> DataFrame:
+    """Rows of ``group`` with ``rank`` in it and ``leaves``, the size of the group.
 
     The ranges are written before they are counted: bounds are sampled, so a second
-    run of the plan could cut elsewhere.
+    run of the plan could cut elsewhere.  A row meets the numbers of its group by range
+    and group, so a group that fills many ranges is no hot key.
     """
     located = stash(
-        frame.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        frame.repartitionByRange("group", *order)
+        .sortWithinPartitions("group", *order)
         .selectExpr("*", "monotonically_increasing_id() AS _spot"),
         name,
-    ).selectExpr(
-        *frame.columns,
-        f"shiftright(_spot, {_PLACE_BITS}) AS _slice",
-        f"_spot & {(1 << _PLACE_BITS) - 1}L AS _place",
-    )
-    before = (
-        located.groupBy("_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    ).selectExpr("*", f"shiftright(_spot, {_PLACE_BITS}) AS _slice")
+    parts = (
+        located.groupBy("_slice", "group")
+        .agg(F.min("_spot").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .selectExpr(
-            "_slice",
-            "coalesce(sum(_n) OVER (ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+            "_slice AS _s", "group AS _g", "_first",
+            """coalesce(sum(_n) OVER (PARTITION BY group ORDER BY _slice
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before""",
+            "sum(_n) OVER (PARTITION BY group) AS leaves",
         )
     )
-    # One row per range partition: bounded by the number of shuffle partitions.
-    return located.join(F.broadcast(before), "_slice").selectExpr(*frame.columns, "_before + _place AS _at")
-
-
-def _ranked(frame: DataFrame, name: str, *order: str) -> DataFrame:
-    """Rows of ``group`` with ``rank`` in it and ``leaves``, the size of the group."""
-    placed = _sorted_slices(frame, name, "group", *order)
-    groups = placed.groupBy(F.col("group").alias("_group")).agg(
-        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("leaves")
-    )
-    return placed.join(groups, F.expr("group = _group")).selectExpr(
-        *frame.columns, "_at - _first AS rank", "leaves"
+    return located.join(parts, F.expr("_slice = _s AND group = _g")).selectExpr(
+        *frame.columns, "_before + _spot - _first AS rank", "leaves"
     )
 
 
@@ -173,13 +162,15 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame) -> DataFrame:
     """The requests (group, rank, more columns) with their ``path`` from the root down.
 
     ``start`` has (group, digest, depth, path) per group: its root, and the path that
-    led there.  A group or rank that the tree does not have gives no row.
+    led there; its other columns come along.  A group or rank that the tree does not
+    have gives no row.
     """
     steps = len(tree.records)
+    along = [c for c in start.columns if c not in ("group", "digest", "depth", "path")]
     frontier = None
     for step in reversed(range(steps)):
         arriving = start.where(f"{_rounds('depth')} = {step + 1}").selectExpr(
-            "group", "0L AS rank", "digest", "path"
+            "group", "0L AS rank", "digest", "path", *along
         )
         frontier = arriving if frontier is None else frontier.unionByName(arriving)
         bits = (step + 1) * DIGIT_BITS
@@ -187,13 +178,13 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame) -> DataFrame:
         known = (
             frontier.join(wanted, ["group", "rank"], "left_semi")
             .join(tree.records[step], "digest")
-            .select("group", "rank", "path", "levels", "digest")
+            .select("group", "rank", "path", "levels", "digest", *along)
         )
         if step:
             frontier = stash(
                 known.selectExpr("*", "posexplode(levels[0]) AS (pos, child)").selectExpr(
                     "group", f"shiftleft(rank, {DIGIT_BITS}) + pos AS rank", "child AS digest",
-                    f"concat(path, {_SEGMENT}) AS path",
+                    f"concat(path, {_SEGMENT}) AS path", *along,
                 ),
                 f"frontier-{step}",
             )
@@ -208,11 +199,11 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame) -> DataFrame:
         ).alias("_asked")
     )
     return (
-        known.select("group", "rank", "path", "levels")
+        known.drop("digest")
         .join(asked, ["group", "rank"])
-        .selectExpr("group", "path", "levels", "inline(_asked)")
+        .selectExpr("group", "path", "levels", *along, "inline(_asked)")
         .where("pos = 0 OR (size(levels) > 0 AND pos < size(levels[0]))")
-        .selectExpr("group", "_rank AS rank", *more, f"concat(path, {_SEGMENT}) AS path")
+        .selectExpr("group", "_rank AS rank", *along, *more, f"concat(path, {_SEGMENT}) AS path")
     )
 
 
@@ -257,22 +248,13 @@ def prove(manifest: Manifest, requests: DataFrame) -> DataFrame:
     the root of all.
     """
     top_start = manifest.top.roots.selectExpr(
-        "group", "digest", "depth",
+        "group", "digest", "depth", "digest AS root",
         "CAST(array() AS ARRAY<STRUCT<digest: BINARY, left: BOOLEAN>>) AS path",
     )
     to_groups = descend(
-        manifest.top, top_start,
-        manifest.top_leaves.select("group", "rank", "name", F.col("digest").alias("subroot"), "depth"),
-    ).selectExpr("name AS group", "subroot AS digest", "depth", "path")
-    found = descend(manifest.groups, to_groups, requests)
-    roots = manifest.top.roots.select(F.col("digest").alias("root"))
-    subroots = to_groups.selectExpr("group AS _group", "digest AS subroot")
-    # One row, and one row per language; Spark checks the size of the latter.
-    return (
-        found.join(subroots, F.expr("group = _group"))
-        .join(F.broadcast(roots))
-        .selectExpr(*[c for c in found.columns if c != "path"], "subroot", "root", "reverse(path) AS path")
-    )
+        manifest.top, top_start, manifest.top_leaves.selectExpr("group", "rank", "name", "digest AS subroot", "depth")
+    ).selectExpr("name AS group", "subroot AS digest", "depth", "path", "subroot", "root")
+    return descend(manifest.groups, to_groups, requests).selectExpr("* EXCEPT (path)", "reverse(path) AS path")
 
 
 def fold(leaf: str) -> str:
