@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Paths handed out by ``scratch_path``, per application.
 _scratch: dict[str, list[str]] = {}
@@ -54,6 +55,17 @@ def release_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
+def store(frame: DataFrame) -> tuple[DataFrame, int]:
+    """Write the rows below the shared folder; the stored rows and their number.
+
+    Smaller than a checkpoint and read column by column, but which partition holds a
+    row is not fixed.
+    """
+    path, counted = scratch_path(frame.sparkSession, "stored"), Observation()
+    frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), counted.get["rows"]
+
+
 def freeze(frame: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows, and which partition holds them, are fixed."""
     shared_dir(frame.sparkSession)

@@ -19,7 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.plans.durable import freeze
+from cohortry.plans.durable import freeze, store
+from cohortry.plans.selection import Order, literal, rows_at
 from cohortry.plans.sizes import broadcast_if_small
 
 # monotonically_increasing_id(): partition number above, place in it below.
@@ -87,13 +88,6 @@ def add_row_number(frame: DataFrame, order: Sequence[str], name: str) -> DataFra
     )
 
 
-def _literal(value: object, kind: str) -> str:
-    if value is None:
-        return f"CAST(NULL AS {kind})"
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{text}' AS {kind})"
-
-
 def add_tiles(
     frame: DataFrame,
     key: str,
@@ -107,70 +101,37 @@ def add_tiles(
     NULLs sort lowest.  Runs jobs when called.
 
     Only the first row of each tile has to be known: ``len(scores) * (tiles-1)``
-    cut rows.  They are found by place in one ranged copy of the key and the
-    values; the scores are then comparisons against those cuts, so the table
-    itself is not shuffled.
+    cut rows, which ``plans.selection`` finds without sorting the table.  The scores
+    are then comparisons against those cuts, so the table is not shuffled either.
+    The rows are written once, so that cuts and scores are of one moment.
     """
-    frozen = freeze(frame)
+    frozen, total = store(frame)
     types = {f.name: f.dataType.simpleString() for f in frozen.schema.fields}
-
-    def level(column: str, descending: bool) -> str:
-        """Where NULLs go in ascending order of the level."""
-        return f"int({column} IS {'' if descending else 'NOT '}NULL)"
-
-    # A value column of its own type per score, NULL in the rows of other scores.
-    numbered = list(enumerate(scores.items()))
-    entries = ", ".join(
-        f"named_struct('_score', '{name}', '_level', {level(*source)}, "
-        + ", ".join(
-            f"'_value{j}', {source[0] if i == j else f'CAST(NULL AS {types[other[0]]})'}"
-            for j, (_, other) in numbered
-        )
-        + ")"
-        for i, (name, source) in numbered
-    )
-    values = [F.desc(f"_value{j}") if source[1] else F.asc(f"_value{j}") for j, (_, source) in numbered]
-    placed = _ranged(
-        frozen.selectExpr(f"inline(array({entries}))", f"{key} AS _key"),
-        "_score", "_level", *values, "_key",
-    )
-
-    # The first (total % tiles) tiles hold one row more than the others.  A cut
-    # is the number of rows in the first tiles, counted from its slice's start.
-    cuts = (
-        placed.groupBy("_score", "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
-        .selectExpr(
-            "*",
-            f"{_rows_before('_rows', '_score')} AS _offset",
-            "sum(_rows) OVER (PARTITION BY _score) AS _total",
-        )
-        .selectExpr("*", f"explode(sequence(1, {tiles - 1})) AS _tile")
-        .selectExpr(
-            "*",
-            f"_tile * (_total div {tiles}) + least(_tile, _total % {tiles}) - _offset AS _cut",
-        )
-        .where("_cut >= 0 AND _cut < _rows")
-        .selectExpr("_score", "_slice", "_first + _cut AS _place")
-    )
-    # At most len(scores) * (tiles - 1) rows, so broadcast and collect are bounded.
-    cut_rows = (
-        placed.join(F.broadcast(cuts), ["_score", "_slice", "_place"])
-        .drop("_slice", "_place")
-        .collect()
-    )
+    named = list(scores.items())
+    # The first (total % tiles) tiles hold one row more than the others.
+    firsts = {
+        tile * (total // tiles) + min(tile, total % tiles) for tile in range(1, tiles)
+    }
+    places = sorted(p for p in firsts if p < total)
+    orders = [Order(column, descending) for _, (column, descending) in named]
+    cut_rows = rows_at(frozen, key, orders, {i: places for i in range(len(named))}, total)
 
     columns = []
-    for i, (name, (column, descending)) in numbered:
+    for i, (name, (column, descending)) in enumerate(named):
         score = "1"
-        for row in cut_rows:
-            if row["_score"] == name:
-                cut_level = row["_level"]
-                value = _literal(row[f"_value{i}"], types[column])
-                cut_key = _literal(row["_key"], types[key])
-                own, later = level(column, descending), "<" if descending else ">"
+        for order, place, row in cut_rows:
+            if order == i:
+                # Tiles that begin at the same row, of a table with few rows.
+                weight = sum(
+                    tile * (total // tiles) + min(tile, total % tiles) == place
+                    for tile in range(1, tiles)
+                )
+                value = literal(row[f"_value{i}"], types[column])
+                cut_key = literal(row["_key"], types[key])
+                own = f"int({column} IS {'' if descending else 'NOT '}NULL)"
+                later = "<" if descending else ">"
                 score += (
-                    f" + int({own} > {cut_level} OR ({own} = {cut_level} AND"
+                    f" + {weight} * int({own} > {row['_level']} OR ({own} = {row['_level']} AND"
                     f" (coalesce({column} {later} {value}, false)"
                     f" OR ({column} <=> {value} AND {key} >= {cut_key}))))"
                 )
