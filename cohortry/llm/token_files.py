@@ -11,7 +11,7 @@ Parquet is the container because Spark commits it task by task on any shared
 store: a lost executor leaves no half-written file.
 
 Rows: a null text is empty (it still gets its end id); null doc_ids come first;
-rows with the same doc_id are ordered by a hash of the text; other columns are
+rows with the same doc_id stay in the order in which they are read; other columns are
 ignored; an empty table gives an empty folder.  Texts of any length are encoded
 whole; a text longer than a block is a block of its own.
 """
@@ -54,8 +54,8 @@ def write_ids(
 ) -> None:
     """Encode ``docs`` (doc_id, text) and write the blocks below ``path``.
 
-    One shuffle, by ranges of doc_id.  The last sort column only spreads rows
-    that are equal in doc_id and text over more than one task.
+    One shuffle, by ranges of doc_id.  The last sort column spreads rows that are
+    equal in doc_id over more than one task.
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,9 +90,9 @@ def write_ids(
             yield close()
 
     (
-        docs.selectExpr("doc_id", "text", "xxhash64(text) AS _h", "monotonically_increasing_id() AS _n")
-        .repartitionByRange("doc_id", "_h", "_n")
-        .sortWithinPartitions("doc_id", "_h", "_n")
+        docs.selectExpr("doc_id", "text", "monotonically_increasing_id() AS _n")
+        .repartitionByRange("doc_id", "_n")
+        .sortWithinPartitions("doc_id", "_n")
         .select("doc_id", "text")
         .mapInArrow(blocks, BLOCKS)
         .write.parquet(path)

@@ -13,23 +13,52 @@ by itself; ``WordEncoder`` refuses others.
 from __future__ import annotations
 
 import json
+import os
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-# Words remembered per worker, in each of two generations: when the young one is
-# full it replaces the old one, so that frequent words stay.
-CACHE_WORDS = 400_000
+# Words, and pieces of words, remembered per worker; beyond them it starts anew.
+CACHE_WORDS = 600_000
+# Pieces that are encoded as one text.
+LINE_PIECES = 200
 ID_BYTES = 4
+_ID = np.dtype("<u4")
 
 # Fixed value: the words of the vocabulary's own splitting rule.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Words of these characters have one Unicode form and lower case everywhere.
-_PLAIN = regex.compile("[!-~¡-¬®-ÿ]+")
+_PLAIN = "^[!-~¡-¬®-ÿ]+$"
+
+
+class _Known:
+    """The ids of strings met before, end to end, and the place of each string."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self._ids = np.empty(0, _ID)
+        self._sizes = self._starts = np.empty(0, np.int64)
+
+    def add(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.place.update(zip(strings, range(len(self.place), len(self.place) + len(strings))))
+        self._ids = np.concatenate((self._ids, ids))
+        self._sizes = np.concatenate((self._sizes, sizes))
+        self._starts = np.cumsum(self._sizes) - self._sizes
+
+    def missing(self, strings: list[str]) -> list[str]:
+        known = self.place
+        return [s for s in strings if s not in known]
+
+    def gather(self, strings: list[str], indices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``strings[i]`` for every index, end to end, and where each ends."""
+        place = np.fromiter(map(self.place.__getitem__, strings), np.int64, len(strings))[indices]
+        count = self._sizes[place]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        return self._ids[np.repeat(self._starts[place] - ends[:-1], count) + np.arange(ends[-1])], ends
 
 
 class WordEncoder:
@@ -46,49 +75,72 @@ class WordEncoder:
         ]
         if not (splits and splits[0]["behavior"] == "Removed" and splits[0]["invert"]):
             raise ValueError(f"{path} does not drop the white space between words")
-        self._own_pieces = splits[0]["pattern"].get("Regex") == _PIECES.pattern
-        self._special = regex.compile(
-            "|".join(regex.escape(t["content"]) for t in rule["added_tokens"]) or "(?!)"
-        )
+        self._own_pieces = splits[0]["pattern"].get("Regex") == _PIECES
+        self._special = [t["content"] for t in rule["added_tokens"]]
         self._tokenizer = Tokenizer.from_file(path)
+        suffix = rule["model"].get("end_of_word_suffix") or ""
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
+        self._ends_word = np.zeros(1 + max(self._tokenizer.get_vocab().values()), bool)
+        if suffix:
+            self._ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._cache_words = cache_words
-        self._words: dict[str, bytes] = {}
-        self._old_words: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-        self._old_pieces: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _cut(self, word: str) -> list[str] | None:
-        """The pieces of a plain word; None for a word to be encoded whole."""
-        if word.isalpha() and word.isascii():
-            return [word.lower()]
-        if not _PLAIN.fullmatch(word) or self._special.search(word):
-            return None
-        return _PIECES.findall(word.lower())
-
-    def _learn(self, words: set[str]) -> None:
-        """Add words to the cache: plain ones from their pieces, others whole."""
-        whole, cut = [], {}
-        for word in words:
-            pieces = self._cut(word) if self._own_pieces else None
-            if pieces is None:
-                whole.append(word)
-            else:
-                cut[word] = pieces
-        known, old = self._pieces, self._old_pieces
-        fresh = set().union(*cut.values()).difference(known)
-        kept = fresh.intersection(old)
-        known.update(zip(kept, map(old.__getitem__, kept)))
-        fresh = list(fresh - kept)
-        known.update(zip(fresh, self._encode(fresh)))
-        get = known.__getitem__
-        self._words.update((w, b"".join(map(get, pieces))) for w, pieces in cut.items())
-        self._words.update(zip(whole, self._encode(whole)))
-        if len(known) > self._cache_words:
-            self._pieces, self._old_pieces = {}, known
+        self._words, self._pieces = _Known(), _Known()
+
+    def _encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [
+            e.ids for e in self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        ]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), _ID, int(sizes.sum())), sizes
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces, many at a time as one text with blanks between them.
+
+        The ids that end a word tell them apart again.
+        """
+        lines = [" ".join(pieces[i : i + LINE_PIECES]) for i in range(0, len(pieces), LINE_PIECES)]
+        ids, _ = self._encode(lines)
+        ends = np.flatnonzero(self._ends_word[ids])
+        if len(ends) != len(pieces) or ends[-1] != len(ids) - 1:
+            return self._encode(pieces)
+        return ids, np.diff(ends, prepend=-1)
+
+    def _plain(self, words: pa.Array) -> pa.Array:
+        """Which words may be encoded piece by piece."""
+        if not self._own_pieces:
+            return pa.array(np.zeros(len(words), bool))
+        plain = pc.match_substring_regex(words, _PLAIN)
+        for content in self._special:
+            plain = pc.and_not(plain, pc.match_substring(words, content))
+        return plain
+
+    def _learn(self, missing: list[str]) -> None:
+        """Add words: plain ones from their pieces, others whole.
+
+        Arrow cuts all words at once, and only pieces not met before are encoded.
+        """
+        words = pa.array(missing, pa.string())
+        plain = self._plain(words)
+        whole = words.filter(pc.invert(plain)).to_pylist()
+        if whole:
+            self._words.add(whole, *self._encode(whole))
+        words = words.filter(plain)
+        if not len(words):
+            return
+        # A blank after each piece; the string after the last blank is empty.
+        marked = pc.replace_substring_regex(pc.utf8_lower(words), f"({_PIECES})", r"\1 ")
+        split = pc.split_pattern(marked, " ")
+        flat = split.flatten()
+        bounds = split.offsets.to_numpy() - np.arange(len(split) + 1)
+        numbered = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
+        pieces = numbered.dictionary.to_pylist()
+        if len(self._pieces.place) > self._cache_words:
+            self._pieces = _Known()
+        fresh = self._pieces.missing(pieces)
+        if fresh:
+            self._pieces.add(fresh, *self._encode_pieces(fresh))
+        ids, ends = self._pieces.gather(pieces, numbered.indices.to_numpy())
+        self._words.add(words.to_pylist(), ids, np.diff(ends[bounds]))
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as bytes; a null text has none.
@@ -96,36 +148,30 @@ class WordEncoder:
         Arrow splits the texts and numbers their different words; only those are
         looked up one by one, and their ids are then gathered for all words.
         """
-        if len(self._words) > self._cache_words:
-            self._words, self._old_words = {}, self._words
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         numbered = split.flatten().dictionary_encode()
         different = numbered.dictionary.to_pylist()
-        known, old = self._words, self._old_words
-        missing = set(different).difference(known)
-        kept = missing.intersection(old)
-        known.update(zip(kept, map(old.__getitem__, kept)))
-        missing -= kept
+        if len(self._words.place) > self._cache_words:
+            self._words = _Known()
+        missing = self._words.missing(different)
         if missing:
             self._learn(missing)
-        found = list(map(known.__getitem__, different))
-        flat = np.frombuffer(b"".join(found), dtype="<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ID_BYTES
-        word = numbered.indices.to_numpy()
-        count = sizes[word]
-        ends = np.concatenate(([0], np.cumsum(count)))
-        first = (np.cumsum(sizes) - sizes)[word] - ends[:-1]
-        ids = flat[np.repeat(first, count) + np.arange(ends[-1])].tobytes()
+        ids, ends = self._words.gather(different, numbered.indices.to_numpy())
+        flat = ids.tobytes()
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         cuts = (ends[bounds] * ID_BYTES).tolist()
-        return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
+        return [flat[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str = TOKENIZER) -> WordEncoder:
-    """This worker's encoder for a vocabulary file."""
+    """This worker's encoder for a vocabulary file.
+
+    It stays in the worker's own thread: Spark keeps the cores busy already.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
