@@ -88,8 +88,11 @@ def collisions_needed() -> int:
 
 
 def _units(column: pa.ChunkedArray | pa.Array, length: int) -> np.ndarray:
+    """Vectors of length 1.  Scaled by a power of two first, which changes no digit, so
+    that the squares of the largest and smallest doubles neither over- nor underflow."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     found = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, length)
+    found = np.ldexp(found, -np.frexp(np.abs(found).max(axis=1, initial=0))[1][:, None])
     return found / np.sqrt(np.einsum("ij,ij->i", found, found))[:, None]
 
 

@@ -97,6 +97,16 @@ def test_near_duplicate_vectors(spark, block):
     assert sorted(map(tuple, found.collect())) == expected
 
 
+def test_links_of_the_largest_and_smallest_doubles(spark):
+    rows = [(1, [1.0, 2.0], 1, ""), (2, [3.0, 6.0], 1, "")]
+    rows += [(10, [1e-200, 2e-200], 2, ""), (11, [2e-200, 2e-200], 2, "")]
+    scales = [1.0, 1e200, 1e160, 1e-200, 5e-324 * 2**20, 1.7e308 / 2]
+    rows += [(20 + k, [x, 2 * x, -x], 3, "") for k, x in enumerate(scales)]
+    frame = spark.createDataFrame(rows, VECTORS.replace("FLOAT", "DOUBLE"))
+    found = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicate_vectors(frame).collect()}
+    assert found == {1: 1, 2: 1, 10: 0, 11: 0, **{20 + k: 5 for k in range(6)}}
+
+
 def test_null_ids_and_no_vectors(spark):
     rows = [(None, [1.0, 0.0], 1, ""), (4, [1.0, 0.0], 1, ""), (None, [0.0, 1.0], 1, "")]
     found = embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, VECTORS)).collect()
