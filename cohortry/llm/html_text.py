@@ -9,10 +9,10 @@ the least sum of costs and of cut edges, and the blocks on the content side make
 the text.
 
 The classifier starts from stated weights and is fitted to a bounded sample of
-pages (``SAMPLE_PAGES``, of at most ``SAMPLE_CHARS`` characters, by hash), where
+pages (``SAMPLE_PAGES`` different ones of at most ``SAMPLE_CHARS`` characters, by hash), where
 blocks below article or main, and blocks below nav, footer and the like, are taken
 as labelled; the stated weights are its prior, so what the sample does not show
-keeps them.
+keeps them.  An element that holds most of the page sets nothing apart.
 
 Rows: a null or empty page, or one without text, has an empty text; whole pages
 are read, whatever their length; broken markup is read as it comes: unclosed
@@ -86,6 +86,11 @@ APART_WORDS = frozenset(
     "dialog login search toolbar skip tags popular trending copyright legal disclaimer "
     "contentinfo complementary".split()
 )
+# Those of them that tell of texts by others, or of other texts.
+OTHER_VOICES = frozenset(
+    "comment comments commentlist reply replies respond disqus related recommend recommended "
+    "recommendations popular trending legal disclaimer copyright cookie cookies consent gdpr".split()
+)
 INSIDE_WORDS = frozenset(
     "article content contents main story post entry text body page prose".split()
 )
@@ -102,6 +107,8 @@ _MARK = re.compile(
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 _CSS_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+# Names that tell of a part elsewhere, or of none: no-sidebar, has-header, withAds.
+_ABOUT = re.compile(r"\b(?:no|not|has|with|without)(?:[-_]|(?=[A-Z]))[A-Za-z0-9_]+")
 _NOTICE = re.compile(r"©|\ball rights reserved\b|\bcookies?\b.{0,40}\b(?:use|accept|consent)", re.I)
 
 # The classifier's stated weights.
@@ -126,6 +133,9 @@ PRIOR = 1.0
 SAME_PARENT, FADING = 0.8, 0.5
 # Where only one of the two is set apart.
 ACROSS = 0.05
+# An element that holds more than this share of the page's unlinked text sets nothing
+# apart: a form, or one whose words name parts of the layout.
+MOST_OF_FORM, MOST_OF_LAYOUT = 0.5, 0.8
 # Costs are bounded, so that one feature can't outweigh all neighbours by far.
 MOST_COST = 12.0
 
@@ -139,6 +149,11 @@ class _Element:
     apart_word: bool
     inside_word: bool
     hidden: bool
+    parent: _Element | None = None
+    # What its own name and words say; whether it may turn out to hold the page.
+    own_apart: bool = False
+    own_apart_word: bool = False
+    holds: bool = False
 
 
 @dataclass
@@ -160,22 +175,48 @@ def _opened(name: str, attributes: str, number: int, parent: _Element) -> _Eleme
             elif key == "aria-hidden":
                 hidden |= value.lower() == "true"
             else:
-                words.update(w.lower() for w in _NAME_WORD.findall(value))
+                words.update(w.lower() for w in _NAME_WORD.findall(_ABOUT.sub(" ", value)))
         hidden |= bool(_HIDDEN.search(attributes))
     inside = parent.inside or name in INSIDE or "main" in words
     own_inside_word = bool(words & INSIDE_WORDS)
     # A heading part of the article itself holds its title.
     title_part = own_inside_word and words & APART_WORDS <= {"header", "tags"}
+    own_apart = name in APART and not (name == "header" and inside)
+    own_apart_word = bool(words & APART_WORDS) and not title_part and name not in ("body", "html")
     return _Element(
-        name, number,
-        parent.apart or (name in APART and not (name == "header" and inside)),
-        inside,
-        parent.apart_word or (bool(words & APART_WORDS) and not title_part and name not in ("body", "html")),
-        parent.inside_word or own_inside_word,
-        parent.hidden or hidden,
+        name, number, parent.apart or own_apart, inside, parent.apart_word or own_apart_word,
+        parent.inside_word or own_inside_word, parent.hidden or hidden, parent, own_apart, own_apart_word,
+        name == "form" or (own_apart_word and words.isdisjoint(OTHER_VOICES)),
     )
 
 
+def _release(found: list[Block]) -> None:
+    """Let an element that holds most of the page set nothing apart.
+
+    Some pages lie in one form, or in an element whose class names the parts of the
+    layout.  What holds other voices than the article's, such as comments, stays apart
+    however long it is.
+    """
+    if not any(b.element.apart or b.element.apart_word for b in found):
+        return
+    total, below, known = 0, {}, {}
+    for block in found:
+        plain = len(block.text) - block.linked
+        total += plain
+        e = block.element
+        while e is not None:
+            below[e.number] = below.get(e.number, 0) + plain
+            known[e.number] = e
+            e = e.parent
+    for number in sorted(known):
+        e = known[number]
+        share = below[number] / total if total else 0.0
+        own_apart = e.own_apart and not (e.name == "form" and share > MOST_OF_FORM)
+        own_word = e.own_apart_word and not (e.holds and share > MOST_OF_LAYOUT)
+        e.apart = own_apart or (e.parent is not None and e.parent.apart)
+        e.apart_word = own_word or (e.parent is not None and e.parent.apart_word)
+
+
 _NESTED_START = re.compile(rf"<(?:{'|'.join(sorted(NESTED))})(?=[\s/>])", re.I)
 
 
@@ -364,6 +405,7 @@ def blocks(page: str) -> list[Block]:
             count += 1
             stack.append(_opened(name, attributes, count, stack[-1]))
     close()
+    _release(found)
     return found
 
 
@@ -524,13 +566,24 @@ def fit(pages: list[str]) -> np.ndarray:
 
 
 def learn(pages: DataFrame) -> np.ndarray:
+    """The classifier, fitted to the sample: the different pages with the smallest hashes.
+
+    The sample is settled on hashes alone: a threshold from their number lets few
+    more than ``SAMPLE_PAGES`` through, whatever the table's size and partitions, and
+    only the chosen pages themselves are then fetched.
+    """
+    hashed = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select(
+        F.xxhash64("html").alias("_h"), "html"
+    )
+    different = hashed.agg(F.approx_count_distinct("_h")).first()[0]
+    share = min(1.0, 2 * SAMPLE_PAGES / max(1, different))
+    # Hashes are even over all 64-bit integers.
+    limit = int(-(2**63) + share * 2**64) if share < 1 else 2**63 - 1
+    few = hashed.select("_h").where(F.col("_h") <= limit).distinct()
+    chosen = few.orderBy("_h").limit(SAMPLE_PAGES)
     rows = (
-        pages.select("html")
-        .where(F.length("html").between(1, SAMPLE_CHARS))
-        .select(F.xxhash64("html").alias("_h"), "html")
-        .orderBy("_h", "html")
-        .limit(SAMPLE_PAGES)
-        .collect()
+        # Bounded: SAMPLE_PAGES numbers.
+        hashed.join(F.broadcast(chosen), "_h").groupBy("_h").agg(F.min("html").alias("html")).orderBy("_h").collect()
     )
     return fit([r["html"] for r in rows])
 

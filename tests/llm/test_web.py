@@ -212,3 +212,52 @@ def test_a_url_with_most_records_spans_ranges(spark):
 
 def test_no_records(spark):
     assert warc.resolve_revisits(spark.createDataFrame([], RECORDS)).collect() == []
+
+
+ARTICLE = "".join(
+    f"<p>The council met on a rainy evening to discuss the new bridge and its many costs, number {i}. {'It was late. ' * 20}</p>"
+    for i in range(4)
+)
+MENU = "<nav><a href=a>Home</a> <a href=b>News</a></nav>"
+FOOT = "<footer>© 2020 All rights reserved</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body>{MENU}<form id=all><div>{ARTICLE}</div><input name=q></form>{FOOT}",
+        f"<body>{MENU}<div class='content no-sidebar'>{ARTICLE}</div>{FOOT}",
+        f"<body>{MENU}<div class='has-header'>{ARTICLE}</div>{FOOT}",
+        f"<body>{MENU}<div class='with-ads wide'>{ARTICLE}</div>{FOOT}",
+        f"<body>{MENU}<div id=noSidebar>{ARTICLE}</div>{FOOT}",
+        f"<body>{MENU}<div class='page header-fixed'>{ARTICLE}</div>{FOOT}",
+    ],
+)
+def test_wrappers_do_not_hide_the_article(page):
+    weights = np.array(list(html_text.WEIGHTS.values()))
+    lines = html_text.main_text(page, weights).split("\n")
+    assert len(lines) == 4 and all("council" in line for line in lines)
+
+
+def test_long_comments_and_forms_stay_apart():
+    weights = np.array(list(html_text.WEIGHTS.values()))
+    page = (
+        f"<body>{MENU}<article>{ARTICLE}</article><form><p>{'Tell us what you think of it. ' * 9}</p></form>"
+        f"<section class=comments>{ARTICLE.replace('council', 'readers') * 6}</section>{FOOT}"
+    )
+    text = html_text.main_text(page, weights)
+    assert text.count("council") == 4 and "readers" not in text and "Tell us" not in text
+
+
+def test_the_sample_does_not_grow(spark):
+    html = [(i, f"u{i % 7}", f"<article><p>page {i % 1500} {'word ' * 30}</p></article>") for i in range(3000)]
+    html += [(9000 + i, None, "<p>the same page</p>") for i in range(2000)]
+    pages = spark.createDataFrame(html, "page_id BIGINT, url STRING, html STRING").repartition(16)
+    seen = []
+    plain, html_text.fit = html_text.fit, lambda found: seen.append(found) or plain(found)
+    try:
+        weights = html_text.learn(pages)
+        assert np.allclose(weights, html_text.learn(pages.repartition(3)))
+    finally:
+        html_text.fit = plain
+    assert len(seen[0]) == len(set(seen[0])) == html_text.SAMPLE_PAGES and seen[0] == seen[1]
