@@ -34,7 +34,9 @@ def op1_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents"))
+    return mixing.mix(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies"
+    )
 
 
 def op3_revisits(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,13 +44,15 @@ def op3_revisits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(table(spark, folder, "documents"))
+    return packing.pack_documents(table(spark, folder, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
 
 
 def op5_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(
         table(spark, folder, "documents"), table(spark, folder, "labels")
-    ).select("doc_id", "held_out", "score", "predicted")
+    ).select("doc_id", "held_out", "score", "predicted", "spans")
 
 
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:

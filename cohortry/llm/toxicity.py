@@ -10,7 +10,8 @@ the largest marginal and the sum of marginals make the document's score through
 small logistic calibration.
 
 The model is fitted on the driver from a bounded sample: the ``SAMPLE_DOCS`` texts
-per label with the smallest hash, of at most ``SAMPLE_CHARS`` characters each.
+per label with the smallest hash, of at most ``SAMPLE_CHARS`` characters each; of a
+label that longer texts alone have, the shortest ones up to ``LONG_CHARS`` in all.
 Scoring has no such limits; a chain is cut into rows whose transfer matrices are
 multiplied, so one huge text costs no more than many small ones.
 
@@ -30,16 +31,20 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortry.llm.stash import stash
 from cohortry.llm.tokens import text_runs
 
 SAMPLE_DOCS = 1200
 SAMPLE_CHARS = 20_000
+# Characters, in all, of the sample of a label that only longer texts have.
+LONG_CHARS = 2_000_000
 # Most features of a model, those with the clearest association.
 FEATURES = 8_000
 HASH_BITS = 22
@@ -321,6 +326,23 @@ class _Scores(dict):
         return score
 
 
+def _chosen(labelled: DataFrame, toxic: int, short: int) -> DataFrame:
+    """The documents of one label to learn from."""
+    own = labelled.where(F.col("_toxic") == toxic).select("doc_id", "_toxic", "_chars")
+    if short:
+        order = [F.xxhash64("doc_id", F.lit(5)), F.col("doc_id")]
+        return own.where(f"_chars <= {SAMPLE_CHARS}").orderBy(*order).limit(SAMPLE_DOCS)
+    # Long texts only: the shortest of them, as many as fit, but one at least.
+    rows = own.orderBy("_chars", "doc_id").limit(SAMPLE_DOCS).collect()
+    total, ids = 0, []
+    for row in rows:
+        total += row["_chars"]
+        if ids and total > LONG_CHARS:
+            break
+        ids.append(row["doc_id"])
+    return own.where(F.col("doc_id").isin(ids))
+
+
 def learning_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], float]:
     """The bounded sample of labelled texts, and the share of toxic documents."""
     known = (
@@ -329,27 +351,33 @@ def learning_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
         .agg(F.max("toxic").alias("_toxic"))
         .where(~held_out())
     )
-    sized = docs.select("doc_id", F.length("text").alias("_chars")).where(
-        f"_chars BETWEEN 1 AND {SAMPLE_CHARS}"
+    sized = docs.select("doc_id", F.length("text").alias("_chars")).where("_chars >= 1")
+    labelled = stash(
+        sized.join(known, "doc_id").groupBy("doc_id", "_toxic").agg(F.min("_chars").alias("_chars")),
+        "labelled",
     )
-    usable = sized.join(known, "doc_id").select("doc_id", "_toxic").distinct()
-    counts = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
-    order = [F.xxhash64("doc_id", F.lit(5)), F.col("doc_id")]
-    chosen = usable.where("_toxic = 0").orderBy(*order).limit(SAMPLE_DOCS).union(
-        usable.where("_toxic = 1").orderBy(*order).limit(SAMPLE_DOCS)
+    counts = {
+        r["_toxic"]: (r["texts"], r["short"])
+        for r in labelled.groupBy("_toxic")
+        .agg(F.count(F.lit(1)).alias("texts"), F.count_if(F.col("_chars") <= SAMPLE_CHARS).alias("short"))
+        .collect()
+    }
+    if not counts:
+        return [], [], 0.0
+    chosen = reduce(
+        DataFrame.union, [_chosen(labelled, toxic, short) for toxic, (_, short) in sorted(counts.items())]
     )
     # Bounded: twice SAMPLE_DOCS ids.
     rows = (
         docs.select("doc_id", "text")
-        .where(F.length("text").between(1, SAMPLE_CHARS))
         .join(F.broadcast(chosen), "doc_id")
+        .where(F.length("text") == F.col("_chars"))
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.max("_toxic").alias("toxic"))
         .orderBy("doc_id")
         .collect()
     )
-    total = sum(counts.values())
-    share = counts.get(1, 0) / total if total else 0.0
+    share = counts.get(1, (0, 0))[0] / sum(texts for texts, _ in counts.values())
     return [r["text"] for r in rows], [r["toxic"] for r in rows], share
 
 

@@ -69,6 +69,31 @@ def test_toxic_documents_are_found(spark, make_docs):
     assert sum(right) >= 0.97 * len(right)
 
 
+def test_a_label_of_long_texts_alone_is_learnt(spark, make_docs):
+    clean = [(k, "calm words about the weather and the sea " * 5, 0) for k in range(60)]
+    toxic = [(100 + k, "calm words about the weather vilebad sea " * 600, 1) for k in range(10)]
+    unread = [(200 + k, None, 1) for k in range(40)]
+    rows = clean + toxic + unread
+    docs, labels = make_docs([r[:2] for r in rows]), [(k, 1, y) for k, _, y in rows]
+    frame = spark.createDataFrame(labels, LABELS)
+    texts, marks, share = toxicity.learning_sample(docs, frame)
+    assert sum(marks) == sum(not fold(k) for k, _, _ in toxic) and sum(map(len, texts)) < 2_100_000
+    # Labels without a text do not count.
+    assert share == sum(marks) / len(marks)
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, frame).collect()}
+    assert all((found[k] >= 0.5) == (y == 1) for k, _, y in clean + toxic)
+
+
+def test_a_long_clean_text_is_kept(spark, make_docs):
+    rows = labelled_texts()
+    rng = random.Random(3)
+    usual = sorted({w for _, t, y in rows if not y for w in t.split()})
+    long = (9001, " ".join(rng.choice(usual) for _ in range(60_000)))
+    labels = spark.createDataFrame([(k, 1, y) for k, _, y in rows], LABELS)
+    kept = toxicity.clean_documents(make_docs([*[r[:2] for r in rows], long]), labels)
+    assert 9001 in {r["doc_id"] for r in kept.select("doc_id").collect()}
+
+
 def test_labels_of_the_held_out_rows_are_never_read(spark, make_docs):
     rows = labelled_texts()
     docs = make_docs([r[:2] for r in rows])
