@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from cohortry.operators import churn, dashboard, funnel, rfm, sales  # noqa: E402
 from cohortry.plans import publishing  # noqa: E402
 from cohortry.plans.durable import scratch_path  # noqa: E402
+from cohortry.plans.user_state import UserState  # noqa: E402
 from cohortry.plans.views import (  # noqa: E402
     CHURN_VIEWS,
     FUNNEL_VIEWS,
@@ -34,7 +35,7 @@ from cohortry.sources.schemas import (  # noqa: E402
     SUBSCRIBERS,
     USER_DOMAINS,
 )
-from cohortry.sources.star_schema import StarSchema, split_star_schema, stage_flat  # noqa: E402
+from cohortry.sources.star_schema import StarSchema, split_star_schema  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
 try:  # the corpus operators may be left out of an installation
@@ -131,8 +132,7 @@ def load_sales_flat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split(spark: SparkSession, folder: str) -> StarSchema:
-    flat = testbed.sales_flat(spark, folder)
-    return split_star_schema(stage_flat(flat, scratch_path(spark, "flat")))
+    return split_star_schema(testbed.flat_file(spark, folder))
 
 
 def split_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,6 +167,21 @@ def continued_event_ids(spark: SparkSession, folder: str) -> DataFrame:
     return table.read()
 
 
+def merged_journeys(spark: SparkSession, folder: str) -> DataFrame:
+    """The journey report over stored users and a state that was merged in three parts.
+
+    The first part is merged again at the end, as a repeated delivery would be.
+    """
+    data = testbed.funnel(spark, folder)
+    state = UserState(spark, scratch_path(spark, "state"), buckets=8)
+    state.set_users(data.users)
+    parts = ("event_date < DATE'2024-04-01'", "event_date >= DATE'2024-09-01'",
+             "event_date BETWEEN DATE'2024-04-01' AND DATE'2024-08-31'")
+    for part in (*parts, parts[0]):
+        state.merge(data.events.where(part))
+    return funnel.journey_report(state.users(), state.stages())
+
+
 def published(spark: SparkSession, folder: str) -> DataFrame:
     view = churn.vw_churn_by_contract(testbed.subscribers(spark, folder))
     return publish_view(view, scratch_path(spark, "vw_churn_by_contract"))
@@ -341,6 +356,7 @@ def queries() -> dict[str, Query]:
             "load_subscribers_with_rejects": over_folder(
                 lambda spark, folder: load_broken_subscribers(spark, folder).rows
             ),
+            "merge_user_state": over_folder(merged_journeys),
             "continue_event_ids": over_folder(continued_event_ids),
             "rejected_lines": over_folder(rejected_lines),
             "split_star_schema": over_folder(split_report),

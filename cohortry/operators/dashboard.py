@@ -92,7 +92,7 @@ def driver_matrix(customers: DataFrame) -> DataFrame:
     )
 
 
-def funnel_step_drop(events: DataFrame) -> DataFrame:
+def funnel_step_drop(events: funnel.Events) -> DataFrame:
     """Per step: share of signups, users lost and drop since the step before.
 
     The windows run over the four funnel steps.
@@ -115,7 +115,7 @@ def funnel_step_drop(events: DataFrame) -> DataFrame:
     )
 
 
-def biggest_dropoff(events: DataFrame) -> DataFrame:
+def biggest_dropoff(events: funnel.Events) -> DataFrame:
     """The step that loses the largest share, the earlier one on a tie."""
     return (
         funnel_step_drop(events)
@@ -126,7 +126,7 @@ def biggest_dropoff(events: DataFrame) -> DataFrame:
     )
 
 
-def dropoff_by_device(users: DataFrame, events: DataFrame) -> DataFrame:
+def dropoff_by_device(users: DataFrame, events: funnel.Events) -> DataFrame:
     """Users per device (rows) and stopping stage (columns); the columns hold all users."""
     names = [s.lower().replace(" ", "_").replace("-", "_") for s in DROP_OFF_STAGES]
     matrix = (
@@ -141,7 +141,7 @@ def dropoff_by_device(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def cohort_heat_band(users: DataFrame, events: DataFrame) -> DataFrame:
+def cohort_heat_band(users: DataFrame, events: funnel.Events) -> DataFrame:
     """Heat band of every cell of the cohort matrix, one row per cell."""
     cells = funnel.vw_cohort_matrix(users, events).select(
         "yr",

@@ -8,6 +8,8 @@ and never joined row by row.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,15 +28,24 @@ STAGE_LABELS = ("Signed Up", "Completed Onboarding", "First Purchase", "Second P
 RETENTION_DAYS = (30, 60, 90)
 
 
-def user_stages(events: DataFrame) -> DataFrame:
-    """Per user: ``did_<stage>`` flags and the earliest ``<stage>_date``.
+@dataclass(frozen=True)
+class UserStages:
+    """A stored result of ``user_stages``, which reports take in place of the events.
 
-    Given its own result, returns it: the reports per user take a stored or
-    checkpointed stage table in place of the events, so that several reports
-    share one pass over the events.
+    Several reports then share one pass over the events; ``plans.user_state`` keeps
+    such a table up to date.
     """
-    if f"did_{SIGNED_UP}" in events.columns:
-        return events
+
+    frame: DataFrame
+
+
+Events = DataFrame | UserStages
+
+
+def user_stages(events: Events) -> DataFrame:
+    """Per user: ``did_<stage>`` flags and the earliest ``<stage>_date``."""
+    if isinstance(events, UserStages):
+        return events.frame
     kind = F.col("event_type")
     flags = [F.max(F.when(kind == s, 1).otherwise(0)).alias(f"did_{s}") for s in STAGES]
     dates = [F.min(F.when(kind == s, F.col("event_date"))).alias(f"{s}_date") for s in STAGES]
@@ -47,7 +58,7 @@ def _did(stage: str) -> Column:
     return F.coalesce(F.col(f"did_{stage}"), F.lit(0)) == 1
 
 
-def _all_users(users: DataFrame, events: DataFrame) -> DataFrame:
+def _all_users(users: DataFrame, events: Events) -> DataFrame:
     """Every user, with the stages of those who have events."""
     return users.join(user_stages(events), "user_id", "left")
 
@@ -71,7 +82,7 @@ def funnel_overall(events: DataFrame) -> DataFrame:
     )
 
 
-def _funnel_by(users: DataFrame, events: DataFrame, key: str) -> DataFrame:
+def _funnel_by(users: DataFrame, events: Events, key: str) -> DataFrame:
     """Users per key who reached each stage; all users count as signed up."""
     return (
         _all_users(users, events)
@@ -89,7 +100,7 @@ def _rate(part: str, whole: str, name: str) -> Column:
     return percent(F.col(part), F.col(whole)).alias(name)
 
 
-def channel_funnel(users: DataFrame, events: DataFrame) -> DataFrame:
+def channel_funnel(users: DataFrame, events: Events) -> DataFrame:
     return _funnel_by(users, events, "channel").select(
         "*",
         _rate("onboarded", "signups", "onboard_rate_pct"),
@@ -99,7 +110,7 @@ def channel_funnel(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def device_funnel(users: DataFrame, events: DataFrame) -> DataFrame:
+def device_funnel(users: DataFrame, events: Events) -> DataFrame:
     return _funnel_by(users, events, "device").select(
         "device",
         "signups",
@@ -111,13 +122,13 @@ def device_funnel(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def vw_channel_conversion(users: DataFrame, events: DataFrame) -> DataFrame:
+def vw_channel_conversion(users: DataFrame, events: Events) -> DataFrame:
     return _funnel_by(users, events, "channel").select(
         "*", _rate("purchased", "signups", "conv_rate_pct")
     )
 
 
-def time_to_convert(users: DataFrame, events: DataFrame) -> DataFrame:
+def time_to_convert(users: DataFrame, events: Events) -> DataFrame:
     """Days from signup to onboarding and to first purchase, buyers only."""
     bought = user_stages(events).where(F.col(f"{FIRST_PURCHASE}_date").isNotNull())
     signup = F.col(f"{SIGNED_UP}_date")
@@ -137,7 +148,7 @@ def time_to_convert(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def _purchase_cohorts(users: DataFrame, events: DataFrame, year: str, week: str) -> DataFrame:
+def _purchase_cohorts(users: DataFrame, events: Events, year: str, week: str) -> DataFrame:
     """Signup-week cohorts and how many bought within each retention window.
 
     The windows are cumulative, and a purchase dated before signup counts too.
@@ -156,14 +167,14 @@ def _purchase_cohorts(users: DataFrame, events: DataFrame, year: str, week: str)
     )
 
 
-def cohort_retention(users: DataFrame, events: DataFrame) -> DataFrame:
+def cohort_retention(users: DataFrame, events: Events) -> DataFrame:
     return _purchase_cohorts(users, events, "signup_year", "signup_week").select(
         "*",
         *[_rate(f"purchased_in_{n}d", "cohort_size", f"retention_{n}d_pct") for n in RETENTION_DAYS],
     )
 
 
-def vw_cohort_matrix(users: DataFrame, events: DataFrame) -> DataFrame:
+def vw_cohort_matrix(users: DataFrame, events: Events) -> DataFrame:
     """Retention percentages only.  Any purchase within n days of signup means
     the earliest one is, so this is ``cohort_retention`` with fewer columns."""
     return _purchase_cohorts(users, events, "yr", "wk").select(
@@ -190,7 +201,7 @@ def drop_off_stage() -> Column:
     )
 
 
-def dropoff_users(users: DataFrame, events: DataFrame) -> DataFrame:
+def dropoff_users(users: DataFrame, events: Events) -> DataFrame:
     """Users per stopping stage, channel and device, and their share of all."""
     groups = (
         _all_users(users, events)
@@ -201,7 +212,7 @@ def dropoff_users(users: DataFrame, events: DataFrame) -> DataFrame:
     return groups.withColumn("pct_of_all_users", percent(F.col("user_count"), everyone))
 
 
-def vw_dropoff_by_stage(users: DataFrame, events: DataFrame) -> DataFrame:
+def vw_dropoff_by_stage(users: DataFrame, events: Events) -> DataFrame:
     return (
         _all_users(users, events)
         .groupBy(drop_off_stage().alias("stage"), "channel", "device")
@@ -209,7 +220,7 @@ def vw_dropoff_by_stage(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def journey_report(users: DataFrame, events: DataFrame) -> DataFrame:
+def journey_report(users: DataFrame, events: Events) -> DataFrame:
     """Journeys of signed-up users per channel: stages reached and gaps in days.
 
     A user has one journey, made of the earliest event of each type; several
@@ -247,7 +258,7 @@ def journey_report(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def vw_funnel_summary(events: DataFrame) -> DataFrame:
+def vw_funnel_summary(events: Events) -> DataFrame:
     """Distinct users per stage: always four rows, 0 for an empty stage."""
     totals = user_stages(events).agg(*[count_where(_did(s)).alias(s) for s in STAGES])
     steps = [
@@ -261,11 +272,11 @@ def vw_funnel_summary(events: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(*steps)))
 
 
-def funnel_summary_ordered(events: DataFrame) -> DataFrame:
+def funnel_summary_ordered(events: Events) -> DataFrame:
     """The funnel summary in step order."""
     return vw_funnel_summary(events).orderBy("step_order")
 
 
-def cohort_matrix_first(users: DataFrame, events: DataFrame, n: int = 5) -> DataFrame:
+def cohort_matrix_first(users: DataFrame, events: Events, n: int = 5) -> DataFrame:
     """The first ``n`` cohorts of the matrix by year and week."""
     return vw_cohort_matrix(users, events).orderBy("yr", "wk").limit(n)

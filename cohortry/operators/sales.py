@@ -26,7 +26,7 @@ from cohortry.functions.buckets import (
     on_time_limit,
 )
 from cohortry.functions.dates import days_between, month_label
-from cohortry.plans.durable import freeze
+from cohortry.plans.durable import hold
 from cohortry.plans.sizes import broadcast_if_small
 
 PRODUCT_KEYS = ("product_name", "category", "sub_category")
@@ -132,10 +132,10 @@ def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFra
 
     Orders are counted in a second narrow scan, for the lines of the top
     products only: counting them for all products would shuffle every line.  Both
-    scans run when the function is called, and the ``n`` rows found are
-    checkpointed, so totals and counts are of one moment.
+    scans run when the function is called; the ``n`` rows of each are held, so the
+    result is of one moment.
     """
-    top = (
+    top = hold(
         _per_product(orders, products)
         .groupBy(*PRODUCT_KEYS)
         .agg(
@@ -145,23 +145,20 @@ def top_products(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFra
             F.sum("quantity").alias("units_sold"),
         )
         .orderBy(F.desc("total_revenue"), *PRODUCT_KEYS)
-        .limit(n)
+        .limit(n),
+        n,
     )
-    measures = [c for c in top.columns if c not in PRODUCT_KEYS]
     same = " AND ".join(f"t.{c} <=> p.{c}" for c in PRODUCT_KEYS)
     # At most n rows are broadcast here; one product name may have several ids.
-    members = freeze(
-        products.alias("p")
-        .join(F.broadcast(top.alias("t")), F.expr(same))
-        .select("product_id", "t.*")
-    )
-    counted = (
+    members = products.alias("p").join(F.broadcast(top.alias("t")), F.expr(same)).select("product_id", "t.*")
+    counted = hold(
         orders.select("product_id", "order_id")
         .join(broadcast_if_small(members), "product_id")
-        .groupBy(*PRODUCT_KEYS, *measures)
-        .agg(F.count_distinct("order_id").alias("order_count"))
+        .groupBy(*top.columns)
+        .agg(F.count_distinct("order_id").alias("order_count")),
+        n,
     )
-    return freeze(counted).orderBy(F.desc("total_revenue"), *PRODUCT_KEYS)
+    return counted.select(*top.columns, "order_count").orderBy(F.desc("total_revenue"), *PRODUCT_KEYS)
 
 
 def loss_products(orders: DataFrame, products: DataFrame) -> DataFrame:

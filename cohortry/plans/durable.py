@@ -41,6 +41,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def is_scratch(spark: SparkSession, path: str) -> bool:
+    """Whether a scratch path was handed out and not released since."""
+    return path in _scratch.get(spark.sparkContext.applicationId, ())
+
+
 def release_scratch(spark: SparkSession) -> int:
     """Remove what this application wrote to scratch paths; returns their number.
 
@@ -66,6 +71,17 @@ def store(frame: DataFrame) -> tuple[DataFrame, int]:
     return frame.sparkSession.read.schema(frame.schema).parquet(path), counted.get["rows"]
 
 
+def hold(frame: DataFrame, most: int) -> DataFrame:
+    """The rows of a result that has at most ``most``, fixed at this moment.
+
+    They pass through the driver, so ``most`` must be a small number by design.
+    """
+    rows = frame.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    return frame.sparkSession.createDataFrame(rows, frame.schema)
+
+
 def freeze(frame: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows, and which partition holds them, are fixed."""
     shared_dir(frame.sparkSession)

@@ -8,13 +8,15 @@ before anything is computed.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortry.operators.funnel import STAGES
-from cohortry.plans.durable import freeze
+from cohortry.plans.durable import is_scratch, scratch_path
 from cohortry.plans.hot_keys import SLICE_ROWS, HotKeys
 from cohortry.sources.schemas import SALES_FLAT, SUBSCRIBERS
 
@@ -294,11 +296,35 @@ def funnel_users(spark: SparkSession, folder: str, log: DataFrame | None = None)
     )
 
 
-def funnel(spark: SparkSession, folder: str) -> Funnel:
-    """Users and events, from one pass over the event log.
+_staged: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
 
-    The log's needed columns are checkpointed, as the three stage joins, the list
-    of hot users and the users all read them.  Runs a job when called.
+def staged(
+    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A derived table of a folder, written when it is first asked for.
+
+    Stands in for the stored tables that the reports are meant for: once per
+    application and folder, until ``release_scratch`` removes it.
     """
-    log = freeze(table(spark, folder, "events").where("user_id IS NOT NULL"))
-    return Funnel(users=funnel_users(spark, folder, log), events=funnel_events(log))
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _staged or not is_scratch(spark, _staged[key][0]):
+        frame, path = build(), scratch_path(spark, name)
+        frame.write.parquet(path)
+        _staged[key] = (path, frame.schema)
+    path, schema = _staged[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def funnel(spark: SparkSession, folder: str) -> Funnel:
+    """Users and events; the events are derived from the log once per folder."""
+    log = table(spark, folder, "events").where("user_id IS NOT NULL")
+    return Funnel(
+        users=staged(spark, folder, "funnel-users", lambda: funnel_users(spark, folder, log)),
+        events=staged(spark, folder, "funnel-events", lambda: funnel_events(log)),
+    )
+
+
+def flat_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat sales file, written once per folder, to split from."""
+    return staged(spark, folder, "sales-flat", lambda: sales_flat(spark, folder))

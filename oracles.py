@@ -921,4 +921,6 @@ LOADING["publish_funnel_views"] = view_counts(
     ("vw_funnel_summary", "vw_channel_conversion", "vw_cohort_matrix", "vw_dropoff_by_stage"),
 )
 
+LOADING["merge_user_state"] = FUNNEL_QUERIES["journey_report"]
+
 ORACLES = {**CHURN, **SALES_QUERIES, **FUNNEL_QUERIES, **LOADING}

@@ -103,7 +103,7 @@ def test_drop_off_by_device(users, events):
 
 def test_reports_share_a_stored_stage_table(users, events, tmp_path):
     funnel.user_stages(events).write.parquet(str(tmp_path / "stages"))
-    stages = events.sparkSession.read.parquet(str(tmp_path / "stages"))
+    stages = funnel.UserStages(events.sparkSession.read.parquet(str(tmp_path / "stages")))
     for report in (
         funnel.channel_funnel, funnel.device_funnel, funnel.time_to_convert,
         funnel.cohort_retention, funnel.vw_cohort_matrix, funnel.dropoff_users,
