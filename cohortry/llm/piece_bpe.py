@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from cohortry.llm.tokens import text_runs
+from cohortry.llm.tokens import strings, text_runs
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 # Fixed value: the mark that stands for a space.
@@ -233,7 +233,7 @@ class PieceEncoder:
         marked = pc.replace_substring(pc.replace_substring(marked, "  ", " " + SPACE), SPACE + " ", SPACE * 2)
         split = pc.split_pattern(pc.utf8_slice_codeunits(marked, 1), " ")
         numbered = split.flatten().dictionary_encode()
-        segments = numbered.dictionary.to_pylist()
+        segments = strings(numbered.dictionary)
         if len(self._known) > self._cache_segments:
             self._forget()
         missing = [s for s in segments if s not in self._known]

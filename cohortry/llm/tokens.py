@@ -31,10 +31,17 @@ _ID = np.dtype("<u4")
 
 # Fixed value: the words of the vocabulary's own splitting rule.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Marks that are no letter and no number, and begin no piece of letters.
+_MARKS = ".,;:!?"
 # Words of these characters have one Unicode form and lower case everywhere.
 _PLAIN = "^[!-~¡-¬®-ÿ]+$"
 
 
+def strings(column: pa.Array) -> list[str]:
+    """The strings of a column without nulls; by numpy, as ``to_pylist`` is slow."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class _Known:
     """The ids of strings met before, end to end, and the place of each string."""
 
@@ -114,6 +121,25 @@ class WordEncoder:
             plain = pc.and_not(plain, pc.match_substring(words, content))
         return plain
 
+    @staticmethod
+    def _marked(words: pa.Array) -> pa.Array:
+        """The words with a blank after each piece.
+
+        Letters alone, or with one mark of punctuation after them, need no pattern.
+        """
+        stem = pc.utf8_rtrim(words, characters=_MARKS)
+        after = pc.subtract(pc.utf8_length(words), pc.utf8_length(stem))
+        letters = pc.utf8_is_alpha(stem)
+        one = pc.and_(letters, pc.equal(after, 1))
+        none = pc.and_(letters, pc.equal(after, 0))
+        simple = pc.or_(one, none)
+        other = pc.replace_substring_regex(words.filter(pc.invert(simple)), f"({_PIECES})", r"\1 ")
+        marked = pc.if_else(
+            none, pc.binary_join_element_wise(stem, "", " "),
+            pc.binary_join_element_wise(stem, pc.utf8_slice_codeunits(words, -1), "", " "),
+        )
+        return pc.replace_with_mask(marked, pc.invert(simple), other)
+
     def _learn(self, missing: list[str]) -> None:
         """Add words: plain ones from their pieces, others whole.
 
@@ -121,26 +147,25 @@ class WordEncoder:
         """
         words = pa.array(missing, pa.string())
         plain = self._plain(words)
-        whole = words.filter(pc.invert(plain)).to_pylist()
+        whole = strings(words.filter(pc.invert(plain)))
         if whole:
             self._words.add(whole, *self._encode(whole))
         words = words.filter(plain)
         if not len(words):
             return
-        # A blank after each piece; the string after the last blank is empty.
-        marked = pc.replace_substring_regex(pc.utf8_lower(words), f"({_PIECES})", r"\1 ")
-        split = pc.split_pattern(marked, " ")
+        split = pc.split_pattern(self._marked(pc.utf8_lower(words)), " ")
         flat = split.flatten()
+        # The string after the last blank is empty.
         bounds = split.offsets.to_numpy() - np.arange(len(split) + 1)
         numbered = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
-        pieces = numbered.dictionary.to_pylist()
+        pieces = strings(numbered.dictionary)
         if len(self._pieces.place) > self._cache_words:
             self._pieces = _Known()
         fresh = self._pieces.missing(pieces)
         if fresh:
             self._pieces.add(fresh, *self._encode_pieces(fresh))
         ids, ends = self._pieces.gather(pieces, numbered.indices.to_numpy())
-        self._words.add(words.to_pylist(), ids, np.diff(ends[bounds]))
+        self._words.add(strings(words), ids, np.diff(ends[bounds]))
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as bytes; a null text has none.
@@ -150,7 +175,7 @@ class WordEncoder:
         """
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         numbered = split.flatten().dictionary_encode()
-        different = numbered.dictionary.to_pylist()
+        different = strings(numbered.dictionary)
         if len(self._words.place) > self._cache_words:
             self._words = _Known()
         missing = self._words.missing(different)
