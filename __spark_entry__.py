@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from cohortry.operators import churn, dashboard, funnel, rfm, sales  # noqa: E402
 from cohortry.plans import publishing  # noqa: E402
 from cohortry.plans.durable import scratch_path  # noqa: E402
+from cohortry.plans.sql_functions import register_functions  # noqa: E402
 from cohortry.plans.user_state import UserState  # noqa: E402
 from cohortry.plans.views import (  # noqa: E402
     CHURN_VIEWS,
@@ -182,6 +183,16 @@ def merged_journeys(spark: SparkSession, folder: str) -> DataFrame:
     return funnel.journey_report(state.users(), state.stages())
 
 
+def report_from_sql(spark: SparkSession, folder: str) -> DataFrame:
+    register_functions(spark, testbed.sales(spark, folder).orders)
+    return spark.sql("SELECT * FROM monthly_kpi_report(2000, 11)")
+
+
+def months_from_sql(spark: SparkSession, folder: str) -> DataFrame:
+    register_functions(spark, testbed.sales(spark, folder).orders)
+    return spark.sql("SELECT * FROM kpi_by_month(DATE'1992-01-01', DATE'2002-12-31')")
+
+
 def published(spark: SparkSession, folder: str) -> DataFrame:
     view = churn.vw_churn_by_contract(testbed.subscribers(spark, folder))
     return publish_view(view, scratch_path(spark, "vw_churn_by_contract"))
@@ -357,6 +368,8 @@ def queries() -> dict[str, Query]:
                 lambda spark, folder: load_broken_subscribers(spark, folder).rows
             ),
             "merge_user_state": over_folder(merged_journeys),
+            "sql_monthly_kpi_report": over_folder(report_from_sql),
+            "sql_kpi_by_month": over_folder(months_from_sql),
             "continue_event_ids": over_folder(continued_event_ids),
             "rejected_lines": over_folder(rejected_lines),
             "split_star_schema": over_folder(split_report),

@@ -921,6 +921,14 @@ LOADING["publish_funnel_views"] = view_counts(
     ("vw_funnel_summary", "vw_channel_conversion", "vw_cohort_matrix", "vw_dropoff_by_stage"),
 )
 
+LOADING["sql_monthly_kpi_report"] = SALES_QUERIES["monthly_kpi_report"]
+LOADING["sql_kpi_by_month"] = over(
+    SALES,
+    f"""SELECT strftime(order_date, '%Y-%m') AS month, count(DISTINCT order_id) AS total_orders,
+  count(DISTINCT customer_id) AS unique_customers, {money('sales')} AS revenue, {money('profit')} AS profit,
+  {MARGIN} AS profit_margin_pct, {per('sum(sales)', 'count(DISTINCT order_id)')} AS avg_order_value
+FROM sold GROUP BY ALL""",
+)
 LOADING["merge_user_state"] = FUNNEL_QUERIES["journey_report"]
 
 ORACLES = {**CHURN, **SALES_QUERIES, **FUNNEL_QUERIES, **LOADING}
