@@ -79,9 +79,11 @@ def register_functions(spark: SparkSession, orders: DataFrame, view: str = "sale
     return list(FUNCTIONS)
 
 
-def create_functions(spark: SparkSession, table: str, schema: str = "default") -> list[str]:
-    """Functions of the catalog over a table of the catalog; they outlive the session."""
-    names = [f"{schema}.{name}" for name in FUNCTIONS]
-    for name, statement in zip(names, FUNCTIONS.values()):
+def create_functions(spark: SparkSession, table: str) -> list[str]:
+    """Functions of the catalog's current schema over a table of the catalog.
+
+    They outlive the session.  Spark calls table functions without their schema's name.
+    """
+    for name, statement in FUNCTIONS.items():
         spark.sql(statement.format(kind="", name=name, orders=table))
-    return names
+    return list(FUNCTIONS)

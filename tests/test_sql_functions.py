@@ -51,11 +51,14 @@ def test_the_dates_reach_the_scan(spark, orders, tmp_path):
 def test_functions_of_the_catalog(spark, orders):
     spark.sql("DROP TABLE IF EXISTS kept_orders")
     orders.write.saveAsTable("kept_orders")
+    owner, names = spark.newSession(), []
     try:
-        names = create_functions(spark, "kept_orders")
+        names = create_functions(owner, "kept_orders")
         other = spark.newSession()
-        assert rows(other.sql(f"SELECT * FROM {names[0]}(2017, 11)")) == rows(sales.monthly_kpi_report(orders, 2017, 11))
+        assert sorted(map(str, other.sql(f"SELECT * FROM {names[0]}(2017, 11)").collect())) == sorted(
+            map(str, sales.monthly_kpi_report(orders, 2017, 11).collect())
+        )
     finally:
         for name in names:
-            spark.sql(f"DROP FUNCTION IF EXISTS {name}")
+            owner.sql(f"DROP FUNCTION IF EXISTS {name}")
         spark.sql("DROP TABLE IF EXISTS kept_orders")
