@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cohortry.operators import churn, dashboard, funnel, rfm, sales  # noqa: E402
 from cohortry.plans import publishing  # noqa: E402
+from cohortry.plans.distinct_sets import SalesSets  # noqa: E402
 from cohortry.plans.durable import scratch_path  # noqa: E402
 from cohortry.plans.sql_functions import register_functions  # noqa: E402
 from cohortry.plans.user_state import UserState  # noqa: E402
@@ -183,6 +184,24 @@ def merged_journeys(spark: SparkSession, folder: str) -> DataFrame:
     return funnel.journey_report(state.users(), state.stages())
 
 
+def over_sets(build) -> Query:
+    """A report over sets that were built from the order lines in three deliveries.
+
+    The first delivery comes twice.
+    """
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tables = testbed.sales(spark, folder)
+        sets = SalesSets(spark, scratch_path(spark, "sets"))
+        parts = ("order_date < DATE'1995-05-17'", "order_date >= DATE'1998-01-01'",
+                 "order_date BETWEEN DATE'1995-05-17' AND DATE'1997-12-31'")
+        for n in (0, 1, 2, 0):
+            sets.append(tables.orders.where(parts[n]), tables.customers, f"delivery {n}")
+        return portable(build(sets))
+
+    return run
+
+
 def report_from_sql(spark: SparkSession, folder: str) -> DataFrame:
     register_functions(spark, testbed.sales(spark, folder).orders)
     return spark.sql("SELECT * FROM monthly_kpi_report(2000, 11)")
@@ -370,6 +389,9 @@ def queries() -> dict[str, Query]:
             "merge_user_state": over_folder(merged_journeys),
             "sql_monthly_kpi_report": over_folder(report_from_sql),
             "sql_kpi_by_month": over_folder(months_from_sql),
+            "monthly_revenue_from_sets": over_sets(sales.monthly_revenue_from_sets),
+            "quarterly_customers": over_sets(sales.quarterly_customers),
+            "regional_performance_from_sets": over_sets(sales.regional_performance_from_sets),
             "continue_event_ids": over_folder(continued_event_ids),
             "rejected_lines": over_folder(rejected_lines),
             "split_star_schema": over_folder(split_report),

@@ -26,6 +26,7 @@ from cohortry.functions.buckets import (
     on_time_limit,
 )
 from cohortry.functions.dates import days_between, month_label
+from cohortry.plans.distinct_sets import SalesSets
 from cohortry.plans.durable import hold
 from cohortry.plans.sizes import broadcast_if_small
 
@@ -82,6 +83,45 @@ def monthly_revenue(orders: DataFrame) -> DataFrame:
     return _trend(months, "rolling_3m_avg_revenue", ["total_orders", "unique_customers"])
 
 
+def monthly_revenue_from_sets(sets: SalesSets) -> DataFrame:
+    """``monthly_revenue`` from stored sums and sets."""
+    months = sets.by({"month": F.col("month")}).select(
+        "month",
+        F.round("sales", 2).alias("revenue"),
+        F.round("profit", 2).alias("profit"),
+        F.col("orders").alias("total_orders"),
+        F.col("customers").alias("unique_customers"),
+    )
+    return _trend(months, "rolling_3m_avg_revenue", ["total_orders", "unique_customers"])
+
+
+def quarterly_customers(sets: SalesSets) -> DataFrame:
+    """Revenue, orders and customers per quarter; the months' sets are merged."""
+    quarter = F.concat_ws("-", F.concat(F.lit("Q"), F.quarter("month")), F.year("month"))
+    return sets.by({"quarter_label": quarter}).select(
+        "quarter_label",
+        F.round("sales", 2).alias("revenue"),
+        F.col("orders").alias("total_orders"),
+        F.col("customers").alias("unique_customers"),
+    )
+
+
+def regional_performance_from_sets(sets: SalesSets) -> DataFrame:
+    """``regional_performance`` from stored sums and sets."""
+    states = sets.by({"region": F.col("region"), "state": F.col("state")}).where("region IS NOT NULL")
+    return states.select(
+        "region",
+        "state",
+        F.col("orders").alias("total_orders"),
+        F.col("customers").alias("unique_customers"),
+        F.round("sales", 2).alias("revenue"),
+        F.col("profit"),
+        percent(F.col("profit"), F.col("sales")).alias("profit_margin_pct"),
+        F.round(quotient(F.col("discount"), F.col("discounts")), 3).alias("avg_discount"),
+        F.round(quotient(F.col("sales"), F.col("orders")), 2).alias("avg_order_value"),
+    )
+
+
 def vw_monthly_revenue_trend(orders: DataFrame) -> DataFrame:
     """Monthly revenue for a line chart; no customer count."""
     months = orders.groupBy(F.trunc("order_date", "month").alias("month")).agg(

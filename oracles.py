@@ -929,6 +929,15 @@ LOADING["sql_kpi_by_month"] = over(
   {MARGIN} AS profit_margin_pct, {per('sum(sales)', 'count(DISTINCT order_id)')} AS avg_order_value
 FROM sold GROUP BY ALL""",
 )
+LOADING["monthly_revenue_from_sets"] = SALES_QUERIES["monthly_revenue"]
+LOADING["regional_performance_from_sets"] = SALES_QUERIES["regional_performance"]
+LOADING["quarterly_customers"] = over(
+    SALES,
+    f"""SELECT 'Q' || quarter(order_date) || '-' || year(order_date) AS quarter_label,
+  {money('sales')} AS revenue, count(DISTINCT order_id) AS total_orders,
+  count(DISTINCT customer_id) AS unique_customers
+FROM sold GROUP BY ALL""",
+)
 LOADING["merge_user_state"] = FUNNEL_QUERIES["journey_report"]
 
 ORACLES = {**CHURN, **SALES_QUERIES, **FUNNEL_QUERIES, **LOADING}
