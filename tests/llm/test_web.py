@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from compare import connect, from_duckdb, from_spark
+from pyspark.sql import functions as F
 
 from cohortry.llm import html_text, warc
 from cohortry.llm.html_text import blocks, main_text, minimum_cut
@@ -261,3 +262,34 @@ def test_the_sample_does_not_grow(spark):
     finally:
         html_text.fit = plain
     assert len(seen[0]) == len(set(seen[0])) == html_text.SAMPLE_PAGES and seen[0] == seen[1]
+
+
+def test_the_revisits_of_one_response_are_spread(spark):
+    """Eight in ten records are revisits of the same response."""
+    revisits = spark.range(20_000).selectExpr(
+        "id + 100 AS record_id", "IF(id % 10 < 8, 'http://hot.org/', concat('http://o.org/', id % 50)) AS target_uri",
+        "id + 100 AS warc_date", "'revisit' AS record_type", "304 AS status",
+        "concat('HTTP/1.1 304 Not Modified\\r\\nDate: d', id, '\\r\\n\\r\\n') AS http_headers", "CAST(NULL AS STRING) AS payload",
+    )
+    responses = spark.range(51).selectExpr(
+        "id AS record_id", "IF(id = 50, 'http://hot.org/', concat('http://o.org/', id)) AS target_uri", "id AS warc_date",
+        "'response' AS record_type", "200 AS status", "'HTTP/1.1 200 OK\\r\\nX: 1\\r\\n\\r\\n' AS http_headers",
+        "concat('body ', id) AS payload",
+    )
+    records = revisits.unionByName(responses)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    plain = sorted(map(tuple, warc.resolve_revisits(records).collect()))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = warc.resolve_revisits(records, slice_rows=500)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 6000
+        bodies = warc.with_payloads(found, records, slice_rows=500)
+        sizes = [r["count"] for r in bodies.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 6000
+        assert bodies.where("payload = 'body 50'").count() == 16_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted(map(tuple, found.collect())) == plain
