@@ -45,6 +45,7 @@ from cohortry.llm.components import components
 from cohortry.llm.shingles import counted, mix, shingle_hashes
 from cohortry.llm.stash import stash
 from cohortry.llm.tokens import text_runs
+from cohortry.plans.sizes import broadcast_if_small
 
 SIMILAR_PCT = 80
 BANDS = 25
@@ -57,6 +58,8 @@ LIKELY = 78
 PAIRS_HELD = 1_000_000
 # Bytes kept of a shingle's hash for verifying.
 HASH_BYTES = 6
+# Bytes of shingles that a group holds while its pairs are verified, or two documents.
+GROUP_BYTES = 32 << 20
 
 
 def signatures(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -320,9 +323,11 @@ def _multisets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 ).filter(pa.array(meant))
 
     wanted = classes.select("class_no", "mark0", "mark1", F.col("first_id").alias("_first"))
+    # Texts stay where they are, if the classes are counted to be few; else those that
+    # are not wanted are left out by Spark's own runtime filter before the shuffle.
     return (
         docs.select("doc_id", "text")
-        .join(wanted, F.expr("doc_id = _first"))
+        .join(broadcast_if_small(wanted), F.expr("doc_id = _first"))
         .select("class_no", "mark0", "mark1", "text")
         .mapInArrow(shingles, "class_no BIGINT, shingles BINARY")
         .groupBy("class_no")
@@ -367,8 +372,11 @@ def near_duplicates(docs: DataFrame, block: int | None = None) -> DataFrame:
     classes = (
         signed.where("n > 0")
         .groupBy(*key)
-        .agg(F.min("doc_id").alias("first_id"), F.any_value("sketch").alias("sketch"))
-        .select(F.monotonically_increasing_id().alias("class_no"), *key, "first_id", "sketch")
+        .agg(
+            F.min("doc_id").alias("first_id"), F.any_value("n").alias("n"),
+            F.any_value("sketch").alias("sketch"),
+        )
+        .select(F.monotonically_increasing_id().alias("class_no"), *key, "first_id", "n", "sketch")
     )
     classes = stash(classes, "classes")
     more = {} if block is None else {"block": block}
@@ -380,8 +388,8 @@ def near_duplicates(docs: DataFrame, block: int | None = None) -> DataFrame:
     first = stash(_likeliest_pairs(members.join(sketches, "class_no")), "pairs")
 
     def multisets(wanted: DataFrame) -> DataFrame:
-        chosen = classes.join(wanted.distinct(), "class_no", "left_semi")
-        return stash(_multisets(docs, chosen), "multisets")
+        chosen = classes.drop("sketch").join(wanted.distinct(), "class_no", "left_semi")
+        return stash(_multisets(docs, stash(chosen, "wanted")), "multisets")
 
     ends = first.selectExpr("explode(array(a, b)) AS class_no")
     found = stash(_verified(first, multisets(ends)), "verified")
@@ -398,6 +406,11 @@ def near_duplicates(docs: DataFrame, block: int | None = None) -> DataFrame:
     apart = labelled.join(mixed, _GROUP, "left_semi").join(sketches, "class_no")
     apart = stash(_with_likely_others(apart), "likely-members")
     sets = multisets(apart.select("class_no"))
+    # Met anew in groups whose shingles have a bounded size.
+    sized = apart.select("band", "class_no", "component").distinct().join(classes.select("class_no", "n"), "class_no")
+    apart = shared_buckets(
+        sized, ["band"], "class_no", **more, weight=f"n * {HASH_BYTES}", block_weight=GROUP_BYTES // 2
+    ).drop("n")
     rest = apart.join(sketches, "class_no").join(sets, "class_no")
     found = stash(found.union(_linked_components(rest)), "links")
 

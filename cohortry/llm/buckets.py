@@ -3,7 +3,8 @@
 A bucket may hold any share of all rows.  One with more than ``BLOCK`` members is
 cut into blocks by a hash of the member, and each pair of blocks is a group of
 its own; so every two members of a bucket meet in exactly one group, and a group
-has at most about twice ``BLOCK`` members.
+has at most about twice ``BLOCK`` members.  Where members have sizes, a block's sizes
+are bounded likewise.
 """
 
 from __future__ import annotations
@@ -20,20 +21,30 @@ BLOCK = 1024
 PAIRS_AT_ONCE = 100_000
 
 
-def shared_buckets(keyed: DataFrame, keys: list[str], member: str, block: int = BLOCK) -> DataFrame:
+def shared_buckets(
+    keyed: DataFrame, keys: list[str], member: str, block: int = BLOCK,
+    weight: str = "0", block_weight: int = 1,
+) -> DataFrame:
     """Rows of ``keyed`` in buckets with at least two members, once per group.
 
-    Adds ``left`` and ``right``, the group's blocks, and ``mine``, the row's own.
+    Adds ``left`` and ``right``, the group's blocks, and ``mine``, the row's own.  A
+    bucket has so many blocks that one holds about ``block`` members and ``weight``s of
+    about ``block_weight`` in all, but one member at least.
     """
-    sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
+    sizes = (
+        keyed.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_size"), F.sum(F.expr(weight).cast("bigint")).alias("_weight"))
+        .where("_size > 1")
+    )
+    blocks = f"greatest(ceil(_size / {block}), least(_size, ceil(_weight / {block_weight})))"
     return (
         keyed.join(sizes, keys)
-        .withColumn("_blocks", F.expr(f"CAST(ceil(_size / {block}) AS INT)"))
+        .withColumn("_blocks", F.expr(f"CAST({blocks} AS INT)"))
         .withColumn("mine", F.expr(f"CAST(pmod(xxhash64({member}, 29), _blocks) AS INT)"))
         .withColumn("_other", F.expr("explode(sequence(0, _blocks - 1))"))
         .withColumn("left", F.expr("least(mine, _other)"))
         .withColumn("right", F.expr("greatest(mine, _other)"))
-        .drop("_size", "_blocks", "_other")
+        .drop("_size", "_weight", "_blocks", "_other")
     )
 
 

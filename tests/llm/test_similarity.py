@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 from collections import Counter
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 
 from cohortry.llm import bagminhash, embedding_dedup
-from cohortry.llm.buckets import windows
+from cohortry.llm.buckets import shared_buckets, windows
 from cohortry.llm.components import components
 from cohortry.llm.shingles import counted, shingle_hashes
 
@@ -107,6 +108,25 @@ def test_links_of_the_largest_and_smallest_doubles(spark):
     assert found == {1: 1, 2: 1, 10: 0, 11: 0, **{20 + k: 5 for k in range(6)}}
 
 
+def test_buckets_are_cut_by_members_and_by_weight(spark):
+    keyed = spark.range(400).selectExpr("0 AS k", "id AS m", "IF(id < 5, 1000, 1) AS w").unionByName(
+        spark.range(3).selectExpr("1 AS k", "id AS m", "9000 AS w")
+    )
+    found = shared_buckets(keyed, ["k"], "m", block=100, weight="w", block_weight=500).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault((r["k"], r["left"], r["right"]), []).append(r)
+    met = Counter()
+    for (k, left, right), members in groups.items():
+        for a, b in itertools.combinations(sorted(members, key=lambda r: r["m"]), 2):
+            if left == right or a["mine"] != b["mine"]:
+                met[k, a["m"], b["m"]] += 1
+    # Every two members meet once, also where a member alone is beyond the bound.
+    assert len(met) == 400 * 399 // 2 + 3 and set(met.values()) == {1}
+    assert max(len(g) for g in groups.values()) < 200
+    assert {r["right"] for r in found if r["k"] == 1} <= {0, 1, 2}
+
+
 def test_null_ids_and_no_vectors(spark):
     rows = [(None, [1.0, 0.0], 1, ""), (4, [1.0, 0.0], 1, ""), (None, [0.0, 1.0], 1, "")]
     found = embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, VECTORS)).collect()
@@ -163,8 +183,10 @@ def jaccard_components(rows):
     return smallest_reachable(len(rows), links)
 
 
-@pytest.mark.parametrize("block", [None, 8])
-def test_near_duplicate_documents(make_docs, block):
+@pytest.mark.parametrize("block,group_bytes", [(None, None), (8, None), (None, 3000)])
+def test_near_duplicate_documents(make_docs, monkeypatch, block, group_bytes):
+    if group_bytes:
+        monkeypatch.setattr(bagminhash, "GROUP_BYTES", group_bytes)
     rows = near_copy_rows()
     group = jaccard_components(rows)
     expected = [(rows[i][0], rows[g][0], i == g) for i, g in enumerate(group)]
