@@ -4,6 +4,15 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage befor
 it kept; its result is written as Parquet and read again as the next one's
 ``docs``.  All stages but the last return the columns of ``documents``: a rejected
 document is gone, and a document that the mix takes twice is there twice.
+
+Rows: a null or empty text is not toxic, but has no words and is rejected by the
+quality rules; given to a later stage by itself, it is a duplicate of nothing, is
+never taken into the mix, and packs as its end id alone.  Null doc_ids, languages and
+sources are kept as they are, a null source being a source of its own.  Texts of any
+length are judged, compared and packed whole.  Of rows that are equal the near-dedup
+keeps one; all other stages treat repeated rows and doc_ids as documents of their own.
+Further columns come along up to the last stage, whatever their names.  An empty table
+gives an empty table.
 """
 
 from __future__ import annotations
