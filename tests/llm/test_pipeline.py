@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_mixing_quality import counts
 from test_similarity import jaccard_components
 from test_text_models import LABELS, labelled_texts
@@ -24,12 +25,15 @@ CONTRACT = {
     "op9": ("documents", ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                           "base_failed", "kept"]),
     "op10": ("documents", ["doc_id", "component_id", "kept"]),
+    "op11": ("documents", ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]),
+    "op12": ("documents", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
+    "op13": (None, ["item_id", "rank", "doc_id", "score"]),
 }
 
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in QUERIES}
-    assert names == {f"op{k}" for k in range(1, 11)}
+    assert names == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(registry.queries())
     assert set(ORACLES) <= set(registry.oracle_sql())
 
@@ -44,6 +48,57 @@ def test_queries_answer_for_every_row(spark, small, name):
         assert rows == spark.read.parquet(f"{small}/{table}.parquet").count()
 
 
+WORKING = ("_row", "_doc", "copies", "_r", "score", "kept", "n", "size", "sequence_id", "class_no", "component_id")
+
+
+def odd_documents(spark, folder):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing names."""
+    plain = " ".join(f"word{k % 700} said" for k in range(60_000)) + "."
+    rows = [(k, f"{t} and more plain words to read" * 4, "en", "s", 5) for k, t, y in labelled_texts(60) if not y]
+    rows += [(None, rows[0][1] + " null id", None, None, None), (None, None, None, None, None), (900, "", "", "", 0)]
+    rows += [(901, plain, "en", "s", len(plain)), (902, None, "en", "s", 0), (3000, "x" * 300_000, "en", None, 1)]
+    rows += [rows[1]] * 40
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    for k, name in enumerate(WORKING):
+        docs = docs.withColumn(name, F.lit(f"{name} {k}"))
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels = [(k, 1, y) for k, _, y in labelled_texts(60)] + [(None, 1, 1), (901, None, None)]
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{folder}/labels.parquet")
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    folder = str(tmp_path)
+    docs = odd_documents(spark, folder)
+    given = Counter(docs.select("doc_id").collect())
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        found = stage(spark, docs, folder)
+        assert found.columns == docs.columns, name
+        rows = found.collect()
+        assert rows or name == "quality rules"
+        assert all(r[n] == f"{n} {i}" for r in rows for i, n in enumerate(WORKING))
+        ids = Counter(found.select("doc_id").collect())
+        if name != "mixing sources to target weights":
+            assert all(n <= given[d] for d, n in ids.items())
+        if name != "quality rules":
+            assert any(r["doc_id"] == 901 and len(r["text"]) > 500_000 for r in rows), name
+    placed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    # An empty document has its end id; a long one is cut, with nothing lost.
+    assert [r["length"] for r in placed if r["doc_id"] == 900] == [1]
+    assert len(placed) > 100 and all(r["length"] <= 2048 for r in placed)
+    assert corpus_pipeline.run(spark, folder).columns[:2] == ["sequence_id", "doc_id"]
+
+
+def test_stages_take_an_empty_table(spark, tmp_path):
+    folder = str(tmp_path)
+    docs = odd_documents(spark, folder).where("doc_id = -5")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, folder)
+        assert found.collect() == [], name
+        if name != "best-fit packing":
+            assert found.columns == docs.columns
+
+
 def documents():
     rows = [(k, t + (" and so on it goes with words" * 8), "en", f"s{k % 3}") for k, t, _ in labelled_texts(120)]
     rows += [(500 + k, rows[k][1] + " tail", "en", None) for k in range(1, 12)]
