@@ -17,6 +17,7 @@ from cohortry.operators import churn, dashboard, funnel, rfm, sales  # noqa: E40
 from cohortry.plans import publishing  # noqa: E402
 from cohortry.plans.distinct_sets import SalesSets  # noqa: E402
 from cohortry.plans.durable import scratch_path  # noqa: E402
+from cohortry.plans.order_index import OrderIndex  # noqa: E402
 from cohortry.plans.sql_functions import register_functions  # noqa: E402
 from cohortry.plans.user_state import UserState  # noqa: E402
 from cohortry.plans.views import (  # noqa: E402
@@ -184,6 +185,21 @@ def merged_journeys(spark: SparkSession, folder: str) -> DataFrame:
     return funnel.journey_report(state.users(), state.stages())
 
 
+def ranks_after_inserts(spark: SparkSession, folder: str) -> DataFrame:
+    """The risk ranking from an index of a third of the customers and two inserts."""
+    active = testbed.subscribers(spark, folder).where("churn = 'No'").select(
+        "customer_id", "contract", "tenure", "monthly_charges", "internet_service"
+    )
+    index = OrderIndex(
+        spark, scratch_path(spark, "order-index"), churn.RISK_ORDER,
+        {"risk_rank_within_contract": ["contract"], "overall_risk_rank": []}, ranges=16,
+    )
+    index.build(active.where("customer_id % 3 = 0"))
+    for part in (1, 2):
+        index.insert(active.where(f"customer_id % 3 = {part}"))
+    return index.rank(active)
+
+
 def over_sets(build) -> Query:
     """A report over sets that were built from the order lines in three deliveries.
 
@@ -392,6 +408,7 @@ def queries() -> dict[str, Query]:
             "monthly_revenue_from_sets": over_sets(sales.monthly_revenue_from_sets),
             "quarterly_customers": over_sets(sales.quarterly_customers),
             "regional_performance_from_sets": over_sets(sales.regional_performance_from_sets),
+            "ranks_after_inserts": over_folder(ranks_after_inserts),
             "continue_event_ids": over_folder(continued_event_ids),
             "rejected_lines": over_folder(rejected_lines),
             "split_star_schema": over_folder(split_report),

@@ -11,10 +11,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from cohortry.plans.durable import store
 from cohortry.plans.identity import NumberedTable, number_rows
 
 
+# Words of 64 parent keys that are sent to every task: 16 MB.
+MEMBER_WORDS = 1_000_000
+
+
 def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row."""
     return (
@@ -36,25 +42,58 @@ def check_primary_key(frame: DataFrame, name: str, keys: Sequence[str]) -> DataF
     )
 
 
-def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Keys of the child that the parent lacks, with their rows; NULL passes.
+def key_words(parent: DataFrame, key: str) -> DataFrame:
+    """The integer keys of a table as sets of 64 consecutive keys: ``_word`` and ``_bits``.
 
-    The child is counted per key before the anti-join, so hot keys are one row.
+    Exact, and a 64th of the rows where keys are dense.  Store it to check several
+    children, or each new batch of one, without reading the parent again.
     """
-    per_key = (
-        child.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+    return (
+        parent.where(F.col(key).isNotNull())
+        .select(F.col(key).cast("bigint").alias("_k"))
+        .groupBy(F.expr("shiftright(_k, 6)").alias("_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(_k & 63 AS INT)))").alias("_bits"))
+    )
+
+
+def _without_members(child: DataFrame, words: DataFrame) -> DataFrame:
+    """The rows of ``child`` whose ``_key`` is in no word; members stay where they are."""
+    # Counted by the caller: at most MEMBER_WORDS rows of two numbers.
+    return (
+        child.join(F.broadcast(words), F.expr("shiftright(_key, 6) = _word"), "left")
+        .where("_bits IS NULL OR shiftright(_bits, CAST(_key & 63 AS INT)) & 1 = 0")
+        .select("_key")
     )
+
+
+def orphans(
+    child: DataFrame, key: str, parent: DataFrame, parent_key: str, words: DataFrame | None = None
+) -> DataFrame:
+    """Keys of the child that the parent lacks, with their rows; NULL passes.
+
+    Integer keys are looked up in the parent's ``key_words`` where they lie, so that
+    only rows without a parent are shuffled.  Other keys, and parents with more than
+    ``MEMBER_WORDS`` words, take an anti-join; the child is counted per key before, so
+    hot keys are one row.  ``child`` may be the new rows of a table only.
+    """
+    types = {f.name: f.dataType for f in (*child.schema.fields, *parent.schema.fields)}
+    own = child.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    if isinstance(types[key], IntegralType) and isinstance(types[parent_key], IntegralType):
+        words, n = store(key_words(parent, parent_key)) if words is None else (words, words.count())
+        if n <= MEMBER_WORDS:
+            own = _without_members(own.select(F.col("_key").cast("bigint").alias("_key")), words)
+            return own.groupBy("_key").agg(F.count(F.lit(1)).alias("rows"))
+    per_key = own.groupBy("_key").agg(F.count(F.lit(1)).alias("rows"))
     known = parent.select(F.col(parent_key).alias("_parent_key"))
     return per_key.join(known, F.col("_key") == F.col("_parent_key"), "left_anti")
 
 
 def check_foreign_key(
-    child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str
+    child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str,
+    words: DataFrame | None = None,
 ) -> DataFrame:
-    """Orphaned keys and the rows holding them."""
-    return orphans(child, key, parent, parent_key).agg(
+    """Orphaned keys and the rows holding them; ``words`` are stored ``key_words``."""
+    return orphans(child, key, parent, parent_key, words).agg(
         F.lit(name).alias("constraint_name"),
         F.count(F.lit(1)).alias("orphan_keys"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"),

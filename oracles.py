@@ -352,6 +352,7 @@ SELECT CASE c_custkey % 50 WHEN 7 THEN 'too many values' WHEN 8 THEN 'too few va
     WHEN 9 THEN 'tenure: not int' WHEN 10 THEN 'tenure: not int; monthly_charges: not decimal(8,2)'
     ELSE 'loaded' END AS reason, count(*) AS lines
 FROM customer GROUP BY ALL"""
+CHURN["ranks_after_inserts"] = CHURN["risk_ranking"]
 CHURN["publish_view"] = CHURN["vw_churn_by_contract"]
 CHURN["replace_published_view"] = f"""
 SELECT 1 AS version, * FROM ({CHURN["vw_churn_by_contract"]})
