@@ -15,7 +15,8 @@ The model is fitted on the driver from a bounded sample: per language, however
 many there are, the ``TRAINING`` texts of at most ``SAMPLE_CHARS`` characters with
 the smallest hash, or the shortest texts where a language has longer ones only.
 With more than ``SHARING`` languages each has fewer texts and landmarks, one at
-least, so that all of them together stay bounded.
+least, so that all of them together stay bounded.  What the workers get is 4 KB per
+landmark and a number per language and landmark.
 
 Rows: a null text, or one without letters, is ``und`` with score 0; languages
 that are null or without a usable training text are not learnt; if none is, all
@@ -46,8 +47,9 @@ TRAINING = 150
 LANDMARKS = 24
 SAMPLE_CHARS = 10_000
 RIDGE = 0.1
-# Texts whose flags are held at once.
+# Texts, and landmarks, whose flags are held at once, 128 KB each.
 ROWS = 64
+MARKS = 256
 
 # Rows with this remainder are held out.
 FOLDS, HELD_OUT = 3, 1
@@ -110,10 +112,44 @@ def _unit(flags: np.ndarray) -> np.ndarray:
     return flags / np.sqrt(np.maximum(flags.sum(axis=1, keepdims=True), 1))
 
 
+class Landmarks:
+    """Flags of the landmark texts, a bit each: 4 KB a text, also when sent to workers.
+
+    They are spread out for a product, ``MARKS`` texts at a time; a worker keeps them
+    spread out only if they are no more than that.
+    """
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+        self._spread: np.ndarray | None = None
+
+    def __getstate__(self):
+        return {"bits": self.bits, "_spread": None}
+
+    def _block(self, first: int) -> np.ndarray:
+        if self._spread is not None:
+            return self._spread
+        block = _unit(np.unpackbits(self.bits[first : first + MARKS], axis=1).astype(np.float32))
+        if len(self.bits) <= MARKS:
+            self._spread = block
+        return block
+
+    def kernel(self, units: np.ndarray) -> np.ndarray:
+        """The kernel between texts, as rows of length 1, and all landmarks."""
+        found = np.empty((len(units), len(self.bits)), np.float32)
+        for first in range(0, len(self.bits), MARKS):
+            found[:, first : first + MARKS] = units @ self._block(first).T
+        return found
+
+    def among(self) -> np.ndarray:
+        """The kernel between the landmarks."""
+        return np.concatenate([self.kernel(self._block(f)) for f in range(0, len(self.bits), MARKS)])
+
+
 @dataclass
 class Model:
     languages: list[str]
-    landmarks: np.ndarray
+    landmarks: Landmarks
     weights: np.ndarray
 
 
@@ -127,14 +163,18 @@ def fit(texts: list[str], languages: list[str]) -> Model:
     names = sorted(set(languages), key=lambda name: name.encode())
     label = np.array([names.index(name) for name in languages], dtype=int)
     if not names:
-        return Model([], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0)))
+        return Model([], Landmarks(np.zeros((0, (1 << BITS) // 8), np.uint8)), np.zeros((0, 0)))
     most = _share(LANDMARKS, len(names))
     chosen = np.concatenate([np.flatnonzero(label == k)[:most] for k in range(len(names))])
-    marks = _unit(presence([texts[i] for i in chosen.tolist()])[0])
-    # Only the landmarks' flags are held; those of the texts come and go.
+    # Flags of texts come and go; those of the landmarks are held as bits.
+    bits = [
+        np.packbits(presence([texts[i] for i in chosen[at : at + ROWS].tolist()])[0] > 0, axis=1)
+        for at in range(0, len(chosen), ROWS)
+    ]
+    marks = Landmarks(np.concatenate(bits))
     parts = (_unit(presence(texts[i : i + ROWS])[0]) for i in range(0, len(texts), ROWS))
-    kernel = np.concatenate([p @ marks.T for p in parts]).astype(float)
-    own = (marks @ marks.T).astype(float)
+    kernel = np.concatenate([marks.kernel(p) for p in parts]).astype(float)
+    own = marks.among().astype(float)
     # Every language weighs the same.
     weight = 1 / np.bincount(label, minlength=len(names))[label] / len(names)
     target = np.where(label[:, None] == np.arange(len(names)), 1.0, -1.0)
@@ -148,7 +188,7 @@ def judge(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]
     flags, some = presence(texts)
     if not model.languages:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    value = (_unit(flags) @ model.landmarks.T) @ model.weights
+    value = model.landmarks.kernel(_unit(flags)) @ model.weights
     share = np.exp(4 * (value - value.max(axis=1, keepdims=True)))
     share /= share.sum(axis=1, keepdims=True)
     best = value.argmax(axis=1)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import pickle
 import random
 import zlib
 
@@ -213,3 +214,21 @@ def test_kernel_counts_shared_n_grams():
             x, y = grams(a), grams(b)
             expected = len(x & y) / np.sqrt(len(x) * len(y))
             assert (unit[i] @ unit[j]) == pytest.approx(expected, abs=0.05)
+
+
+def test_a_model_of_many_languages_stays_small(monkeypatch):
+    rng = random.Random(6)
+    names = [f"l{k:03d}" for k in range(130)]
+    own = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for n in names}
+    shown = [(" ".join(rng.choice(own[n]) for _ in range(30)), n) for n in names for _ in range(4)]
+    model = language_id.fit(*map(list, zip(*shown)))
+    texts = [" ".join(rng.choice(own[n]) for _ in range(25)) for n in names]
+    found, scores = language_id.judge(texts, model)
+    assert sum(f == n for f, n in zip(found, names)) >= 125
+    # Four kilobytes a landmark are sent, also once the flags were spread out.
+    marks = len(model.landmarks.bits)
+    assert len(pickle.dumps(model.landmarks)) < 4200 * marks + 1000
+    # Blocks of landmarks, of any size, give the same.
+    monkeypatch.setattr(language_id, "MARKS", 7)
+    again = language_id.judge(texts, pickle.loads(pickle.dumps(model)))
+    assert again[0] == found and np.allclose(again[1], scores, atol=1e-4)
