@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # Words, and pieces of words, remembered per worker; beyond them it starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 # Pieces that are encoded as one text.
 LINE_PIECES = 200
 ID_BYTES = 4
@@ -185,6 +185,9 @@ class WordEncoder:
         flat = ids.tobytes()
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         cuts = (ends[bounds] * ID_BYTES).tolist()
+        # A worker lives on after its task, beside the next stage's memory.
+        del split, numbered, ids
+        pa.default_memory_pool().release_unused()
         return [flat[x:y] for x, y in zip(cuts, cuts[1:])]
 
 

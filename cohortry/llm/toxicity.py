@@ -55,8 +55,10 @@ LEAST_LIFT = 20.0
 STEPS = 35
 RATE = 0.25
 RIDGE = 1e-3
+# Bytes of text that a worker assesses at once.
+RUN_BYTES = 1_000_000
 # Words remembered per worker.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 # Fixed value: the learning rows are those where this remainder is not 0.
 FOLDS = 5
@@ -442,7 +444,7 @@ def toxicity(model: Model):
             known.append(_Scores(model))
         for texts in batches:
             values, spans = [], []
-            for run in text_runs(texts):
+            for run in text_runs(texts, RUN_BYTES):
                 value, where = assess(texts[run].to_pylist(), known[0])
                 values.append(value)
                 spans += where
