@@ -73,9 +73,10 @@ def stage_flat(flat: DataFrame, path: str) -> DataFrame:
     """Write the flat file as parquet and read it back, to split from.
 
     The four tables each read the flat lines; a text file would be parsed, and a
-    join worked out, once for each of them.
+    join worked out, once for each of them.  Compressed with zstd, as the names and
+    categories of the dimensions repeat on every line.
     """
-    flat.write.parquet(path)
+    flat.write.parquet(path, compression="zstd")
     return flat.sparkSession.read.schema(flat.schema).parquet(path)
 
 

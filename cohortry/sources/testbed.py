@@ -55,7 +55,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def sales_customers(spark: SparkSession, folder: str) -> DataFrame:
+def sales_customers(
+    spark: SparkSession, folder: str, key: str = "CAST(c_custkey AS STRING) AS customer_id"
+) -> DataFrame:
     nation = table(spark, folder, "nation")
     region = table(spark, folder, "region")
     return (
@@ -63,7 +65,7 @@ def sales_customers(spark: SparkSession, folder: str) -> DataFrame:
         .join(nation, F.expr("c_nationkey = n_nationkey"))
         .join(region, F.expr("n_regionkey = r_regionkey"))
         .selectExpr(
-            "CAST(c_custkey AS STRING) AS customer_id",
+            key,
             "c_name AS customer_name",
             "c_mktsegment AS segment",
             "r_name AS region",
@@ -83,7 +85,8 @@ def sales_products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(
-    spark: SparkSession, folder: str, with_profit: bool, with_product: bool = False
+    spark: SparkSession, folder: str, with_profit: bool, with_product: bool = False,
+    with_buyer: bool = False,
 ) -> DataFrame:
     """Order lines and whether they came back.
 
@@ -91,15 +94,28 @@ def _lines(
     keeps reports that group by order or product from sitting on a join's own
     partitioning, which would stop AQE from splitting an order or a product that
     holds a large share of the lines.
+
+    The buyer comes with the order: there are fewer orders than lines, and the
+    lines, with all they have got by then, need no shuffle by customer.
     """
     ids = "CAST(product_id AS STRING) AS product_id"
+    bought = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "CAST(o_orderdate AS DATE) AS order_date", "o_orderpriority",
+        "o_custkey",
+    )
+    buyer = []
+    if with_buyer:
+        people = sales_customers(spark, folder, "c_custkey")
+        buyer = [c for c in people.columns if c != "c_custkey"]
+        bought = bought.join(people, F.expr("o_custkey = c_custkey"))
     lines = (
         table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .withColumn("ship_date", F.expr("CAST(l_shipdate AS DATE)"))
+        .join(bought, F.expr("l_orderkey = o_orderkey"))
         .selectExpr(
             "CAST(l_orderkey AS STRING) AS order_id",
-            "CAST(o_orderdate AS DATE) AS order_date",
-            "CAST(l_shipdate AS DATE) AS ship_date",
+            "order_date",
+            "ship_date",
             """CASE o_orderpriority WHEN '1-URGENT' THEN 'Same Day' WHEN '2-HIGH' THEN 'First Class'
                WHEN '3-MEDIUM' THEN 'Second Class' ELSE 'Standard Class' END AS ship_mode""",
             "CAST(o_custkey AS STRING) AS customer_id",
@@ -108,6 +124,7 @@ def _lines(
             "CAST(l_quantity AS INT) AS quantity",
             "CAST(l_discount * 4 AS DECIMAL(5,2)) AS discount",
             "CASE WHEN l_returnflag = 'R' THEN 'Yes' END AS returned",
+            *buyer,
         )
     )
     others = [c for c in lines.columns if c != "product_id"]
@@ -139,11 +156,9 @@ def sales(spark: SparkSession, folder: str, with_profit: bool = True) -> Sales:
 
 def sales_flat(spark: SparkSession, folder: str) -> DataFrame:
     """The star schema joined back into one wide line-grain file."""
-    return (
-        _lines(spark, folder, with_profit=True, with_product=True)
-        .join(sales_customers(spark, folder), "customer_id")
-        .select(*SALES_FLAT.fieldNames())
-    )
+    return _lines(
+        spark, folder, with_profit=True, with_product=True, with_buyer=True
+    ).select(*SALES_FLAT.fieldNames())
 
 
 # Every subscriber column.  Customers without internet, and a few without an

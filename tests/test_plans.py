@@ -263,3 +263,23 @@ def test_top_products_without_broadcast(stored, monkeypatch):
     expected = sales.top_products(stored["orders"], stored["products"]).collect()
     monkeypatch.setattr(sizes, "BROADCAST_ROWS", 0)
     assert sales.top_products(stored["orders"], stored["products"]).collect() == expected
+
+
+def test_lines_of_the_flat_file_are_not_shuffled_by_buyer(spark, folder):
+    """Orders get their buyer; with no broadcast the wide lines would be shuffled again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(testbed.sales_flat(spark, folder))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = [line for line in text.splitlines() if "hashpartitioning(" in line]
+    assert any("l_orderkey" in line for line in shuffled)
+    assert not any("hashpartitioning(customer_id" in line for line in shuffled)
+
+
+def test_each_split_report_stages_its_own_flat_file(spark, folder):
+    from __spark_entry__ import queries
+
+    first, second = (set(queries()["split_star_schema"](spark, folder).inputFiles()) for _ in range(2))
+    assert first and second and not first & second
+    assert all(name.endswith(".zstd.parquet") for name in first)
