@@ -283,3 +283,11 @@ def test_each_split_report_stages_its_own_flat_file(spark, folder):
     first, second = (set(queries()["split_star_schema"](spark, folder).inputFiles()) for _ in range(2))
     assert first and second and not first & second
     assert all(name.endswith(".zstd.parquet") for name in first)
+
+
+@pytest.mark.parametrize("name", ["customers", "products", "orders", "returns"])
+def test_one_table_of_the_split_writes_no_flat_file(spark, folder, name):
+    from __spark_entry__ import queries
+
+    files = queries()[f"split_star_{name}"](spark, folder).inputFiles()
+    assert files and all(f"{folder}/" in path for path in files)
