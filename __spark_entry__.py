@@ -50,6 +50,8 @@ except ImportError as missing:
     llm = corpus_pipeline = None
 
 SEED = 7
+# Most lines of a compressed text file.
+FILE_LINES = 500_000
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -122,7 +124,11 @@ def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_sales_flat(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the flat sales file with odd spellings, then load that file."""
+    """Write the flat sales file with odd spellings, then load that file.
+
+    The text is gzipped, as every line repeats its buyer and product.  A gzipped file
+    is read by one task, so no file gets more than ``FILE_LINES`` lines.
+    """
     path = scratch_path(spark, "sales")
     odd = testbed.sales_flat(spark, folder).selectExpr(
         "* EXCEPT (region, category, ship_mode)",
@@ -130,7 +136,9 @@ def load_sales_flat(spark: SparkSession, folder: str) -> DataFrame:
         "IF(order_id % 13 = 0, lower(category), category) AS category",
         "IF(order_id % 2 = 0, upper(ship_mode), ship_mode) AS ship_mode",
     ).select(*SALES_FLAT.fieldNames())
-    odd.write.csv(path, header=True, ignoreTrailingWhiteSpace=False)
+    odd.write.option("maxRecordsPerFile", FILE_LINES).csv(
+        path, header=True, ignoreTrailingWhiteSpace=False, compression="gzip"
+    )
     return load.load_sales_flat(spark, path)
 
 

@@ -217,7 +217,7 @@ def _load_strictly(
     """Parse the text once into parquet; a malformed line ends the load at once."""
     typed = normalise_text(read_delimited(spark, path, schema, **options), domains)
     staged = scratch_path(spark, "loaded")
-    typed.write.parquet(staged)
+    typed.write.parquet(staged, compression="zstd")
     return spark.read.schema(typed.schema).parquet(staged)
 
 

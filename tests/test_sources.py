@@ -350,3 +350,22 @@ def test_a_cluster_must_name_its_shared_folder(spark):
         Unconfigured.sparkContext.master = master
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_dir(Unconfigured)
+
+
+def test_the_flat_text_is_compressed_in_bounded_files(spark, folder, monkeypatch):
+    import __spark_entry__ as entry
+
+    seen = []
+
+    def load_and_note(session, path):
+        seen.append(session.read.text(path).select(F.input_file_name().alias("file")))
+        return load_flat(session, path)
+
+    load_flat = load.load_sales_flat
+    monkeypatch.setattr(load, "load_sales_flat", load_and_note)
+    monkeypatch.setattr(entry, "FILE_LINES", 5_000, raising=False)
+    loaded = entry.load_sales_flat(spark, folder)
+    lines = {r["file"]: r["count"] for r in seen[0].groupBy("file").count().collect()}
+    assert all(name.endswith(".csv.gz") for name in lines)
+    assert max(lines.values()) <= 5_001 and sum(lines.values()) - len(lines) == loaded.count()
+    assert loaded.inputFiles() and all(name.endswith(".zstd.parquet") for name in loaded.inputFiles())
