@@ -44,7 +44,7 @@ from cohortry.llm.buckets import Forest, in_groups, shared_buckets, whole_groups
 from cohortry.llm.components import components
 from cohortry.llm.shingles import counted, mix, shingle_hashes
 from cohortry.llm.stash import stash
-from cohortry.llm.tokens import text_runs
+from cohortry.llm.tokens import release_memory, text_runs
 from cohortry.plans.sizes import broadcast_if_small
 
 SIMILAR_PCT = 80
@@ -60,6 +60,8 @@ PAIRS_HELD = 1_000_000
 HASH_BYTES = 6
 # Bytes of shingles that a group holds while its pairs are verified, or two documents.
 GROUP_BYTES = 32 << 20
+# Bytes of text that a worker cuts into shingles at once.
+RUN_BYTES = 1_000_000
 
 
 def signatures(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -134,7 +136,7 @@ def sign(docs: DataFrame) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for run in text_runs(texts):
+            for run in text_runs(texts, RUN_BYTES):
                 part = _encoded(texts[run])
                 hashes, owner = shingle_hashes(part)
                 marks = _multiset_marks(hashes, owner, len(part))
@@ -148,6 +150,7 @@ def sign(docs: DataFrame) -> DataFrame:
                     ],
                     names=["doc_id", "mark0", "mark1", "n", "sketch"],
                 )
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(signed, _SIGNED)
 
@@ -289,6 +292,7 @@ def _linked_components(members: DataFrame) -> DataFrame:
                     alike = 100 * shared >= SIMILAR_PCT * (sizes[one] + n - shared)
                     found += [(one, x) for x in many[alike].tolist() if forest.joins(one, x)]
             yield _pair_batch(number, found)
+        release_memory()
 
     return in_groups(members, ["band"]).mapInArrow(pairs, "a BIGINT, b BIGINT").distinct()
 
@@ -303,7 +307,7 @@ def _multisets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            for run in text_runs(texts):
+            for run in text_runs(texts, RUN_BYTES):
                 part = _encoded(texts[run])
                 hashes, owner = shingle_hashes(part)
                 mark0, mark1 = _multiset_marks(hashes, owner, len(part))
@@ -321,6 +325,7 @@ def _multisets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("class_no")[run], sets], names=["class_no", "shingles"]
                 ).filter(pa.array(meant))
+        release_memory()
 
     wanted = classes.select("class_no", "mark0", "mark1", F.col("first_id").alias("_first"))
     # Texts stay where they are, if the classes are counted to be few; else those that

@@ -12,6 +12,7 @@ by itself; ``WordEncoder`` refuses others.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 from itertools import chain
@@ -191,6 +192,17 @@ class WordEncoder:
         return [flat[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
+def release_memory() -> None:
+    """Give back what a worker's allocators keep for later.
+
+    A worker lives on after its task, beside the next stage's memory.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 

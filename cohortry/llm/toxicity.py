@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.stash import stash
-from cohortry.llm.tokens import text_runs
+from cohortry.llm.tokens import release_memory, text_runs
 
 SAMPLE_DOCS = 1200
 SAMPLE_CHARS = 20_000
@@ -437,21 +437,21 @@ def assess(texts: list[str | None], scores: _Scores) -> tuple[np.ndarray, list[l
 
 def toxicity(model: Model):
     """A function of a text column: its score and offending spans."""
-    known: list[_Scores] = []
 
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if not known:
-            known.append(_Scores(model))
+        known = _Scores(model)
         for texts in batches:
             values, spans = [], []
             for run in text_runs(texts, RUN_BYTES):
-                value, where = assess(texts[run].to_pylist(), known[0])
+                value, where = assess(texts[run].to_pylist(), known)
                 values.append(value)
                 spans += where
             score = np.concatenate(values) if values else np.zeros(0)
             yield pa.StructArray.from_arrays(
                 [pa.array(score, pa.float64()), pa.array(spans, _SPANS)], names=["score", "spans"]
             )
+        known.clear()
+        release_memory()
 
     scored.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(scored, _RESULT)
