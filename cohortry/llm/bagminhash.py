@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +63,12 @@ HASH_BYTES = 6
 GROUP_BYTES = 32 << 20
 # Bytes of text that a worker cuts into shingles at once.
 RUN_BYTES = 1_000_000
+# Pairs of sketches that a worker compares at once.
+SKETCH_PAIRS = 20_000
+# Likely pairs that are Python numbers at once.
+ENDS_AT_ONCE = 20_000
+# Bytes of shingles that a worker numbers at once, or those of one group.
+NUMBERED_BYTES = 4 << 20
 
 
 def signatures(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -196,7 +203,7 @@ def _likely(
     own = (table["band"].to_numpy() >> (8 * BAND_ROWS)).astype(np.int64)
     mine, left, right = (table[n].to_numpy() for n in ("mine", "left", "right"))
     end = np.searchsorted(group, group, side="right")
-    for i, j in windows(np.arange(len(group)) + 1, end):
+    for i, j in windows(np.arange(len(group)) + 1, end, SKETCH_PAIRS):
         apart = (left[i] == right[i]) | (mine[i] != mine[j])
         apart &= component[i] != component[j]
         i, j = i[apart], j[apart]
@@ -214,28 +221,46 @@ def _pair_batch(number: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(e) for e in ends], names=["a", "b"])
 
 
+class _Held:
+    """Likely pairs of a task, in nine bytes each, until the best join a forest."""
+
+    def __init__(self):
+        self._parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, agree: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+        self._parts.append((agree.astype(np.uint8), i.astype(np.int32), j.astype(np.int32)))
+        self.size += len(agree)
+
+    def join(self, forest: Forest) -> list[tuple[int, int]]:
+        """The pairs that join two trees, those that agree most first; none stay held."""
+        if not self.size:
+            return []
+        agree, i, j = (np.concatenate(parts) for parts in zip(*self._parts))
+        self._parts, self.size = [], 0
+        order = np.argsort(np.uint8(COMPONENTS) - agree, kind="stable")
+        joined = []
+        for at in range(0, len(order), ENDS_AT_ONCE):
+            some = order[at : at + ENDS_AT_ONCE]
+            ends = zip(i[some].tolist(), j[some].tolist())
+            joined += [(x, y) for x, y in ends if forest.joins(x, y)]
+        return joined
+
+
 def _likeliest_pairs(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes: per group a forest of the pairs that agree most."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, group in whole_groups(batches, ["band"]):
             number = table["class_no"].to_numpy()
-            forest, held, size = Forest(len(group)), [], 0
-
-            def chosen() -> list[tuple[int, int]]:
-                agree, i, j = (np.concatenate(parts) for parts in zip(*held))
-                order = np.argsort(-agree, kind="stable")
-                ends = zip(i[order].tolist(), j[order].tolist())
-                return [(x, y) for x, y in ends if forest.joins(x, y)]
-
+            forest, held = Forest(len(group)), _Held()
             for found in _likely(table, group, number):
-                held.append(found)
-                size += len(found[0])
-                if size > PAIRS_HELD:
-                    yield _pair_batch(number, chosen())
-                    held, size = [], 0
-            if held:
-                yield _pair_batch(number, chosen())
+                held.add(*found)
+                if held.size > PAIRS_HELD:
+                    yield _pair_batch(number, held.join(forest))
+            if held.size:
+                yield _pair_batch(number, held.join(forest))
+        release_memory()
 
     return in_groups(members, ["band"]).mapInArrow(pairs, "a BIGINT, b BIGINT").distinct()
 
@@ -250,11 +275,42 @@ def _with_likely_others(members: DataFrame) -> DataFrame:
                 marked[i] = marked[j] = True
             slim = table.select([*_GROUP, "mine", "class_no", "component"])
             yield from slim.filter(pa.array(marked)).to_batches()
+        release_memory()
 
     schema = "band BIGINT, left INT, right INT, mine INT, class_no BIGINT, component BIGINT"
     return in_groups(members, ["band"]).mapInArrow(some, schema)
 
 
+def _group_runs(table: pa.Table, group: np.ndarray) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Slices of whole groups with at most ``NUMBERED_BYTES`` of shingles, or of one group."""
+    ends = np.append(np.flatnonzero(np.diff(group)) + 1, len(group)).tolist()
+    held = np.cumsum(pc.binary_length(table["shingles"]).to_numpy())
+    start = last = before = 0
+    for end in ends:
+        if last > start and held[end - 1] - before > NUMBERED_BYTES:
+            yield table.slice(start, last - start), group[start:last]
+            start, before = last, held[last - 1]
+        last = end
+    yield table.slice(start), group[start:]
+
+
+def _numbered(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of all multisets, end to end, as small numbers; each one's size; how many differ."""
+    flat = column.combine_chunks()
+    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
+    sizes = pc.binary_length(flat).to_numpy().astype(np.int64) // HASH_BYTES
+    start = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset]
+    hashes = _spread(flat.buffers()[2][start : start + int(sizes.sum()) * HASH_BYTES])
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    new = np.zeros(len(hashes), dtype=bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    del hashes
+    ids = np.empty(len(order), np.int32)
+    ids[order] = np.cumsum(new, dtype=np.int32)
+    return ids, sizes, int(new.sum()) + 1
+
+
 def _linked_components(members: DataFrame) -> DataFrame:
     """Verified pairs (a, b) that link different components, a forest per group.
 
@@ -262,13 +318,12 @@ def _linked_components(members: DataFrame) -> DataFrame:
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, group in whole_groups(batches, ["band"]):
+        runs = (run for whole in whole_groups(batches, ["band"]) for run in _group_runs(*whole))
+        for table, group in runs:
             number, component = (table[n].to_numpy() for n in ("class_no", "component"))
-            raw = table["shingles"].to_pylist()
-            sizes = np.array([len(r) // HASH_BYTES for r in raw])
-            names, ids = np.unique(_spread(b"".join(raw)), return_inverse=True)
+            ids, sizes, different = _numbered(table["shingles"])
             first = np.cumsum(sizes) - sizes
-            flags = np.zeros(len(names), dtype=np.int64)
+            flags = np.zeros(different, dtype=np.int64)
             forest, found = Forest(len(group)), []
             # Rows of one component are together from the start.
             for rows in np.split(
@@ -340,7 +395,7 @@ def _multisets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _spread(raw: bytes) -> np.ndarray:
+def _spread(raw: bytes | pa.Buffer) -> np.ndarray:
     """The hashes of a multiset, as 64-bit numbers."""
     cut = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
     return np.pad(cut, ((0, 0), (0, 8 - HASH_BYTES))).view("<u8").ravel()
@@ -352,11 +407,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = _spread(x), _spread(y)
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = _spread(x.as_buffer()), _spread(y.as_buffer())
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * shared >= SIMILAR_PCT * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        release_memory()
 
     right = sets.selectExpr("class_no AS b", "shingles AS y")
     left = sets.selectExpr("class_no AS a", "shingles AS x")

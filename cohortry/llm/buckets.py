@@ -85,12 +85,14 @@ def whole_groups(
         yield table, numbered(table)
 
 
-def windows(first: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def windows(
+    first: np.ndarray, end: np.ndarray, most: int = PAIRS_AT_ONCE
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j) with ``first[i] <= j < end[i]``, in steps of bounded size."""
     sizes = np.maximum(end - first, 0)
     total = np.concatenate(([0], np.cumsum(sizes)))
-    for at in range(0, int(total[-1]), PAIRS_AT_ONCE):
-        pairs = np.arange(at, min(at + PAIRS_AT_ONCE, int(total[-1])))
+    for at in range(0, int(total[-1]), most):
+        pairs = np.arange(at, min(at + most, int(total[-1])))
         i = np.searchsorted(total, pairs, side="right") - 1
         yield i, first[i] + pairs - total[i]
 

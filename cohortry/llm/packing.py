@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.stash import stash
-from cohortry.llm.tokens import TOKENIZER, encoder, text_runs
+from cohortry.llm.tokens import TOKENIZER, encoder, release_memory, text_runs
 
 CAPACITY = 2048
 END_ID = 0
 # Bins with at most this many free places are not packed further.
 SLACK = 4
 ITEMS_PER_TASK = 100_000
+# Bytes of text that a worker encodes at once.
+RUN_BYTES = 2_000_000
 # Tasks of one round whose bins meet in one task of the next.
 FAN_IN = 8
 
@@ -56,7 +58,7 @@ def cut_documents(
         step = 4 * capacity
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for run in text_runs(texts):
+            for run in text_runs(texts, RUN_BYTES):
                 rows = []
                 for key, ids in zip(keys[run], encode(texts[run])):
                     ids += end
@@ -67,6 +69,7 @@ def cut_documents(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names
                 )
+        release_memory()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -132,7 +135,9 @@ def _pack_tasks(items: DataFrame, capacity: int) -> DataFrame:
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
-        return bins(held) if held else iter(())
+        yield from bins(held) if held else ()
+        held.clear()
+        release_memory()
 
     return items.mapInArrow(some, _ITEMS)
 

@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import itertools
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortry.llm import bagminhash, embedding_dedup
-from cohortry.llm.buckets import shared_buckets, windows
+from cohortry.llm.buckets import Forest, shared_buckets, windows
 from cohortry.llm.components import components
 from cohortry.llm.shingles import counted, shingle_hashes
 
@@ -230,3 +232,88 @@ def test_shingles_are_counted_per_text():
     by_text = [set(each[of == i].tolist()) for i in range(6)]
     assert by_text[3] == by_text[4] and by_text[3] < by_text[0]
     assert count[of == 5].tolist() == [3]
+
+
+class _Captured:
+    """Takes the place of a frame, and keeps the function that tasks would run."""
+
+    def select(self, *_):
+        return self
+
+    def distinct(self):
+        return self
+
+    def mapInArrow(self, function, _):
+        self.function = function
+        return self
+
+
+def _hot_groups(groups: int, members: int) -> pa.RecordBatch:
+    """Groups of one band, whose members all agree in 105 components or more."""
+    rng = np.random.default_rng(7)
+    sketches = np.tile(rng.integers(0, 256, bagminhash.COMPONENTS, dtype=np.uint8), (members, 1))
+    for row in sketches:
+        row[5 + rng.choice(bagminhash.COMPONENTS - 5, 10, replace=False)] = rng.integers(0, 256, 10)
+    shared = rng.integers(0, 1 << 40, 60)
+    sets = [
+        np.unique(np.append(shared, rng.integers(0, 1 << 40, 1 + k % 40))).astype("<u8")
+        .view(np.uint8).reshape(-1, 8)[:, : bagminhash.HASH_BYTES].tobytes()
+        for k in range(members)
+    ]
+    n = groups * members
+    place = np.repeat(np.arange(groups, dtype=np.int32), members)
+    band = np.full(n, int.from_bytes(bytes(sketches[0, :5]), "big"))
+    number = np.tile(np.arange(members), groups)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(band), pa.array(place), pa.array(place), pa.array(place), pa.array(number),
+            pa.array(number), pa.array([r.tobytes() for r in sketches] * groups, pa.binary()),
+            pa.array(sets * groups, pa.binary()),
+        ],
+        names=["band", "left", "right", "mine", "class_no", "component", "sketch", "shingles"],
+    )
+
+
+def _task(monkeypatch, step):
+    monkeypatch.setattr(bagminhash, "in_groups", lambda members, _: members)
+    return step(_Captured()).function
+
+
+def test_likely_pairs_of_a_hot_group_take_little_memory(monkeypatch):
+    task, batch = _task(monkeypatch, bagminhash._likeliest_pairs), _hot_groups(1, 600)
+    tracemalloc.start()
+    found = [p for b in task(iter([batch])) for p in zip(*(c.to_pylist() for c in b.columns))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # A forest of all 600, the pairs themselves are 179,700.
+    assert len(found) == len(set(found)) == 599
+    assert peak < 25_000_000
+
+
+def test_shingles_are_numbered_for_some_groups_at_once(monkeypatch):
+    batch = _hot_groups(6, 50)
+    task = _task(monkeypatch, bagminhash._linked_components)
+
+    def links() -> set[tuple[int, int]]:
+        return {p for b in task(iter([batch])) for p in zip(*(c.to_pylist() for c in b.columns))}
+
+    sets = [set(np.frombuffer(r.as_py(), "V6").tolist()) for r in batch.column("shingles")[:50]]
+    alike = {
+        (a, b) for a in range(50) for b in range(a + 1, 50)
+        if 100 * len(sets[a] & sets[b]) >= bagminhash.SIMILAR_PCT * len(sets[a] | sets[b])
+    }
+
+    def parts(pairs: set[tuple[int, int]]) -> list[int]:
+        forest = Forest(50)
+        for a, b in pairs:
+            forest.joins(a, b)
+        return [forest.find(k) for k in range(50)]
+
+    together = links()
+    assert together <= alike and parts(together) == parts(alike)
+    numbered, real = [], bagminhash._numbered
+    monkeypatch.setattr(bagminhash, "_numbered", lambda c: numbered.append(len(c)) or real(c))
+    monkeypatch.setattr(bagminhash, "NUMBERED_BYTES", 50_000)
+    some = links()
+    assert some <= alike and parts(some) == parts(alike)
+    assert sum(numbered) == 300 and len(numbered) > 1 and all(n % 50 == 0 for n in numbered)

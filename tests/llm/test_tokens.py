@@ -177,3 +177,28 @@ def test_best_fit_takes_the_tightest_bin(lengths):
         else:
             free.append(20 - lengths[item])
     assert len(set(bins.tolist())) == len(free)
+
+
+def test_packing_encodes_short_runs_and_gives_memory_back(monkeypatch):
+    class Captured:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, function, _):
+            return function
+
+    runs, released = [], []
+
+    class Encoder:
+        def encode(self, texts):
+            runs.append(sum(len(t) for t in texts.to_pylist()))
+            return [b"\1\0\0\0"] * len(texts)
+
+    monkeypatch.setattr(packing, "encoder", lambda _: Encoder())
+    monkeypatch.setattr(packing, "release_memory", lambda: released.append(1))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array(["a" * 1_500_000, "b" * 1_500_000, "c"])], names=["doc_id", "text"]
+    )
+    rows = [r for b in packing.cut_documents(Captured())(iter([batch])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == [1, 2, 3] and [r["length"] for r in rows] == [2, 2, 2]
+    assert runs == [1_500_000, 1_500_001] and released == [1]
