@@ -215,7 +215,7 @@ def test_no_records(spark):
     assert warc.resolve_revisits(spark.createDataFrame([], RECORDS)).collect() == []
 
 
-ARTICLE = "".join(
+COUNCIL = "".join(
     f"<p>The council met on a rainy evening to discuss the new bridge and its many costs, number {i}. {'It was late. ' * 20}</p>"
     for i in range(4)
 )
@@ -226,12 +226,12 @@ FOOT = "<footer>© 2020 All rights reserved</footer>"
 @pytest.mark.parametrize(
     "page",
     [
-        f"<body>{MENU}<form id=all><div>{ARTICLE}</div><input name=q></form>{FOOT}",
-        f"<body>{MENU}<div class='content no-sidebar'>{ARTICLE}</div>{FOOT}",
-        f"<body>{MENU}<div class='has-header'>{ARTICLE}</div>{FOOT}",
-        f"<body>{MENU}<div class='with-ads wide'>{ARTICLE}</div>{FOOT}",
-        f"<body>{MENU}<div id=noSidebar>{ARTICLE}</div>{FOOT}",
-        f"<body>{MENU}<div class='page header-fixed'>{ARTICLE}</div>{FOOT}",
+        f"<body>{MENU}<form id=all><div>{COUNCIL}</div><input name=q></form>{FOOT}",
+        f"<body>{MENU}<div class='content no-sidebar'>{COUNCIL}</div>{FOOT}",
+        f"<body>{MENU}<div class='has-header'>{COUNCIL}</div>{FOOT}",
+        f"<body>{MENU}<div class='with-ads wide'>{COUNCIL}</div>{FOOT}",
+        f"<body>{MENU}<div id=noSidebar>{COUNCIL}</div>{FOOT}",
+        f"<body>{MENU}<div class='page header-fixed'>{COUNCIL}</div>{FOOT}",
     ],
 )
 def test_wrappers_do_not_hide_the_article(page):
@@ -243,8 +243,8 @@ def test_wrappers_do_not_hide_the_article(page):
 def test_long_comments_and_forms_stay_apart():
     weights = np.array(list(html_text.WEIGHTS.values()))
     page = (
-        f"<body>{MENU}<article>{ARTICLE}</article><form><p>{'Tell us what you think of it. ' * 9}</p></form>"
-        f"<section class=comments>{ARTICLE.replace('council', 'readers') * 6}</section>{FOOT}"
+        f"<body>{MENU}<article>{COUNCIL}</article><form><p>{'Tell us what you think of it. ' * 9}</p></form>"
+        f"<section class=comments>{COUNCIL.replace('council', 'readers') * 6}</section>{FOOT}"
     )
     text = html_text.main_text(page, weights)
     assert text.count("council") == 4 and "readers" not in text and "Tell us" not in text
