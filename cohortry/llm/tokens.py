@@ -15,7 +15,8 @@ from __future__ import annotations
 import ctypes
 import json
 import os
-from itertools import chain
+from codecs import charmap_decode
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -32,6 +33,22 @@ _ID = np.dtype("<u4")
 
 # Fixed value: the words of the vocabulary's own splitting rule.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Fixed value: the rules that leave such pieces of a text.
+_NORMAL = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_SPLIT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _PIECES}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 # Marks that are no letter and no number, and begin no piece of letters.
 _MARKS = ".,;:!?"
 # Words of these characters have one Unicode form and lower case everywhere.
@@ -51,19 +68,22 @@ class _Known:
         self._ids = np.empty(0, _ID)
         self._sizes = self._starts = np.empty(0, np.int64)
 
-    def add(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.place.update(zip(strings, range(len(self.place), len(self.place) + len(strings))))
+    def add(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Add strings not met before; returns their places."""
+        first = len(self.place)
+        self.place.update(zip(strings, range(first, first + len(strings))))
+        self._starts = np.concatenate((self._starts, len(self._ids) + np.cumsum(sizes) - sizes))
         self._ids = np.concatenate((self._ids, ids))
         self._sizes = np.concatenate((self._sizes, sizes))
-        self._starts = np.cumsum(self._sizes) - self._sizes
+        return np.arange(first, first + len(strings))
 
-    def missing(self, strings: list[str]) -> list[str]:
-        known = self.place
-        return [s for s in strings if s not in known]
+    def places(self, strings: list[str]) -> np.ndarray:
+        """The place of each string, -1 for those not met before."""
+        found = map(self.place.get, strings, repeat(-1))
+        return np.fromiter(found, np.int64, len(strings))
 
-    def gather(self, strings: list[str], indices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of ``strings[i]`` for every index, end to end, and where each ends."""
-        place = np.fromiter(map(self.place.__getitem__, strings), np.int64, len(strings))[indices]
+    def gather(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the string at every place, end to end, and where each ends."""
         count = self._sizes[place]
         ends = np.concatenate(([0], np.cumsum(count)))
         return self._ids[np.repeat(self._starts[place] - ends[:-1], count) + np.arange(ends[-1])], ends
@@ -74,6 +94,7 @@ class WordEncoder:
 
     def __init__(self, path: str = TOKENIZER, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         with open(path, encoding="utf-8") as source:
             rule = json.load(source)
@@ -83,9 +104,17 @@ class WordEncoder:
         ]
         if not (splits and splits[0]["behavior"] == "Removed" and splits[0]["invert"]):
             raise ValueError(f"{path} does not drop the white space between words")
-        self._own_pieces = splits[0]["pattern"].get("Regex") == _PIECES
+        self._own_pieces = rule["normalizer"] == _NORMAL and rule["pre_tokenizer"] == _SPLIT
         self._special = [t["content"] for t in rule["added_tokens"]]
         self._tokenizer = Tokenizer.from_file(path)
+        # The same merges without the rules that cut a text to pieces, and how those
+        # rules spell the bytes of the characters of plain words.
+        self._merges = Tokenizer(self._tokenizer.model)
+        self._merges.pre_tokenizer = CharDelimiterSplit(" ")
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self._spelling = "".join(
+            spell(chr(byte))[0][0][1] if 0x80 <= byte < 0xC0 else chr(byte) for byte in range(256)
+        )
         suffix = rule["model"].get("end_of_word_suffix") or ""
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
         self._ends_word = np.zeros(1 + max(self._tokenizer.get_vocab().values()), bool)
@@ -94,20 +123,21 @@ class WordEncoder:
         self._cache_words = cache_words
         self._words, self._pieces = _Known(), _Known()
 
-    def _encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [
-            e.ids for e in self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-        ]
+    def _encode(self, strings: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
+        encode = (tokenizer or self._tokenizer).encode_batch_fast
+        found = [e.ids for e in encode(strings, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), _ID, int(sizes.sum())), sizes
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for pieces, many at a time as one text with blanks between them.
 
-        The ids that end a word tell them apart again.
+        The ids that end a word tell them apart again.  Pieces are what the vocabulary's
+        own rules leave of a text, so that the rules need not be gone through again.
         """
         lines = [" ".join(pieces[i : i + LINE_PIECES]) for i in range(0, len(pieces), LINE_PIECES)]
-        ids, _ = self._encode(lines)
+        lines = [charmap_decode(line.encode(), "strict", self._spelling)[0] for line in lines]
+        ids, _ = self._encode(lines, self._merges)
         ends = np.flatnonzero(self._ends_word[ids])
         if len(ends) != len(pieces) or ends[-1] != len(ids) - 1:
             return self._encode(pieces)
@@ -141,19 +171,19 @@ class WordEncoder:
         )
         return pc.replace_with_mask(marked, pc.invert(simple), other)
 
-    def _learn(self, missing: list[str]) -> None:
-        """Add words: plain ones from their pieces, others whole.
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Add words: plain ones from their pieces, others whole.  Returns their places.
 
         Arrow cuts all words at once, and only pieces not met before are encoded.
         """
-        words = pa.array(missing, pa.string())
         plain = self._plain(words)
+        known, places = plain.to_numpy(zero_copy_only=False), np.empty(len(words), np.int64)
         whole = strings(words.filter(pc.invert(plain)))
         if whole:
-            self._words.add(whole, *self._encode(whole))
+            places[~known] = self._words.add(whole, *self._encode(whole))
         words = words.filter(plain)
         if not len(words):
-            return
+            return places
         split = pc.split_pattern(self._marked(pc.utf8_lower(words)), " ")
         flat = split.flatten()
         # The string after the last blank is empty.
@@ -162,11 +192,14 @@ class WordEncoder:
         pieces = strings(numbered.dictionary)
         if len(self._pieces.place) > self._cache_words:
             self._pieces = _Known()
-        fresh = self._pieces.missing(pieces)
-        if fresh:
-            self._pieces.add(fresh, *self._encode_pieces(fresh))
-        ids, ends = self._pieces.gather(pieces, numbered.indices.to_numpy())
-        self._words.add(strings(words), ids, np.diff(ends[bounds]))
+        at = self._pieces.places(pieces)
+        fresh = np.flatnonzero(at < 0)
+        if len(fresh):
+            new = [pieces[i] for i in fresh.tolist()]
+            at[fresh] = self._pieces.add(new, *self._encode_pieces(new))
+        ids, ends = self._pieces.gather(at[numbered.indices.to_numpy()])
+        places[known] = self._words.add(strings(words), ids, np.diff(ends[bounds]))
+        return places
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as bytes; a null text has none.
@@ -179,10 +212,11 @@ class WordEncoder:
         different = strings(numbered.dictionary)
         if len(self._words.place) > self._cache_words:
             self._words = _Known()
-        missing = self._words.missing(different)
-        if missing:
-            self._learn(missing)
-        ids, ends = self._words.gather(different, numbered.indices.to_numpy())
+        places = self._words.places(different)
+        fresh = np.flatnonzero(places < 0)
+        if len(fresh):
+            places[fresh] = self._learn(numbered.dictionary.take(pa.array(fresh)))
+        ids, ends = self._words.gather(places[numbered.indices.to_numpy()])
         flat = ids.tobytes()
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         cuts = (ends[bounds] * ID_BYTES).tolist()

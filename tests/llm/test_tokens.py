@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -46,6 +47,42 @@ def test_any_text_gives_the_same_ids(texts):
 _shared = WordEncoder()
 
 
+def test_plain_words_skip_the_rules_of_the_vocabulary(monkeypatch):
+    latin = [chr(c) for c in range(0x21, 0x100)]
+    texts = [" ".join(latin), "".join(latin), *(f"{c}x{c} a{c} {c}{c}B, don't" for c in latin)]
+    # Not plain: blanks beyond ASCII and the soft hyphen.
+    plain = ["".join(c for c in t if not "\x7f" <= c <= "\xa0" and c != "\xad") for t in texts]
+    for some in (texts, plain):
+        found = WordEncoder().encode(pa.array(some, pa.string()))
+        assert found == [whole_ids(t).tobytes() for t in some]
+
+    encoder = WordEncoder()
+    monkeypatch.setattr(encoder, "_tokenizer", None)
+    assert encoder.encode(pa.array(plain, pa.string())) == [whole_ids(t).tobytes() for t in plain]
+
+
+@pytest.mark.parametrize("name, rule", [
+    ("normalizer", None),
+    ("normalizer", {"type": "Sequence", "normalizers": [{"type": "NFC"}]}),
+    ("pre_tokenizer", "add_prefix_space"),
+])
+def test_other_rules_are_kept(tmp_path, name, rule):
+    with open(TOKENIZER, encoding="utf-8") as source:
+        vocabulary = json.load(source)
+    if rule == "add_prefix_space":
+        vocabulary[name]["pretokenizers"][1][rule] = True
+    else:
+        vocabulary[name] = rule
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(vocabulary), encoding="utf-8")
+    library = Tokenizer.from_file(str(path))
+    texts = ["The Quick fox, don't STOP", "Évian à 12 km", "the the"]
+    expected = [
+        np.asarray(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts
+    ]
+    assert WordEncoder(str(path)).encode(pa.array(texts)) == expected
+
+
 def test_runs_cover_a_batch_and_hold_long_texts_alone():
     texts = pa.array(["a" * 10, None, "b" * 100, "", "c" * 10])
     assert text_runs(texts, 50) == [slice(0, 2), slice(2, 3), slice(3, 5)]
